@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from wattloom.catalogue.base import event_gold, feeder_gold, feeder_wide, r, register, view
+from wattloom.functions.scalars import rounded
 from wattloom.operators.quantiles import grouped_quantiles
 from wattloom.operators.series import hourly_spine, pivot_measures, series_bounds, upsert_measures
 from wattloom.plans import marts
@@ -25,10 +24,8 @@ register("fact_demand_hourly_events", "SELECT * FROM event_fact")(lambda s, d: e
         FROM feed_accuracy""",
 )
 def _accuracy(spark, sf_dir):
-    from wattloom.functions.scalars import half_up
-
     rows = feeder_gold(spark, sf_dir)["fact_forecast_accuracy"]
-    return rows.withColumns({c: half_up(F.col(c), 6) for c in ("error_mwh", "abs_error_mwh", "abs_pct_error")})
+    return rounded(rows, 6, "error_mwh", "abs_error_mwh", "abs_pct_error")
 
 
 @register("pivot_measures", "SELECT * FROM event_wide")
@@ -51,11 +48,10 @@ register("hourly_spine", "SELECT ba_code, period_utc FROM feed_spine")(
     f"{r('upper_bound', 4)} AS upper_bound FROM feed_bounds",
 )
 def _bounds(spark, sf_dir):
-    from wattloom.functions.scalars import half_up
     from wattloom.plans.warehouse import demand_bounds
 
     found = demand_bounds(feeder_wide(spark, sf_dir))
-    return found.withColumns({c: half_up(F.col(c), 4) for c in ("median_demand", "lower_bound", "upper_bound")})
+    return rounded(found, 4, "median_demand", "lower_bound", "upper_bound")
 
 
 @register(
@@ -65,11 +61,9 @@ def _bounds(spark, sf_dir):
         FROM lineitem GROUP BY l_returnflag""",
 )
 def _price_quantiles(spark, sf_dir):
-    from wattloom.functions.scalars import half_up
-
     lines = adapters.table(spark, sf_dir, "lineitem")
     found = grouped_quantiles(lines, ["l_returnflag"], "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q95": 0.95})
-    return found.withColumns({c: half_up(F.col(c), 4) for c in ("q25", "q50", "q95")})
+    return rounded(found, 4, "q25", "q50", "q95")
 
 
 view(
@@ -110,10 +104,8 @@ _ROUNDED = ("heating_degrees", "cooling_degrees", "generation_surplus_mwh")
     f"SELECT * REPLACE ({', '.join(r(c, 6) + ' AS ' + c for c in _ROUNDED)}) FROM stg_demand",
 )
 def _stage(spark, sf_dir):
-    from wattloom.functions.scalars import half_up
-
     rows = marts.stage_demand(feeder_gold(spark, sf_dir)["fact_demand_hourly"])
-    return rows.withColumns({c: half_up(F.col(c), 6) for c in _ROUNDED})
+    return rounded(rows, 6, *_ROUNDED)
 
 
 @register(
@@ -122,10 +114,8 @@ def _stage(spark, sf_dir):
     f"{r('abs_pct_error', 6)} AS abs_pct_error) FROM stg_accuracy",
 )
 def _stage_accuracy(spark, sf_dir):
-    from wattloom.functions.scalars import half_up
-
     rows = marts.stage_accuracy(feeder_gold(spark, sf_dir)["fact_forecast_accuracy"])
-    return rows.withColumns({c: half_up(F.col(c), 6) for c in ("error_mwh", "abs_error_mwh", "abs_pct_error")})
+    return rounded(rows, 6, "error_mwh", "abs_error_mwh", "abs_pct_error")
 
 
 def _hourly(spark, sf_dir):

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Holidays on a date, moved to the nearest workday (month, day, first year).
 ON_A_DATE = ((1, 1, 0), (6, 19, 2021), (7, 4, 0), (11, 11, 0), (12, 25, 0))
 
@@ -22,53 +19,45 @@ ON_A_WEEKDAY = (
 SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8), "Autumn": (9, 10, 11)}
 
 
-def _falls_on(day: Column, month: int, dom: int, since: int) -> Column:
-    return (F.month(day) == month) & (F.dayofmonth(day) == dom) & (F.year(day) >= since)
+def _falls_on(day: str, month: int, dom: int, since: int) -> str:
+    return f"(month({day}) = {month} and day({day}) = {dom} and year({day}) >= {since})"
 
 
-def is_holiday(day: Column) -> Column:
-    """True on the observed day of a federal holiday."""
-    weekday = F.weekday(day)
+def is_holiday(day: str) -> str:
+    """SQL test that is true on the observed day of a federal holiday."""
     tests = []
     for month, dom, since in ON_A_DATE:
-        tests.append((weekday <= 4) & _falls_on(day, month, dom, since))
-        tests.append((weekday == 4) & _falls_on(F.date_add(day, 1), month, dom, since))
-        tests.append((weekday == 0) & _falls_on(F.date_sub(day, 1), month, dom, since))
+        tests.append(f"(weekday({day}) <= 4 and {_falls_on(day, month, dom, since)})")
+        tests.append(f"(weekday({day}) = 4 and {_falls_on(f'date_add({day}, 1)', month, dom, since)})")
+        tests.append(f"(weekday({day}) = 0 and {_falls_on(f'date_sub({day}, 1)', month, dom, since)})")
     for month, wanted, first, last, since in ON_A_WEEKDAY:
         tests.append(
-            (F.month(day) == month)
-            & (weekday == wanted)
-            & F.dayofmonth(day).between(first, last)
-            & (F.year(day) >= since)
+            f"(month({day}) = {month} and weekday({day}) = {wanted} "
+            f"and day({day}) between {first} and {last} and year({day}) >= {since})"
         )
-    found = tests[0]
-    for test in tests[1:]:
-        found = found | test
-    return found
+    return "(" + " or ".join(tests) + ")"
 
 
-def season(month: Column) -> Column:
-    label = F.lit(None).cast("string")
-    for name, months in SEASONS.items():
-        label = F.when(month.isin(*months), name).otherwise(label)
-    return label
+def season(month: str) -> str:
+    cases = " ".join(f"when {month} in {months} then '{name}'" for name, months in SEASONS.items())
+    return f"case {cases} end"
 
 
-def calendar_columns(day: Column) -> dict[str, Column]:
+def calendar_columns(day: str) -> dict[str, str]:
     """Every calendar attribute of a date that needs no neighbouring row."""
-    weekend = F.weekday(day) >= 5
+    weekend = f"(weekday({day}) >= 5)"
     return {
-        "year": F.year(day),
-        "quarter": F.quarter(day),
-        "month": F.month(day),
-        "day_of_month": F.dayofmonth(day),
-        "day_of_week": F.weekday(day),
-        "day_of_year": F.dayofyear(day),
-        "week_of_year": F.weekofyear(day),
+        "year": f"year({day})",
+        "quarter": f"quarter({day})",
+        "month": f"month({day})",
+        "day_of_month": f"day({day})",
+        "day_of_week": f"weekday({day})",
+        "day_of_year": f"dayofyear({day})",
+        "week_of_year": f"weekofyear({day})",
         "is_weekend": weekend,
         "is_holiday": is_holiday(day),
-        "is_business_day": ~(weekend | is_holiday(day)),
-        "season": season(F.month(day)),
-        "is_day_before_holiday": is_holiday(F.date_add(day, 1)),
-        "is_day_after_holiday": is_holiday(F.date_sub(day, 1)),
+        "is_business_day": f"not ({weekend} or {is_holiday(day)})",
+        "season": season(f"month({day})"),
+        "is_day_before_holiday": is_holiday(f"date_add({day}, 1)"),
+        "is_day_after_holiday": is_holiday(f"date_sub({day}, 1)"),
     }

@@ -8,14 +8,12 @@ so results equal the one-window form as long as frames stay within ``back`` / ``
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MIN_CHUNK = 2160
-CHUNK, HOME = "_chunk", "_home"
+CHUNK, HOME, POSITION = "_chunk", "_home", "_position"
 
 
 def chunk_size(back: int, ahead: int = 0) -> int:
@@ -26,26 +24,36 @@ def chunk_size(back: int, ahead: int = 0) -> int:
 def over_chunks(
     df: DataFrame,
     keys: list[str],
-    position: Column,
+    position: str,
     back: int,
     ahead: int,
-    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    *steps: dict[str, str],
     size: int | None = None,
 ) -> DataFrame:
-    """Run ``compute(rows, window)`` on bounded pieces of each series.
+    """Add window columns to bounded pieces of each series.
+
+    Each step maps new column names to SQL text in which ``{w}`` stands for "partition by key and
+    chunk, order by position"; a later step may use the columns of an earlier one.
 
     ``position`` must be a dense row number within the key (on a gap-free hourly spine the hour
     number is one), so that "n rows back" and "n positions back" mean the same.
     """
     size = size or chunk_size(back, ahead)
-    p = F.col("_position")
-    spread = (
-        df.withColumn("_position", position.cast("long"))
-        .withColumn(HOME, F.floor(p / size))
-        .withColumn(CHUNK, F.explode(F.sequence(F.floor((p - ahead) / size), F.floor((p + back) / size))))
+    reach = f"sequence(floor(({position} - {ahead}) / {size}), floor(({position} + {back}) / {size}))"
+    spread = df.selectExpr(
+        "*",
+        f"cast({position} as bigint) as {POSITION}",
+        f"floor({position} / {size}) as {HOME}",
+        f"explode({reach}) as {CHUNK}",
     )
-    window = W.partitionBy(*keys, CHUNK).orderBy("_position")
-    return compute(spread, window).where(F.col(CHUNK) == F.col(HOME)).drop(CHUNK, HOME, "_position")
+    window = f"partition by {', '.join(keys)}, {CHUNK} order by {POSITION}"
+    for step in steps:
+        spread = spread.selectExpr("*", *[f"{text.format(w=window)} as {name}" for name, text in step.items()])
+    return spread.where(f"{CHUNK} = {HOME}").drop(CHUNK, HOME, POSITION)
+
+
+def _time_chunk(period: str, hours: int) -> str:
+    return f"floor(unix_seconds({period}) / {3600 * hours}) as {CHUNK}"
 
 
 def with_ordinal(df: DataFrame, keys: list[str], period: str, hours: int = MIN_CHUNK, name: str = "ordinal") -> DataFrame:
@@ -54,26 +62,16 @@ def with_ordinal(df: DataFrame, keys: list[str], period: str, hours: int = MIN_C
     Rows are numbered inside time chunks; the count of earlier chunks (one small row per key and
     chunk) is added on top.
     """
-    chunk = F.floor(F.unix_seconds(F.col(period)) / F.lit(3600 * hours))
-    marked = df.withColumn(CHUNK, chunk)
-    offsets = (
-        marked.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_offset",
-            F.coalesce(
-                F.sum("_rows").over(W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .drop("_rows")
-    )
-    return (
-        marked.withColumn("_rn", F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(period)))
-        .join(offsets, [*keys, CHUNK])
-        .withColumn(name, F.col("_rn") + F.col("_offset") - 1)
-        .drop("_rn", "_offset", CHUNK)
+    marked = df.selectExpr("*", _time_chunk(period, hours))
+    listed = ", ".join(keys)
+    offsets = marked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows")).selectExpr(
+        *keys,
+        CHUNK,
+        f"coalesce(sum(_rows) over (partition by {listed} order by {CHUNK} "
+        "rows between unbounded preceding and 1 preceding), 0) as _offset",
     )
+    numbered = marked.selectExpr("*", f"row_number() over (partition by {listed}, {CHUNK} order by {period}) as _rn")
+    return numbered.join(offsets, [*keys, CHUNK]).selectExpr(*df.columns, f"_rn + _offset - 1 as {name}")
 
 
 def with_previous(df: DataFrame, keys: list[str], period: str, value: str, name: str, hours: int = MIN_CHUNK) -> DataFrame:
@@ -82,19 +80,15 @@ def with_previous(df: DataFrame, keys: list[str], period: str, value: str, name:
     Inside a chunk this is ``lag``; the first row of a chunk takes the last value carried over
     from the closest earlier chunk that has rows.
     """
-    chunk = F.floor(F.unix_seconds(F.col(period)) / F.lit(3600 * hours))
-    marked = df.withColumn(CHUNK, chunk)
-    w = W.partitionBy(*keys, CHUNK).orderBy(period)
+    marked = df.selectExpr("*", _time_chunk(period, hours))
     carried = (
         marked.groupBy(*keys, CHUNK)
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(period)).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(CHUNK)).getField("v"))
-        .drop("_last")
+        .agg(F.expr(f"max_by(struct({value} as v), {period})").alias("_last"))
+        .select(*keys, CHUNK, F.lag("_last").over(W.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"))
     )
+    window = f"partition by {', '.join(keys)}, {CHUNK} order by {period}"
     return (
-        marked.withColumn("_lag", F.lag(value).over(w))
-        .withColumn("_first", F.row_number().over(w) == 1)
+        marked.selectExpr("*", f"lag({value}) over ({window}) as _lag", f"row_number() over ({window}) as _rn")
         .join(carried, [*keys, CHUNK])
-        .withColumn(name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_lag", "_first", "_carry", CHUNK)
+        .selectExpr(*df.columns, f"case when _rn = 1 then _carry.v else _lag end as {name}")
     )

@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import hour_number
 from wattloom.operators.chunking import CHUNK, MIN_CHUNK
 from wattloom.schemas import ARCHIVE_SOURCE, MEASURES
 
-MEASURE_KEY = ["period_utc", "ba_code", "measure_code"]
+MEASURE_KEY = ["ba_code", "period_utc", "measure_code"]
 
 
-def latest_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep, per key, the whole row that is last in ``order``.
 
     An aggregate rather than a ranking window: duplicates collapse before the shuffle, so a key
     with very many copies costs one row per input task.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = [F.col(o) if isinstance(o, str) else o for o in order]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(rank)])).alias("_row")
-    )
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    rank = ", ".join(f"{o} as o{i}" for i, o in enumerate(order))
+    picked = df.groupBy(*keys).agg(F.expr(f"max_by(struct({', '.join(rest)}), struct({rank}))").alias("_row"))
+    return picked.selectExpr(*[c if c in keys else f"_row.{c} as {c}" for c in df.columns])
 
 
 def upsert_measures(existing: DataFrame | None, fresh: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
@@ -41,29 +38,29 @@ def merge_weather(*frames: DataFrame, tiebreak: list[str] | None = None) -> Data
     both = frames[0]
     for frame in frames[1:]:
         both = both.unionByName(frame, allowMissingColumns=True)
-    order: list[str | Column] = [F.col("source") == ARCHIVE_SOURCE, "ingested_at_utc", *(tiebreak or [])]
+    order = [f"(source = '{ARCHIVE_SOURCE}')", "ingested_at_utc", *(tiebreak or [])]
     return latest_wins(both, ["ba_code", "period_utc"], order)
 
 
 def pivot_measures(bronze: DataFrame) -> DataFrame:
-    """One row per (period, ba), one column per known measure."""
-    return bronze.groupBy("period_utc", "ba_code").agg(
-        *[F.max(F.when(F.col("measure_code") == code, F.col("value_mwh"))).alias(name) for code, name in MEASURES.items()]
+    """One row per (ba, period), one column per known measure."""
+    return bronze.groupBy("ba_code", "period_utc").agg(
+        *[F.expr(f"max(case when measure_code = '{code}' then value_mwh end)").alias(c) for code, c in MEASURES.items()]
     )
 
 
 def pivot_latest(bronze: DataFrame, order: list[str]) -> DataFrame:
     """``pivot_measures(upsert_measures(...))`` in a single aggregation and a single shuffle."""
-    rank = F.struct(*order)
-    value = F.struct(F.col("value_mwh").alias("v"))
-    return bronze.groupBy("period_utc", "ba_code").agg(
+    rank = f"struct({', '.join(order)})"
+    picked = bronze.groupBy("ba_code", "period_utc").agg(
         *[
-            F.max_by(F.when(F.col("measure_code") == code, value), F.when(F.col("measure_code") == code, rank))
-            .getField("v")
-            .alias(name)
-            for code, name in MEASURES.items()
+            F.expr(
+                f"max_by(struct(value_mwh as v), case when measure_code = '{code}' then {rank} end)"
+            ).alias(c)
+            for code, c in MEASURES.items()
         ]
     )
+    return picked.selectExpr("ba_code", "period_utc", *[f"{c}.v as {c}" for c in MEASURES.values()])
 
 
 def series_bounds(df: DataFrame) -> DataFrame:
@@ -77,23 +74,21 @@ def hourly_spine(bounds: DataFrame) -> DataFrame:
     Keys are first cut into spans of ``MIN_CHUNK`` hours and spread over the cluster, so that a
     few very long keys do not generate their hours in a few tasks.
     """
-    lo, hi = hour_number(F.col("lo")), hour_number(F.col("hi"))
     tasks = max(bounds.sparkSession.sparkContext.defaultParallelism, 1)
     spans = (
-        bounds.select("ba_code", lo.alias("_lo"), hi.alias("_hi"))
-        .select("ba_code", "_lo", "_hi", F.explode(F.sequence("_lo", "_hi", F.lit(MIN_CHUNK).cast("long"))).alias("_from"))
+        bounds.selectExpr("ba_code", f"{hour_number('lo')} as _lo", f"{hour_number('hi')} as _hi")
+        .selectExpr("ba_code", "_hi", f"explode(sequence(_lo, _hi, {MIN_CHUNK}L)) as _from")
         .repartition(tasks, "ba_code", "_from")
     )
-    hours = F.sequence("_from", F.least(F.col("_from") + (MIN_CHUNK - 1), F.col("_hi")))
-    return spans.select("ba_code", F.explode(hours).alias("_hour")).select(
-        "ba_code", F.timestamp_seconds(F.col("_hour") * 3600).alias("period_utc")
-    )
+    return spans.selectExpr(
+        "ba_code", f"explode(sequence(_from, least(_from + {MIN_CHUNK - 1}, _hi))) as _hour"
+    ).selectExpr("ba_code", "timestamp_seconds(_hour * 3600) as period_utc")
 
 
 def interpolate_gaps(
     df: DataFrame,
     keys: list[str],
-    position: Column,
+    position: str,
     columns: list[str],
     limit: int = 6,
     size: int = MIN_CHUNK,
@@ -103,56 +98,41 @@ def interpolate_gaps(
     Neighbouring values inside a chunk come from windows; values beyond the chunk are carried in
     from one summary row per (key, chunk), so a gap may be longer than any chunk.
     """
-    marked = df.withColumn("_p", position.cast("long")).withColumn(CHUNK, F.floor(F.col("_p") / size))
+    listed = ", ".join(keys)
+    marked = df.selectExpr("*", f"cast({position} as bigint) as _p", f"floor({position} / {size}) as {CHUNK}")
 
-    def seen(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col("_p").alias("p"), F.col(c).alias("v")))
+    def seen(c: str) -> str:
+        return f"case when {c} is not null then struct(_p as p, {c} as v) end"
 
-    per_key = W.partitionBy(*keys).orderBy(CHUNK)
     edges = marked.groupBy(*keys, CHUNK).agg(
-        *[F.max(seen(c)).alias(f"_hi_{c}") for c in columns], *[F.min(seen(c)).alias(f"_lo_{c}") for c in columns]
+        *[F.expr(f"{side}({seen(c)})").alias(f"_{side}_{c}") for c in columns for side in ("min", "max")]
     )
-    edges = edges.select(
+    per_key = f"partition by {listed} order by {CHUNK} rows between"
+    edges = edges.selectExpr(
         *keys,
         CHUNK,
+        *[f"last(_max_{c}, true) over ({per_key} unbounded preceding and 1 preceding) as _in_{c}" for c in columns],
+        *[f"first(_min_{c}, true) over ({per_key} 1 following and unbounded following) as _out_{c}" for c in columns],
+    )
+    w = f"partition by {listed}, {CHUNK} order by _p rows between"
+    near = marked.join(edges, [*keys, CHUNK]).selectExpr(
+        "*",
         *[
-            F.last(f"_hi_{c}", ignorenulls=True).over(per_key.rowsBetween(W.unboundedPreceding, -1)).alias(f"_in_{c}")
+            f"coalesce(last({seen(c)}, true) over ({w} unbounded preceding and current row), _in_{c}) as _b_{c}"
             for c in columns
         ],
         *[
-            F.first(f"_lo_{c}", ignorenulls=True).over(per_key.rowsBetween(1, W.unboundedFollowing)).alias(f"_out_{c}")
+            f"coalesce(first({seen(c)}, true) over ({w} current row and unbounded following), _out_{c}) as _a_{c}"
             for c in columns
         ],
     )
 
-    w = W.partitionBy(*keys, CHUNK).orderBy("_p")
-    joined = marked.join(edges, [*keys, CHUNK])
-    near = joined.withColumns(
-        {
-            **{
-                f"_b_{c}": F.coalesce(
-                    F.last(seen(c), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.col(f"_in_{c}")
-                )
-                for c in columns
-            },
-            **{
-                f"_a_{c}": F.coalesce(
-                    F.first(seen(c), ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)), F.col(f"_out_{c}")
-                )
-                for c in columns
-            },
-        }
-    )
+    def filled(c: str) -> str:
+        b, a = f"_b_{c}", f"_a_{c}"
+        return f"""case when {c} is not null then {c}
+            when {b} is not null and {a} is not null and least(_p - {b}.p, {a}.p - _p) <= {limit}
+                then {b}.v + ({a}.v - {b}.v) * (_p - {b}.p) / ({a}.p - {b}.p)
+            when {a} is null and _p - {b}.p <= {limit} then {b}.v
+            when {b} is null and {a}.p - _p <= {limit} then {a}.v end as {c}"""
 
-    def filled(c: str) -> Column:
-        before, after, p = F.col(f"_b_{c}"), F.col(f"_a_{c}"), F.col("_p")
-        to_before, to_after = p - before["p"], after["p"] - p
-        inside = before["v"] + (after["v"] - before["v"]) * to_before / (after["p"] - before["p"])
-        return (
-            F.when(F.col(c).isNotNull(), F.col(c))
-            .when(before.isNotNull() & after.isNotNull() & (F.least(to_before, to_after) <= limit), inside)
-            .when(after.isNull() & (to_before <= limit), before["v"])
-            .when(before.isNull() & (to_after <= limit), after["v"])
-        )
-
-    return near.select(*[filled(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return near.selectExpr(*[filled(c) if c in columns else c for c in df.columns])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import bin_floor, day_type, half_up, ratio
@@ -14,27 +13,30 @@ PEAK_EVENTS = 25
 MIN_OBSERVATIONS = 10
 
 
+def _agg(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(text).alias(name) for name, text in columns.items()])
+
+
 def stage_demand(fact: DataFrame, balance_point: float = BALANCE_POINT_C) -> DataFrame:
     """Positive hours with degree split, surplus and day type.
 
     Degrees of an hour without a temperature are 0 here (``greatest`` skips NULL), unlike the
     model features, which keep the NULL.
     """
-    temp = F.col("temperature_2m")
-    return fact.where(F.col("demand_mwh") > 0).select(
+    return fact.where("demand_mwh > 0").selectExpr(
         "period_utc", "ba_code", "date_local", "hour_local",
         "demand_mwh", "demand_forecast_mwh", "net_generation_mwh", "total_interchange_mwh",
         "temperature_2m", "apparent_temperature", "relative_humidity_2m", "cloud_cover", "wind_speed_10m",
-        F.greatest(F.lit(balance_point) - temp, F.lit(0.0)).alias("heating_degrees"),
-        F.greatest(temp - F.lit(balance_point), F.lit(0.0)).alias("cooling_degrees"),
-        (F.col("net_generation_mwh") - F.col("demand_mwh")).alias("generation_surplus_mwh"),
+        f"greatest({balance_point}D - temperature_2m, 0D) as heating_degrees",
+        f"greatest(temperature_2m - {balance_point}D, 0D) as cooling_degrees",
+        "net_generation_mwh - demand_mwh as generation_surplus_mwh",
         "is_weekend", "is_holiday", "is_business_day", "season", "month", "year",
-        day_type(F.col("is_holiday"), F.col("is_weekend")).alias("day_type"),
+        f"{day_type()} as day_type",
     )
 
 
 def stage_accuracy(accuracy: DataFrame) -> DataFrame:
-    return accuracy.where(F.col("actual_mwh") > 0).select(
+    return accuracy.where("actual_mwh > 0").select(
         "period_utc", "ba_code", "date_local", "hour_local", "actual_mwh", "eia_forecast_mwh",
         "error_mwh", "abs_error_mwh", "abs_pct_error", "bias_direction",
     )
@@ -42,21 +44,25 @@ def stage_accuracy(accuracy: DataFrame) -> DataFrame:
 
 def daily_demand(hourly: DataFrame) -> DataFrame:
     """Daily totals, swing, load factor, degree days and the first hour of the daily peak."""
-    x, t = F.col("demand_mwh"), F.col("temperature_2m")
-    return hourly.groupBy("ba_code", "date_local", "day_type", "season").agg(
-        F.count(F.lit(1)).alias("hours_reported"),
-        half_up(F.sum(x)).alias("total_demand_mwh"),
-        half_up(F.avg(x)).alias("mean_demand_mw"),
-        half_up(F.max(x)).alias("peak_demand_mw"),
-        half_up(F.min(x)).alias("trough_demand_mw"),
-        half_up(F.max(x) - F.min(x)).alias("daily_swing_mw"),
-        half_up(ratio(F.avg(x), F.max(x)), 4).alias("load_factor"),
-        half_up(F.avg(t), 2).alias("mean_temp_c"),
-        half_up(F.max(t), 2).alias("max_temp_c"),
-        half_up(F.min(t), 2).alias("min_temp_c"),
-        half_up(F.sum("heating_degrees") / 24, 2).alias("heating_degree_days"),
-        half_up(F.sum("cooling_degrees") / 24, 2).alias("cooling_degree_days"),
-        F.max_by(F.col("hour_local"), F.struct(x, -F.unix_seconds("period_utc"))).alias("peak_hour_local"),
+    x, t = "demand_mwh", "temperature_2m"
+    return _agg(
+        hourly,
+        ["ba_code", "date_local", "day_type", "season"],
+        {
+            "hours_reported": "count(*)",
+            "total_demand_mwh": half_up(f"sum({x})"),
+            "mean_demand_mw": half_up(f"avg({x})"),
+            "peak_demand_mw": half_up(f"max({x})"),
+            "trough_demand_mw": half_up(f"min({x})"),
+            "daily_swing_mw": half_up(f"max({x}) - min({x})"),
+            "load_factor": half_up(ratio(f"avg({x})", f"max({x})"), 4),
+            "mean_temp_c": half_up(f"avg({t})", 2),
+            "max_temp_c": half_up(f"max({t})", 2),
+            "min_temp_c": half_up(f"min({t})", 2),
+            "heating_degree_days": half_up("sum(heating_degrees) / 24", 2),
+            "cooling_degree_days": half_up("sum(cooling_degrees) / 24", 2),
+            "peak_hour_local": f"max_by(hour_local, struct({x}, -unix_seconds(period_utc)))",
+        },
     )
 
 
@@ -66,62 +72,58 @@ def load_profile(hourly: DataFrame) -> DataFrame:
     A group holds one hour of the day within one season, at most 92 readings a year of one
     series, so the plain percentile aggregate stays small however long the history is.
     """
-    x = F.col("demand_mwh")
-    tails = F.percentile(x, F.array(F.lit(0.1), F.lit(0.9)))
-    profile = (
-        hourly.groupBy("ba_code", "season", "day_type", "hour_local")
-        .agg(F.avg(x).alias("_mean"), tails.alias("_tails"), F.count(F.lit(1)).alias("observations"))
-        .select(
-            "ba_code", "season", "day_type", "hour_local",
-            half_up(F.col("_mean")).alias("mean_demand_mw"),
-            half_up(F.get("_tails", F.lit(0))).alias("p10_demand_mw"),
-            half_up(F.get("_tails", F.lit(1))).alias("p90_demand_mw"),
-            "observations",
-        )
+    keys = ["ba_code", "season", "day_type", "hour_local"]
+    grouped = _agg(
+        hourly,
+        keys,
+        {
+            "mean_demand_mw": half_up("avg(demand_mwh)"),
+            "_tails": "percentile(demand_mwh, array(0.1, 0.9))",
+            "observations": "count(*)",
+        },
+    )
+    level = "avg(mean_demand_mw) over (partition by ba_code, season, day_type)"
+    return grouped.selectExpr(
+        *keys, "mean_demand_mw",
+        f"{half_up('_tails[0]')} as p10_demand_mw",
+        f"{half_up('_tails[1]')} as p90_demand_mw",
+        "observations",
+        f"{half_up(ratio('mean_demand_mw', level), 4)} as shape_index",
     )
-    level = F.avg("mean_demand_mw").over(W.partitionBy("ba_code", "season", "day_type"))
-    return profile.withColumn("shape_index", half_up(ratio(F.col("mean_demand_mw"), level), 4))
 
 
 def forecast_scorecard(accuracy: DataFrame) -> DataFrame:
     """Monthly accuracy and bias of the published forecast (a group is one month of one series)."""
-    ape, err = F.col("abs_pct_error"), F.col("error_mwh")
-    middle_and_tail = F.percentile(ape, F.array(F.lit(0.5), F.lit(0.95)))
-    over = F.count_if(F.col("bias_direction") == "over")
-    return (
-        accuracy.groupBy("ba_code", F.date_trunc("month", F.col("date_local")).alias("month_local"))
-        .agg(
-            F.count(F.lit(1)).alias("hours_scored"),
-            half_up(F.avg(ape), 3).alias("eia_mape_pct"),
-            middle_and_tail.alias("_q"),
-            half_up(F.avg("abs_error_mwh")).alias("eia_mae_mw"),
-            half_up(F.sqrt(F.avg(err * err))).alias("eia_rmse_mw"),
-            half_up(F.avg(err)).alias("mean_bias_mw"),
-            half_up(F.lit(100.0) * over / F.count(F.lit(1)), 1).alias("over_forecast_pct"),
-        )
-        .select(
-            "ba_code", "month_local", "hours_scored", "eia_mape_pct",
-            half_up(F.get("_q", F.lit(0)), 3).alias("eia_median_ape_pct"),
-            half_up(F.get("_q", F.lit(1)), 3).alias("eia_p95_ape_pct"),
-            "eia_mae_mw", "eia_rmse_mw", "mean_bias_mw", "over_forecast_pct",
-        )
+    months = accuracy.selectExpr("*", "date_trunc('month', date_local) as month_local")
+    return _agg(
+        months,
+        ["ba_code", "month_local"],
+        {
+            "hours_scored": "count(*)",
+            "eia_mape_pct": half_up("avg(abs_pct_error)", 3),
+            "eia_median_ape_pct": half_up("percentile(abs_pct_error, 0.5)", 3),
+            "eia_p95_ape_pct": half_up("percentile(abs_pct_error, 0.95)", 3),
+            "eia_mae_mw": half_up("avg(abs_error_mwh)"),
+            "eia_rmse_mw": half_up("sqrt(avg(error_mwh * error_mwh))"),
+            "mean_bias_mw": half_up("avg(error_mwh)"),
+            "over_forecast_pct": half_up("100D * count_if(bias_direction = 'over') / count(*)", 1),
+        },
     )
 
 
 def temperature_response(hourly: DataFrame) -> DataFrame:
     """Demand by two-degree bin, indexed on the key's own median; thin bins are left out."""
-    rows = with_group_median(hourly.where(F.col("temperature_2m").isNotNull()), ["ba_code"], "demand_mwh", "_median")
-    x = F.col("demand_mwh")
-    return (
-        rows.groupBy("ba_code", "day_type", bin_floor(F.col("temperature_2m"), 2.0).alias("temp_bin_c"))
-        .agg(
-            F.count(F.lit(1)).alias("observations"),
-            half_up(F.avg(x)).alias("mean_demand_mw"),
-            half_up(ratio(F.avg(x), F.max("_median")), 4).alias("demand_index"),
-            half_up(F.stddev_samp(x)).alias("demand_stddev_mw"),
-        )
-        .where(F.col("observations") >= MIN_OBSERVATIONS)
-    )
+    rows = with_group_median(hourly.where("temperature_2m is not null"), ["ba_code"], "demand_mwh", "_median")
+    return _agg(
+        rows.selectExpr("*", f"{bin_floor('temperature_2m', 2.0)} as temp_bin_c"),
+        ["ba_code", "day_type", "temp_bin_c"],
+        {
+            "observations": "count(*)",
+            "mean_demand_mw": half_up("avg(demand_mwh)"),
+            "demand_index": half_up(ratio("avg(demand_mwh)", "max(_median)"), 4),
+            "demand_stddev_mw": half_up("stddev_samp(demand_mwh)"),
+        },
+    ).where(f"observations >= {MIN_OBSERVATIONS}")
 
 
 def peak_events(daily: DataFrame, top: int = PEAK_EVENTS) -> DataFrame:
@@ -130,14 +132,14 @@ def peak_events(daily: DataFrame, top: int = PEAK_EVENTS) -> DataFrame:
     Ranks are limited before the shuffle, so no key's whole history meets in one task; the
     all-time peak is the peak of the first rank.
     """
-    order = [F.col("peak_demand_mw").desc(), F.col("date_local")]
-    ranked = daily.withColumn("peak_rank", F.row_number().over(W.partitionBy("ba_code").orderBy(*order)))
-    kept = ranked.where(F.col("peak_rank") <= top)
-    best = F.max("peak_demand_mw").over(W.partitionBy("ba_code"))
-    return kept.select(
+    ranked = daily.selectExpr(
+        "*", "row_number() over (partition by ba_code order by peak_demand_mw desc, date_local) as peak_rank"
+    ).where(f"peak_rank <= {top}")
+    best = "max(peak_demand_mw) over (partition by ba_code)"
+    return ranked.selectExpr(
         "ba_code", "date_local", "day_type", "season", "peak_demand_mw", "peak_hour_local", "max_temp_c",
         "min_temp_c", "load_factor", "peak_rank",
-        half_up(ratio(F.lit(100.0) * F.col("peak_demand_mw"), best), 2).alias("pct_of_all_time_peak"),
+        f"{half_up(ratio('100D * peak_demand_mw', best), 2)} as pct_of_all_time_peak",
     )
 
 

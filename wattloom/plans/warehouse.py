@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.holidays import calendar_columns
@@ -21,75 +21,50 @@ from wattloom.schemas import (
     WEATHER,
 )
 
+HOUR_KEY = ["ba_code", "period_utc"]
 MEASURE_COLUMNS = list(MEASURES.values())
-SILVER_COLUMNS = [
-    "period_utc", "ba_code", "timezone", "period_local", "date_local", "hour_local", "iso_dow_local",
-    *MEASURE_COLUMNS, *WEATHER,
-    "flag_missing_demand", "flag_nonpositive_demand", "flag_absent_interval", "flag_frozen_reading",
-]
-FACT_COLUMNS = [
-    "period_utc", "ba_code", "date_local", "hour_local", *MEASURE_COLUMNS, *WEATHER, "demand_clean_mwh",
-    "flag_missing_demand", "flag_nonpositive_demand", "flag_frozen_reading", "flag_extreme_ramp",
-    "flag_implausible_magnitude", "flag_isolated_spike", "day_of_week", "is_weekend", "is_holiday",
-    "is_business_day", "season", "month", "year", "is_day_before_holiday", "is_day_after_holiday",
+CALENDAR_COLUMNS = [
+    "day_of_week", "is_weekend", "is_holiday", "is_business_day", "season", "month", "year",
+    "is_day_before_holiday", "is_day_after_holiday",
 ]
 
 
-def weather_or_nulls(wide: DataFrame, weather: DataFrame | None) -> DataFrame:
+def weather_or_nulls(rows: DataFrame, weather: DataFrame | None) -> DataFrame:
     """Join weather on the hour; without weather data the columns exist and are NULL."""
     if weather is None:
-        return wide.withColumns({name: F.lit(None).cast("double") for name in WEATHER})
-    return wide.join(weather.select("ba_code", "period_utc", *WEATHER), ["ba_code", "period_utc"], "left")
+        return rows.selectExpr("*", *[f"cast(null as double) as {name}" for name in WEATHER])
+    return rows.join(weather.select(*HOUR_KEY, *WEATHER).hint("merge"), HOUR_KEY, "left")
 
 
 def hourly_frame(wide: DataFrame, bounds: DataFrame, dim_ba: DataFrame, weather: DataFrame | None) -> DataFrame:
-    """Gap-free hourly rows with measures, weather and civil local time, before any flag."""
-    reported = wide.withColumn("_reported", F.lit(True))
-    rows = hourly_spine(bounds).join(reported, ["ba_code", "period_utc"], "left")
-    rows = weather_or_nulls(rows, weather).join(dim_ba.select("ba_code", "timezone"), "ba_code")
-    rows = rows.withColumn("period_local", local_clock(F.col("timezone"), F.col("period_utc")))
-    return rows.withColumns(
-        {
-            "date_local": F.to_date("period_local"),
-            "hour_local": F.hour("period_local"),
-            "iso_dow_local": F.weekday("period_local") + 1,
-        }
-    )
-
-
-def _frozen(w) -> Column:
-    x = F.col("demand_mwh")
-    return x.isNotNull() & (x == F.lag(x, 1).over(w)) & (x == F.lag(x, 2).over(w))
-
-
-def _local_median(w, reach: int) -> Column:
-    """Exact median of the rows within ``reach`` of this one; frames are partial at the ends."""
-    x = F.col("demand_mwh")
-    around = [F.lag(x, i).over(w) for i in range(reach, 0, -1)] + [x] + [F.lead(x, i).over(w) for i in range(1, reach + 1)]
-    values = F.sort_array(F.array_compact(F.array(*around)))
-    n = F.size(values)
-    upper, lower = F.get(values, F.floor(n / 2).cast("int")), F.get(values, F.floor((n - 1) / 2).cast("int"))
-    return F.when(n > 0, (lower + upper) / 2)
-
+    """Gap-free hourly rows with measures, weather and civil local time, before any flag.
 
-def _demand_flags() -> dict[str, Column]:
-    x = F.col("demand_mwh")
-    return {
-        "flag_missing_demand": x.isNull(),
-        "flag_nonpositive_demand": x.isNotNull() & (x < MIN_PLAUSIBLE_MWH),
-        "flag_absent_interval": F.col("_reported").isNull(),
-    }
+    Spine, measures and weather are joined by sort-merge: the spine is generated, so its size is
+    not visible in the statistics a broadcast would be decided on.
+    """
+    reported = wide.selectExpr("*", "true as _reported")
+    rows = hourly_spine(bounds).hint("merge").join(reported, HOUR_KEY, "left")
+    rows = weather_or_nulls(rows, weather).join(dim_ba.select("ba_code", "timezone"), "ba_code")
+    return rows.selectExpr("*", f"{local_clock()} as period_local")
 
 
 def build_silver(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """``silver_grid_hourly``: the hourly spine with quality flags; nothing is dropped."""
     rows = hourly_frame(wide, bounds if bounds is not None else series_bounds(wide), dim_ba, weather)
-
-    def flags(df: DataFrame, w) -> DataFrame:
-        return df.withColumn("flag_frozen_reading", _frozen(w))
-
-    flagged = over_chunks(rows, ["ba_code"], hour_number(F.col("period_utc")), SPIKE_REACH, 0, flags)
-    return flagged.withColumns(_demand_flags()).select(*SILVER_COLUMNS)
+    frozen = """demand_mwh is not null and demand_mwh = lag(demand_mwh) over ({w})
+                and demand_mwh = lag(demand_mwh, 2) over ({w})"""
+    flagged = over_chunks(rows, ["ba_code"], hour_number(), SPIKE_REACH, 0, {"flag_frozen_reading": frozen})
+    return flagged.selectExpr(
+        *HOUR_KEY[::-1], "timezone", "period_local",
+        "to_date(period_local) as date_local",
+        "hour(period_local) as hour_local",
+        "weekday(period_local) + 1 as iso_dow_local",
+        *MEASURE_COLUMNS, *WEATHER,
+        "demand_mwh is null as flag_missing_demand",
+        f"demand_mwh is not null and demand_mwh < {MIN_PLAUSIBLE_MWH}D as flag_nonpositive_demand",
+        "_reported is null as flag_absent_interval",
+        "flag_frozen_reading",
+    )
 
 
 def build_dim_date(days: DataFrame, extra_days: int = 20) -> DataFrame:
@@ -98,69 +73,77 @@ def build_dim_date(days: DataFrame, extra_days: int = 20) -> DataFrame:
     Holiday adjacency is false where the neighbouring day lies outside the calendar.
     """
     span = days.agg(F.min("date_local").alias("_lo"), F.date_add(F.max("date_local"), extra_days).alias("_hi"))
-    calendar = span.select("_lo", "_hi", F.explode(F.sequence("_lo", "_hi")).alias("date_day"))
-    attributes = calendar_columns(F.col("date_day"))
-    attributes["is_day_before_holiday"] = attributes["is_day_before_holiday"] & (F.col("date_day") < F.col("_hi"))
-    attributes["is_day_after_holiday"] = attributes["is_day_after_holiday"] & (F.col("date_day") > F.col("_lo"))
-    return calendar.select("date_day", *[c.alias(name) for name, c in attributes.items()])
+    attributes = calendar_columns("date_day")
+    attributes["is_day_before_holiday"] += " and date_day < _hi"
+    attributes["is_day_after_holiday"] += " and date_day > _lo"
+    return span.selectExpr("_lo", "_hi", "explode(sequence(_lo, _hi)) as date_day").selectExpr(
+        "date_day", *[f"({text}) as {name}" for name, text in attributes.items()]
+    )
 
 
 def demand_bounds(demand: DataFrame) -> DataFrame:
     """Median of the positive readings of each key and the plausible band around it."""
-    positive = demand.where(F.col("demand_mwh") > 0)
-    return grouped_quantiles(positive, ["ba_code"], "demand_mwh", {"median_demand": 0.5}).select(
+    median = grouped_quantiles(demand.where("demand_mwh > 0"), ["ba_code"], "demand_mwh", {"median_demand": 0.5})
+    return median.selectExpr(
         "ba_code",
         "median_demand",
-        (F.col("median_demand") * LOWER_FACTOR).alias("lower_bound"),
-        (F.col("median_demand") * UPPER_FACTOR).alias("upper_bound"),
+        f"median_demand * {LOWER_FACTOR}D as lower_bound",
+        f"median_demand * {UPPER_FACTOR}D as upper_bound",
     )
 
 
-def build_fact(silver: DataFrame, dim_date: DataFrame, bounds: DataFrame) -> DataFrame:
-    """``fact_demand_hourly``: raw and trusted demand, ramp, magnitude and spike flags, calendar."""
-    x = F.col("demand_mwh")
+def local_median(value: str, reach: int) -> str:
+    """Exact median of the rows within ``reach`` of this one; frames are partial at the ends."""
+    offsets = [f"lag({value}, {i}) over ({{w}})" for i in range(reach, 0, -1)]
+    offsets += [value] + [f"lead({value}, {i}) over ({{w}})" for i in range(1, reach + 1)]
+    return f"sort_array(array_compact(array({', '.join(offsets)})))"
 
-    def neighbours(df: DataFrame, w) -> DataFrame:
-        return df.withColumns({"_previous": F.lag(x).over(w), "_median": _local_median(w, SPIKE_REACH)})
 
-    rows = over_chunks(silver, ["ba_code"], hour_number(F.col("period_utc")), SPIKE_REACH, SPIKE_REACH, neighbours)
-    rows = rows.join(bounds, "ba_code", "left").join(
-        dim_date.withColumnRenamed("date_day", "date_local"), "date_local", "left"
+def build_fact(silver: DataFrame, dim_date: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``fact_demand_hourly``: raw and trusted demand, ramp, magnitude and spike flags, calendar."""
+    rows = over_chunks(
+        silver, ["ba_code"], hour_number(), SPIKE_REACH, SPIKE_REACH,
+        {"_previous": "lag(demand_mwh) over ({w})", "_near": local_median("demand_mwh", SPIKE_REACH)},
     )
-    departs = ratio(F.abs(x - F.col("_median")), F.col("_median")) * 100 > SPIKE_PCT
-    spike = x.isNotNull() & F.col("_median").isNotNull() & departs
-    outside = (x < F.col("lower_bound")) | (x > F.col("upper_bound"))
-    trusted = (
-        x.isNotNull()
-        & ~F.col("flag_nonpositive_demand")
-        & x.between(F.col("lower_bound"), F.col("upper_bound"))
-        & ~(F.col("_median").isNotNull() & departs)
+    middle = "(get(_near, cast((size(_near) - 1) div 2 as int)) + get(_near, cast(size(_near) div 2 as int))) / 2"
+    departs = f"({ratio('abs(demand_mwh - _median)', '_median')} * 100 > {SPIKE_PCT}D)"
+    return (
+        rows.selectExpr("*", f"case when size(_near) > 0 then {middle} end as _median")
+        .join(bounds, "ba_code", "left")
+        .join(dim_date.withColumnRenamed("date_day", "date_local").select("date_local", *CALENDAR_COLUMNS), "date_local", "left")
+        .selectExpr(
+            "period_utc", "ba_code", "date_local", "hour_local", *MEASURE_COLUMNS, *WEATHER,
+            f"""case when demand_mwh is not null and not flag_nonpositive_demand
+                      and demand_mwh between lower_bound and upper_bound
+                      and not (_median is not null and {departs}) then demand_mwh end as demand_clean_mwh""",
+            "flag_missing_demand", "flag_nonpositive_demand", "flag_frozen_reading",
+            f"{ratio('abs(demand_mwh - _previous)', '_previous')} * 100 > {MAX_RAMP_PCT}D as flag_extreme_ramp",
+            "demand_mwh is not null and (demand_mwh < lower_bound or demand_mwh > upper_bound) as flag_implausible_magnitude",
+            f"demand_mwh is not null and _median is not null and {departs} as flag_isolated_spike",
+            *CALENDAR_COLUMNS,
+        )
     )
-    return rows.withColumns(
-        {
-            "demand_clean_mwh": F.when(trusted, x),
-            "flag_extreme_ramp": ratio(F.abs(x - F.col("_previous")), F.col("_previous")) * 100 > MAX_RAMP_PCT,
-            "flag_implausible_magnitude": x.isNotNull() & outside,
-            "flag_isolated_spike": spike,
-        }
-    ).select(*FACT_COLUMNS)
 
 
 def build_accuracy(fact: DataFrame) -> DataFrame:
     """``fact_forecast_accuracy``: error of the published forecast against trusted demand."""
-    actual, published = F.col("demand_clean_mwh"), F.col("demand_forecast_mwh")
-    error = published - actual
-    return fact.where(actual.isNotNull() & published.isNotNull()).select(
-        "period_utc",
-        "ba_code",
-        "date_local",
-        "hour_local",
-        actual.alias("actual_mwh"),
-        published.alias("eia_forecast_mwh"),
-        error.alias("error_mwh"),
-        F.abs(error).alias("abs_error_mwh"),
-        (ratio(F.abs(error), actual) * 100).alias("abs_pct_error"),
-        F.when(published > actual, "over").otherwise("under").alias("bias_direction"),
+    error = "(demand_forecast_mwh - demand_clean_mwh)"
+    return fact.where("demand_clean_mwh is not null and demand_forecast_mwh is not null").selectExpr(
+        "period_utc", "ba_code", "date_local", "hour_local",
+        "demand_clean_mwh as actual_mwh",
+        "demand_forecast_mwh as eia_forecast_mwh",
+        f"{error} as error_mwh",
+        f"abs({error}) as abs_error_mwh",
+        f"{ratio(f'abs({error})', 'demand_clean_mwh')} * 100 as abs_pct_error",
+        "case when demand_forecast_mwh > demand_clean_mwh then 'over' else 'under' end as bias_direction",
+    )
+
+
+def calendar_span(bounds: DataFrame, dim_ba: DataFrame) -> DataFrame:
+    """The local dates on which the series begin and end, straight from the series bounds."""
+    ends = bounds.join(dim_ba.select("ba_code", "timezone"), "ba_code")
+    return ends.selectExpr("timezone", "explode(array(lo, hi)) as period_utc").selectExpr(
+        f"to_date({local_clock()}) as date_local"
     )
 
 
@@ -168,11 +151,7 @@ def build_gold(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = N
     """All data-layer tables as lazy plans over pivoted measures."""
     bounds = bounds if bounds is not None else series_bounds(wide)
     silver = build_silver(wide, dim_ba, weather, bounds)
-    # The calendar span follows from the series bounds alone: the local date grows with the period.
-    edges = bounds.join(dim_ba.select("ba_code", "timezone"), "ba_code").select(
-        F.explode(F.array("lo", "hi")).alias("p"), "timezone"
-    )
-    dim_date = build_dim_date(edges.select(F.to_date(local_clock(F.col("timezone"), F.col("p"))).alias("date_local")))
+    dim_date = build_dim_date(calendar_span(bounds, dim_ba))
     fact = build_fact(silver, dim_date, demand_bounds(wide))
     return {
         "dim_ba": dim_ba,

@@ -8,7 +8,7 @@ duplicates, late corrections and an unknown measure code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import half_up
@@ -25,123 +25,110 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feeder(suppkey: Column) -> Column:
-    return F.floor(suppkey / SUPPLIERS_PER_FEEDER)
+def feeder(suppkey: str) -> str:
+    return f"floor({suppkey} / {SUPPLIERS_PER_FEEDER})"
 
 
-def feeder_code(number: Column) -> Column:
-    return F.concat(F.lit("BA"), F.lpad(number.cast("string"), 6, "0"))
+def feeder_code(number: str) -> str:
+    return f"concat('BA', lpad(cast({number} as string), 6, '0'))"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = F.datediff(F.to_date("l_shipdate"), F.lit(FIRST_SHIP_DAY).cast("date"))
-    return table(spark, sf_dir, "lineitem").select(
+    """Line items with their feeder, hour of the series and order of arrival."""
+    step = f"datediff(to_date(l_shipdate), date'{FIRST_SHIP_DAY}')"
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "*",
-        feeder(F.col("l_suppkey")).alias("g"),
-        step.alias("step"),
-        (step % 24).alias("h"),
-        F.timestamp_seconds(F.unix_seconds(F.lit(SERIES_START).cast("timestamp")) + step * 3600).alias("period_utc"),
-        F.col("l_shipdate").cast("timestamp").alias("ingested_at_utc"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
-        F.col("l_partkey").alias("seq2"),
+        f"{feeder('l_suppkey')} as g",
+        f"{step} % 24 as h",
+        f"timestamp_seconds(unix_seconds(timestamp'{SERIES_START}') + {step} * 3600) as period_utc",
+        "cast(l_shipdate as timestamp) as ingested_at_utc",
+        "l_orderkey * 8 + l_linenumber as seq",
+        "l_partkey as seq2",
     )
 
 
 def feeder_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze measures: four readings per line item, with meter faults and unreported values."""
-    qty, line = F.col("l_quantity"), F.col("l_linenumber")
-    level = 1000.0 * (1 + F.col("g") % 5)
-    shape = F.when(F.col("h") < 6, 0.9).otherwise(1.18 - F.abs(F.col("h") - 15) * 0.02)
-    noise = 1 + F.floor(qty / 10) * 0.02
-    fault = (
-        F.when((line == 7) & (qty >= 49), 10.0)
-        .when((line == 6) & (qty <= 1), 0.0)
-        .when((line == 5) & (F.col("l_tax") == 0.08) & (qty > 40), 1.4)
-        .otherwise(1.0)
-    )
-    plain = level * shape * noise
-    demand = half_up(plain * fault, 1)
-
-    def reading(code: str, value: Column) -> Column:
-        return F.struct(F.lit(code).alias("measure_code"), value.alias("value_mwh"))
-
-    silent = (line == 4) & (qty >= 40)
-    published = F.when(~((F.col("l_returnflag") == "N") & (F.col("l_discount") == 0)), half_up(plain * (0.96 + 0.8 * F.col("l_discount")), 1))
-    readings = F.array(
-        reading("D", F.when(~silent, demand)),
-        reading("DF", published),
-        reading("NG", half_up(plain * 1.03, 1)),
-        reading("TI", half_up(plain * (F.col("l_tax") - 0.04), 1)),
-    )
-    return (
-        _lines(spark, sf_dir)
-        .select("period_utc", feeder_code(F.col("g")).alias("ba_code"), "ingested_at_utc", "seq", "seq2", F.inline(readings))
-        .select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "seq", "seq2")
+    lines = _lines(spark, sf_dir).selectExpr(
+        "*",
+        f"{feeder_code('g')} as ba_code",
+        """1000D * (1 + g % 5)
+           * case when h < 6 then 0.9D else 1.18D - abs(h - 15) * 0.02D end
+           * (1 + floor(l_quantity / 10) * 0.02D) as plain""",
+        """case when l_linenumber = 7 and l_quantity >= 49 then 10D
+                when l_linenumber = 6 and l_quantity <= 1 then 0D
+                when l_linenumber = 5 and l_tax = 0.08D and l_quantity > 40 then 1.4D
+                else 1D end as fault""",
     )
+    return lines.selectExpr(
+        "period_utc", "ba_code", "ingested_at_utc", "seq", "seq2",
+        f"""stack(4,
+            'D', case when not (l_linenumber = 4 and l_quantity >= 40) then {half_up('plain * fault', 1)} end,
+            'DF', case when not (l_returnflag = 'N' and l_discount = 0)
+                       then {half_up('plain * (0.96D + 0.8D * l_discount)', 1)} end,
+            'NG', {half_up('plain * 1.03D', 1)},
+            'TI', {half_up('plain * (l_tax - 0.04D)', 1)}) as (measure_code, value_mwh)""",
+    ).select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "seq", "seq2")
 
 
 def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze weather: one record per line item, archive or forecast by line status."""
-    qty, line, h = F.col("l_quantity"), F.col("l_linenumber"), F.col("h")
-    absent = (line == 3) & (qty >= 45)
-    glitch = (line == 2) & (qty >= 50) & (F.col("l_tax") == 0.08)
-    temp = F.when(glitch, 99.0).when(~absent, half_up(14 + (qty - 25.5) * 0.4 + (6 - F.abs(h - 14)) * 0.5, 2))
-    return _lines(spark, sf_dir).select(
-        "period_utc",
-        temp.alias("temperature_2m"),
-        F.when(~absent, half_up(50 + F.col("l_discount") * 300, 1)).alias("relative_humidity_2m"),
-        half_up(temp - 5, 2).alias("dew_point_2m"),
-        half_up(temp - F.col("l_tax") * 20, 2).alias("apparent_temperature"),
-        (qty * 2).alias("cloud_cover"),
-        F.when(line != 1, half_up(F.col("l_tax") * 100, 1)).alias("wind_speed_10m"),
-        F.greatest(F.lit(0.0), 600.0 - 50.0 * F.abs(h - 12)).alias("shortwave_radiation"),
-        feeder_code(F.col("g")).alias("ba_code"),
-        F.when(F.col("l_linestatus") == "F", ARCHIVE_SOURCE).otherwise(FORECAST_SOURCE).alias("source"),
-        "ingested_at_utc",
-        "seq",
-        "seq2",
+    return (
+        _lines(spark, sf_dir)
+        .selectExpr(
+            "*",
+            "(l_linenumber = 3 and l_quantity >= 45) as absent",
+            f"""case when l_linenumber = 2 and l_quantity >= 50 and l_tax = 0.08D then 99D
+                     when not (l_linenumber = 3 and l_quantity >= 45)
+                     then {half_up('14 + (l_quantity - 25.5D) * 0.4D + (6 - abs(h - 14)) * 0.5D', 2)} end as temp""",
+        )
+        .selectExpr(
+            "period_utc",
+            "temp as temperature_2m",
+            f"case when not absent then {half_up('50 + l_discount * 300', 1)} end as relative_humidity_2m",
+            f"{half_up('temp - 5', 2)} as dew_point_2m",
+            f"{half_up('temp - l_tax * 20', 2)} as apparent_temperature",
+            "l_quantity * 2 as cloud_cover",
+            f"case when l_linenumber <> 1 then {half_up('l_tax * 100', 1)} end as wind_speed_10m",
+            "greatest(0D, 600D - 50D * abs(h - 12)) as shortwave_radiation",
+            f"{feeder_code('g')} as ba_code",
+            f"case when l_linestatus = 'F' then '{ARCHIVE_SOURCE}' else '{FORECAST_SOURCE}' end as source",
+            "ingested_at_utc", "seq", "seq2",
+        )
     )
 
 
 def feeder_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``dim_ba`` rows of the feeders, from suppliers and their nations."""
-    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (F.col("g") % len(ZONES) + 1).cast("int"))
-    suppliers = table(spark, sf_dir, "supplier").select("*", feeder(F.col("s_suppkey")).alias("g"))
+    zones = ", ".join(f"'{z}'" for z in ZONES)
     nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
     return (
-        suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .groupBy("g")
+        table(spark, sf_dir, "supplier")
+        .join(nations, F.expr("s_nationkey = n_nationkey"))
+        .groupBy(F.expr(feeder("s_suppkey")).alias("g"))
         .agg(F.min("s_name").alias("ba_name"), F.min("r_name").alias("region"), F.min("n_name").alias("load_centre"))
-        .select(
-            feeder_code(F.col("g")).alias("ba_code"),
+        .selectExpr(
+            f"{feeder_code('g')} as ba_code",
             "ba_name",
-            zone.alias("timezone"),
+            f"get(array({zones}), cast(g % {len(ZONES)} as int)) as timezone",
             "region",
             "load_centre",
-            (F.lit(25.0) + F.col("g") % 20).alias("latitude"),
-            (F.lit(-120.0) + F.col("g") % 50).alias("longitude"),
+            "25D + g % 20 as latitude",
+            "-120D + g % 50 as longitude",
         )
     )
 
 
 def event_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze measures from events: three authorities, one reading per event."""
-    code = F.element_at(F.array(F.lit("PJM"), F.lit("ERCO"), F.lit("CISO")), (F.col("user_id") % 3 + 1).cast("int"))
-    measure = (
-        F.when(F.col("event_type") == "view", "D")
-        .when(F.col("event_type") == "click", "DF")
-        .when(F.col("event_type") == "purchase", "NG")
-        .when(F.col("event_type") == "signup", "TI")
-        .otherwise("XX")
-    )
-    ts = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
-        F.timestamp_seconds(F.floor(F.unix_seconds(ts) / 3600) * 3600).alias("period_utc"),
-        code.alias("ba_code"),
-        measure.alias("measure_code"),
-        F.col("value").alias("value_mwh"),
-        ts.alias("ingested_at_utc"),
-        F.col("event_id").alias("seq"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "timestamp_seconds(floor(unix_seconds(cast(ts as timestamp)) / 3600) * 3600) as period_utc",
+        "get(array('PJM', 'ERCO', 'CISO'), cast(user_id % 3 as int)) as ba_code",
+        """case event_type when 'view' then 'D' when 'click' then 'DF' when 'purchase' then 'NG'
+                           when 'signup' then 'TI' else 'XX' end as measure_code""",
+        "value as value_mwh",
+        "cast(ts as timestamp) as ingested_at_utc",
+        "event_id as seq",
     )
