@@ -1 +1,169 @@
-"""placeholder"""
+"""Data-quality suite and table tests."""
+
+from __future__ import annotations
+
+from wattloom.catalogue.base import event_gold, feeder_gold, r, register, view
+from wattloom.plans import marts, quality, table_tests
+from wattloom.session import cut_lineage
+
+_DQ_COLUMNS = [
+    "ba_code", "period_utc", "date_local", "demand_mwh", "demand_forecast_mwh", "demand_clean_mwh", "temperature_2m",
+    "flag_missing_demand", "flag_frozen_reading", "flag_extreme_ramp",
+]
+
+
+def _tables(gold):
+    """The fact is read by several checks, so it is written once first, as the built table would be."""
+    fact = cut_lineage(gold["fact_demand_hourly"].select(*_DQ_COLUMNS))
+    accuracy = fact.where("demand_clean_mwh is not null and demand_forecast_mwh is not null")
+    return {
+        "fact_demand_hourly": fact, "fact_forecast_accuracy": accuracy,
+        "dim_ba": gold["dim_ba"], "dim_date": gold["dim_date"],
+    }
+
+
+def _results(spark, sf_dir, source=feeder_gold):
+    return quality.run_suite(_tables(source(spark, sf_dir)), "timestamp'2023-03-01'", "timestamp'2023-03-01'")
+
+
+def _dq_sql(fact, accuracy, dim, dates):
+    checks = [
+        ("demand_not_null", f"SELECT count(*) FILTER (WHERE demand_mwh IS NULL), count(*) FROM {fact}"),
+        ("demand_positive", f"SELECT count(*) FILTER (WHERE demand_mwh <= 0), count(demand_mwh) FROM {fact}"),
+        ("demand_magnitude_plausible",
+         f"""SELECT count(*) FILTER (WHERE f.demand_mwh < b.med * 0.2::DOUBLE OR f.demand_mwh > b.med * 5.0::DOUBLE), count(*)
+             FROM {fact} f JOIN (SELECT ba_code, median(demand_mwh) AS med FROM {fact} WHERE demand_mwh > 0 GROUP BY 1) b
+             USING (ba_code) WHERE f.demand_mwh IS NOT NULL"""),
+        ("demand_dispersion_sane",
+         f"""SELECT count(*) FILTER (WHERE sd > mu), count(*) FROM (SELECT ba_code, avg(demand_clean_mwh) AS mu,
+             stddev_samp(demand_clean_mwh) AS sd FROM {fact} WHERE demand_clean_mwh IS NOT NULL GROUP BY 1)"""),
+        ("cleaned_series_is_usable",
+         f"SELECT count(*) FILTER (WHERE demand_clean_mwh IS NULL AND demand_mwh IS NOT NULL), count(demand_mwh) FROM {fact}"),
+        ("no_duplicate_intervals",
+         f"SELECT coalesce(sum(n - 1), 0), count(*) FROM (SELECT count(*) AS n FROM {fact} GROUP BY ba_code, period_utc)"),
+        ("no_missing_hours", f"SELECT count(*) FILTER (WHERE flag_missing_demand), count(*) FROM {fact}"),
+        ("no_frozen_readings", f"SELECT count(*) FILTER (WHERE flag_frozen_reading), count(*) FROM {fact}"),
+        ("no_extreme_ramps", f"SELECT count(*) FILTER (WHERE flag_extreme_ramp), count(*) FROM {fact}"),
+        ("referential_integrity_ba",
+         f"SELECT count(*) FILTER (WHERE d.ba_code IS NULL), count(*) FROM {fact} f LEFT JOIN {dim} d USING (ba_code)"),
+        ("referential_integrity_date",
+         f"SELECT count(*) FILTER (WHERE d.date_day IS NULL), count(*) FROM {fact} f LEFT JOIN {dates} d ON d.date_day = f.date_local"),
+        ("weather_coverage", f"SELECT count(*) FILTER (WHERE temperature_2m IS NULL), count(*) FROM {fact}"),
+        ("temperature_physically_plausible",
+         f"SELECT count(*) FILTER (WHERE temperature_2m < -60 OR temperature_2m > 60), count(temperature_2m) FROM {fact}"),
+        ("data_freshness",
+         f"""SELECT CASE WHEN max(period_utc) < TIMESTAMP '2023-03-01' - INTERVAL 48 HOUR THEN 1 ELSE 0 END, 1
+             FROM {fact} WHERE demand_mwh IS NOT NULL"""),
+        ("eia_benchmark_available", f"SELECT CASE WHEN count(*) < 1000 THEN 1 ELSE 0 END, 1 FROM {accuracy}"),
+        ("all_bas_present",
+         f"""SELECT count(*) FILTER (WHERE f.ba_code IS NULL), count(*) FROM {dim} d
+             LEFT JOIN (SELECT DISTINCT ba_code FROM {fact}) f USING (ba_code)"""),
+    ]
+    values = ", ".join(
+        f"('{c.name}', '{c.dimension}', '{c.severity}', '{c.description.replace(chr(39), chr(39) * 2)}', {c.threshold}::DOUBLE)"
+        for c in quality.CHECKS
+    )
+    measured = " UNION ALL ".join(f"SELECT '{name}' AS check_name, * FROM ({sql}) AS t(failed, total)" for name, sql in checks)
+    rate = "coalesce(failed / nullif(total, 0)::DOUBLE, 0)"
+    return f"""
+    SELECT TIMESTAMP '2023-03-01' AS run_at_utc, check_name, dimension, severity, description,
+           CAST(failed AS BIGINT) AS failed_rows, CAST(total AS BIGINT) AS total_rows,
+           {r(f'100 * {rate}', 4)} AS failure_rate_pct, {r('100 * threshold', 4)} AS threshold_pct,
+           {rate} <= threshold AS passed, CAST(NULL AS VARCHAR) AS error
+    FROM (VALUES {values}) AS c(check_name, dimension, severity, description, threshold)
+    JOIN ({measured}) USING (check_name)
+    """
+
+
+view("feed_dq", _dq_sql("feed_fact", "feed_accuracy", "feed_dim", "feed_dates"))
+view(
+    "event_dim_all",
+    "SELECT unnest(['PJM','MISO','ERCO','CISO','NYIS','ISNE','SWPP','BPAT','FPL','DUK','SOCO','TVA']) AS ba_code",
+)
+view("event_dq", _dq_sql("event_fact", "event_accuracy", "event_dim_all", "event_dates"))
+
+register("dq_results", "SELECT * FROM feed_dq")(_results)
+register("dq_results_events", "SELECT * FROM event_dq")(lambda s, d: _results(s, d, event_gold))
+register(
+    "dq_scorecard",
+    f"""SELECT dimension, count(*) AS checks_run, count(*) FILTER (WHERE passed) AS checks_passed,
+               {r('100.0::DOUBLE * count(*) FILTER (WHERE passed) / count(*)', 1)} AS pass_pct, max(run_at_utc) AS run_at_utc
+        FROM feed_dq GROUP BY dimension""",
+)(lambda s, d: quality.scorecard(_results(s, d)))
+
+_W = "CASE severity WHEN 'critical' THEN 3.0::DOUBLE WHEN 'warning' THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END"
+register(
+    "dq_verdict",
+    f"""SELECT {r(f'100 * sum(CASE WHEN passed THEN {_W} ELSE 0 END) / sum({_W})', 1)} AS score,
+               count(*) FILTER (WHERE severity = 'critical' AND NOT passed) = 0 AS suite_passed,
+               count(*) FILTER (WHERE passed) AS checks_passed, count(*) AS checks_run FROM event_dq""",
+)(lambda s, d: quality.verdict(_results(s, d, event_gold)))
+
+
+def _fail(name: str, condition: str, source: str) -> str:
+    return f"SELECT '{name}' AS test, count(*) FILTER (WHERE {condition}) AS failed FROM {source}"
+
+
+def _dup(table: str, columns: str, source: str) -> str:
+    return (
+        f"SELECT 'unique {table}.{columns.replace(', ', '+')}' AS test, count(*) FILTER (WHERE n > 1) AS failed "
+        f"FROM (SELECT count(*) AS n FROM {source} GROUP BY {columns})"
+    )
+
+
+_TESTS = [
+    _fail("not_null fact_demand_hourly.period_utc", "period_utc IS NULL", "feed_fact"),
+    _fail("not_null fact_demand_hourly.ba_code", "ba_code IS NULL", "feed_fact"),
+    _fail("not_null dim_ba.ba_code", "ba_code IS NULL", "feed_dim"),
+    _dup("dim_ba", "ba_code", "feed_dim"),
+    _fail("not_null dim_date.date_day", "date_day IS NULL", "feed_dates"),
+    _dup("dim_date", "date_day", "feed_dates"),
+    *[_fail(f"not_null stg_demand_hourly.{c}", f"{c} IS NULL", "stg_demand") for c in ("period_utc", "ba_code", "demand_mwh")],
+    "SELECT 'relationship stg_demand_hourly.ba_code' AS test, count(*) AS failed FROM stg_demand "
+    "WHERE ba_code NOT IN (SELECT ba_code FROM feed_dim)",
+    _fail("accepted_range stg_demand_hourly.demand_mwh", "demand_mwh <= 0", "stg_demand"),
+    _fail("accepted_values stg_demand_hourly.day_type", "day_type NOT IN ('Weekday','Weekend','Holiday')", "stg_demand"),
+    _fail("accepted_range stg_forecast_accuracy.abs_pct_error", "abs_pct_error < 0 OR abs_pct_error > 500", "stg_accuracy"),
+    *[_fail(f"not_null mart_daily_demand.{c}", f"{c} IS NULL", "mart_daily") for c in ("ba_code", "date_local")],
+    _fail("accepted_range mart_daily_demand.load_factor", "load_factor < 0 OR load_factor > 1", "mart_daily"),
+    _fail("accepted_range mart_daily_demand.peak_hour_local", "peak_hour_local < 0 OR peak_hour_local > 23", "mart_daily"),
+    _dup("mart_daily_demand", "ba_code, date_local", "mart_daily"),
+    "SELECT 'unique mart_load_profile.ba_code+season+day_type+hour_local' AS test, count(*) FILTER (WHERE n > 1) AS failed "
+    "FROM (SELECT count(*) AS n FROM (SELECT DISTINCT ba_code, season, day_type, hour_local FROM stg_demand) "
+    "GROUP BY ba_code, season, day_type, hour_local)",
+    "SELECT 'not_null mart_forecast_scorecard.eia_mape_pct' AS test, count(*) FILTER (WHERE m IS NULL) AS failed FROM month_mape",
+    "SELECT 'accepted_range mart_forecast_scorecard.eia_mape_pct' AS test, count(*) FILTER (WHERE m < 0 OR m > 100) AS failed FROM month_mape",
+    "SELECT 'accepted_range mart_peak_events.pct_of_all_time_peak' AS test, count(*) FILTER (WHERE p > 100.01) AS failed "
+    "FROM (SELECT 100.0 * peak_demand_mw / max(peak_demand_mw) OVER (PARTITION BY ba_code) AS p FROM mart_daily)",
+]
+view(
+    "month_mape",
+    "SELECT ba_code, date_trunc('month', date_local) AS mth, avg(abs_pct_error) AS m FROM stg_accuracy GROUP BY 1, 2",
+)
+
+
+@register("model_tests", " UNION ALL ".join(_TESTS))
+def _model_tests(spark, sf_dir):
+    gold = feeder_gold(spark, sf_dir)
+    fact = cut_lineage(gold["fact_demand_hourly"])
+    from wattloom.plans.warehouse import build_accuracy
+
+    gold = {**gold, "fact_demand_hourly": fact, "fact_forecast_accuracy": build_accuracy(fact)}
+    return table_tests.model_tests(gold, marts.build_marts(fact, gold["fact_forecast_accuracy"]))
+
+
+@register(
+    "asset_checks",
+    """SELECT 'fact_table_populated' AS test,
+              CASE WHEN count(*) > 0 AND count(DISTINCT ba_code) = (SELECT count(*) FROM event_dim_all) THEN 0 ELSE 1 END AS failed
+       FROM event_fact
+       UNION ALL
+       SELECT 'benchmark_present', CASE WHEN count(*) > 1000 THEN 0 ELSE 1 END FROM event_accuracy""",
+)
+def _asset_checks(spark, sf_dir):
+    from wattloom.registry import CODES
+
+    gold = event_gold(spark, sf_dir)
+    return table_tests.fact_populated(gold["fact_demand_hourly"], len(CODES)).unionByName(
+        table_tests.benchmark_present(gold["fact_forecast_accuracy"])
+    )

@@ -8,10 +8,14 @@ so results equal the one-window form as long as frames stay within ``back`` / ``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+Step = dict[str, str] | Callable[[DataFrame, str], DataFrame]
+
 MIN_CHUNK = 2160
 CHUNK, HOME, POSITION = "_chunk", "_home", "_position"
 
@@ -27,13 +31,14 @@ def over_chunks(
     position: str,
     back: int,
     ahead: int,
-    *steps: dict[str, str],
+    *steps: Step,
     size: int | None = None,
 ) -> DataFrame:
     """Add window columns to bounded pieces of each series.
 
-    Each step maps new column names to SQL text in which ``{w}`` stands for "partition by key and
-    chunk, order by position"; a later step may use the columns of an earlier one.
+    A step maps new column names to SQL text in which ``{w}`` stands for "partition by key and
+    chunk, order by position", or is a function of (rows, that window text); a later step may use
+    the columns of an earlier one.
 
     ``position`` must be a dense row number within the key (on a gap-free hourly spine the hour
     number is one), so that "n rows back" and "n positions back" mean the same.
@@ -48,7 +53,10 @@ def over_chunks(
     )
     window = f"partition by {', '.join(keys)}, {CHUNK} order by {POSITION}"
     for step in steps:
-        spread = spread.selectExpr("*", *[f"{text.format(w=window)} as {name}" for name, text in step.items()])
+        if callable(step):
+            spread = step(spread, window)
+        else:
+            spread = spread.selectExpr("*", *[f"{text.format(w=window)} as {name}" for name, text in step.items()])
     return spread.where(f"{CHUNK} = {HOME}").drop(CHUNK, HOME, POSITION)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import hour_number
-from wattloom.operators.chunking import CHUNK, MIN_CHUNK
+from wattloom.operators.chunking import CHUNK, MIN_CHUNK, POSITION, Step, over_chunks
 from wattloom.schemas import ARCHIVE_SOURCE, MEASURES
 
 MEASURE_KEY = ["ba_code", "period_utc", "measure_code"]
@@ -85,54 +85,69 @@ def hourly_spine(bounds: DataFrame) -> DataFrame:
     ).selectExpr("ba_code", "timestamp_seconds(_hour * 3600) as period_utc")
 
 
-def interpolate_gaps(
-    df: DataFrame,
-    keys: list[str],
-    position: str,
-    columns: list[str],
-    limit: int = 6,
-    size: int = MIN_CHUNK,
-) -> DataFrame:
-    """Fill gaps linearly, at most ``limit`` rows from either side; ends take the nearest value.
+def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[str], limit: int, size: int) -> Step:
+    """Linear gap filling as a step of ``over_chunks`` run with the same ``position`` and ``size``.
 
     Neighbouring values inside a chunk come from windows; values beyond the chunk are carried in
     from one summary row per (key, chunk), so a gap may be longer than any chunk.
     """
     listed = ", ".join(keys)
-    marked = df.selectExpr("*", f"cast({position} as bigint) as _p", f"floor({position} / {size}) as {CHUNK}")
-
-    def seen(c: str) -> str:
-        return f"case when {c} is not null then struct(_p as p, {c} as v) end"
-
+    marked = df.selectExpr(*keys, *columns, f"cast({position} as bigint) as _p", f"floor({position} / {size}) as {CHUNK}")
     edges = marked.groupBy(*keys, CHUNK).agg(
-        *[F.expr(f"{side}({seen(c)})").alias(f"_{side}_{c}") for c in columns for side in ("min", "max")]
+        *[
+            F.expr(text).alias(f"_{side}{part}_{c}")
+            for c in columns
+            for side in ("min", "max")
+            for part, text in (
+                ("p", f"{side}(case when {c} is not null then _p end)"),
+                ("v", f"{side}_by({c}, case when {c} is not null then _p end)"),
+            )
+        ]
     )
+
+    def summary(side: str, c: str) -> str:
+        return f"case when _{side}p_{c} is not null then struct(_{side}p_{c} as p, _{side}v_{c} as v) end"
+
     per_key = f"partition by {listed} order by {CHUNK} rows between"
-    edges = edges.selectExpr(
+    carried = edges.selectExpr(
         *keys,
         CHUNK,
-        *[f"last(_max_{c}, true) over ({per_key} unbounded preceding and 1 preceding) as _in_{c}" for c in columns],
-        *[f"first(_min_{c}, true) over ({per_key} 1 following and unbounded following) as _out_{c}" for c in columns],
-    )
-    w = f"partition by {listed}, {CHUNK} order by _p rows between"
-    near = marked.join(edges, [*keys, CHUNK]).selectExpr(
-        "*",
-        *[
-            f"coalesce(last({seen(c)}, true) over ({w} unbounded preceding and current row), _in_{c}) as _b_{c}"
-            for c in columns
-        ],
-        *[
-            f"coalesce(first({seen(c)}, true) over ({w} current row and unbounded following), _out_{c}) as _a_{c}"
-            for c in columns
-        ],
+        *[f"last({summary('max', c)}, true) over ({per_key} unbounded preceding and 1 preceding) as _in_{c}" for c in columns],
+        *[f"first({summary('min', c)}, true) over ({per_key} 1 following and unbounded following) as _out_{c}" for c in columns],
     )
 
+    def seen(c: str) -> str:
+        return f"case when {c} is not null then struct({POSITION} as p, {c} as v) end"
+
     def filled(c: str) -> str:
-        b, a = f"_b_{c}", f"_a_{c}"
+        b, a, p = f"_b_{c}", f"_a_{c}", POSITION
         return f"""case when {c} is not null then {c}
-            when {b} is not null and {a} is not null and least(_p - {b}.p, {a}.p - _p) <= {limit}
-                then {b}.v + ({a}.v - {b}.v) * (_p - {b}.p) / ({a}.p - {b}.p)
-            when {a} is null and _p - {b}.p <= {limit} then {b}.v
-            when {b} is null and {a}.p - _p <= {limit} then {a}.v end as {c}"""
+            when {b} is not null and {a} is not null and least({p} - {b}.p, {a}.p - {p}) <= {limit}
+                then {b}.v + ({a}.v - {b}.v) * ({p} - {b}.p) / ({a}.p - {b}.p)
+            when {a} is null and {p} - {b}.p <= {limit} then {b}.v
+            when {b} is null and {a}.p - {p} <= {limit} then {a}.v end as {c}"""
+
+    def step(rows: DataFrame, window: str) -> DataFrame:
+        names = rows.columns
+        near = rows.join(carried, [*keys, CHUNK]).selectExpr(
+            *names,
+            *[
+                f"coalesce(last({seen(c)}, true) over ({window} rows between unbounded preceding and current row), _in_{c}) as _b_{c}"
+                for c in columns
+            ],
+            *[
+                f"coalesce(first({seen(c)}, true) over ({window} rows between current row and unbounded following), _out_{c}) as _a_{c}"
+                for c in columns
+            ],
+        )
+        return near.selectExpr(*[filled(c) if c in columns else c for c in names])
+
+    return step
+
 
-    return near.selectExpr(*[filled(c) if c in columns else c for c in df.columns])
+def interpolate_gaps(
+    df: DataFrame, keys: list[str], position: str, columns: list[str], limit: int = 6, size: int = MIN_CHUNK
+) -> DataFrame:
+    """Fill gaps linearly, at most ``limit`` rows from either side; ends take the nearest value."""
+    step = fill_gaps_step(df, keys, position, columns, limit, size)
+    return over_chunks(df, keys, position, 0, 0, step, size=size).select(*df.columns)
