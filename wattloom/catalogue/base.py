@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wattloom.functions.scalars import without_zone
 from wattloom.operators.series import merge_weather, pivot_latest, series_bounds
 from wattloom.plans.warehouse import build_gold
-from wattloom.session import configure
+from wattloom.session import configure, written
 from wattloom.sources import adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def feeder_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
 
 
+def feeder_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The gold fact as a written table, for queries that read it more than once."""
+    fact = feeder_gold(spark, sf_dir)["fact_demand_hourly"]
+    return written(fact.select(*columns) if columns else fact, "fact_demand_hourly")
+
+
 def event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The gold tables of the event feed: three authorities, no weather."""
     from wattloom.registry import authorities
@@ -88,6 +94,10 @@ def r(expression: str, digits: int = 0) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38,{digits + 5})), {digits}) AS DOUBLE)"
 
 
+def to(expression: str, step: int) -> str:
+    return f"floor(({expression}) * {step} + 0.5::DOUBLE) / {step}"
+
+
 # --------------------------------------------------------------------------- feeder lake in SQL
 
 view(
@@ -120,17 +130,17 @@ view(
     "feed_long",
     f"""
     SELECT period_utc, ba_code, 'D' AS measure_code,
-           CASE WHEN NOT (l_linenumber = 4 AND l_quantity >= 40) THEN {r('plain * fault', 1)} END AS value_mwh,
+           CASE WHEN NOT (l_linenumber = 4 AND l_quantity >= 40) THEN {to('plain * fault', 10)} END AS value_mwh,
            l_shipdate AS ingested_at_utc, seq, l_partkey AS seq2 FROM feed_values
     UNION ALL
     SELECT period_utc, ba_code, 'DF',
            CASE WHEN NOT (l_returnflag = 'N' AND l_discount = 0)
-                THEN {r('plain * (0.96::DOUBLE + 0.8::DOUBLE * l_discount)', 1)} END,
+                THEN {to('plain * (0.96::DOUBLE + 0.8::DOUBLE * l_discount)', 10)} END,
            l_shipdate, seq, l_partkey FROM feed_values
     UNION ALL
-    SELECT period_utc, ba_code, 'NG', {r('plain * 1.03::DOUBLE', 1)}, l_shipdate, seq, l_partkey FROM feed_values
+    SELECT period_utc, ba_code, 'NG', {to('plain * 1.03::DOUBLE', 10)}, l_shipdate, seq, l_partkey FROM feed_values
     UNION ALL
-    SELECT period_utc, ba_code, 'TI', {r('plain * (l_tax - 0.04::DOUBLE)', 1)}, l_shipdate, seq, l_partkey FROM feed_values
+    SELECT period_utc, ba_code, 'TI', {to('plain * (l_tax - 0.04::DOUBLE)', 10)}, l_shipdate, seq, l_partkey FROM feed_values
     """,
 )
 view(
@@ -164,19 +174,19 @@ view(
     SELECT period_utc, ba_code,
            CASE WHEN glitch THEN 99.0::DOUBLE
                 WHEN NOT absent THEN temp END AS temperature_2m,
-           CASE WHEN NOT absent THEN {r('50 + l_discount * 300', 1)} END AS relative_humidity_2m,
-           CASE WHEN glitch THEN {r('99.0::DOUBLE - 5', 2)} WHEN NOT absent THEN {r('temp - 5', 2)} END AS dew_point_2m,
-           CASE WHEN glitch THEN {r('99.0::DOUBLE - l_tax * 20', 2)}
-                WHEN NOT absent THEN {r('temp - l_tax * 20', 2)} END AS apparent_temperature,
+           CASE WHEN NOT absent THEN {to('50 + l_discount * 300', 10)} END AS relative_humidity_2m,
+           CASE WHEN glitch THEN {to('99.0::DOUBLE - 5', 100)} WHEN NOT absent THEN {to('temp - 5', 100)} END AS dew_point_2m,
+           CASE WHEN glitch THEN {to('99.0::DOUBLE - l_tax * 20', 100)}
+                WHEN NOT absent THEN {to('temp - l_tax * 20', 100)} END AS apparent_temperature,
            l_quantity * 2 AS cloud_cover,
-           CASE WHEN l_linenumber <> 1 THEN {r('l_tax * 100', 1)} END AS wind_speed_10m,
+           CASE WHEN l_linenumber <> 1 THEN {to('l_tax * 100', 10)} END AS wind_speed_10m,
            greatest(0.0::DOUBLE, 600.0::DOUBLE - 50.0::DOUBLE * abs(h - 12)) AS shortwave_radiation,
            CASE WHEN l_linestatus = 'F' THEN 'era5_archive' ELSE 'forecast' END AS source,
            l_shipdate AS ingested_at_utc, seq, l_partkey AS seq2
     FROM (
         SELECT *, (l_linenumber = 3 AND l_quantity >= 45) AS absent,
                (l_linenumber = 2 AND l_quantity >= 50 AND l_tax = 0.08) AS glitch,
-               {r('14 + (l_quantity - 25.5::DOUBLE) * 0.4::DOUBLE + (6 - abs(h - 14)) * 0.5::DOUBLE', 2)} AS temp
+               {to('14 + (l_quantity - 25.5::DOUBLE) * 0.4::DOUBLE + (6 - abs(h - 14)) * 0.5::DOUBLE', 100)} AS temp
         FROM feed_values)
     """,
 )

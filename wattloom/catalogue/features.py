@@ -8,14 +8,22 @@ from wattloom.operators import windows
 from wattloom.operators.chunking import with_ordinal, with_previous
 from wattloom.operators.series import interpolate_gaps
 from wattloom.plans import baselines, features
+from wattloom.session import written
 
 
 def feeder_frame(spark, sf_dir):
+    """Read once by the caller."""
     return features.modelling_frame(feeder_gold(spark, sf_dir)["fact_demand_hourly"])
 
 
+def written_frame(spark, sf_dir, *columns):
+    """Read several times by the caller."""
+    frame = feeder_frame(spark, sf_dir)
+    return written(frame.select(*columns) if columns else frame, "modelling_frame")
+
+
 def feeder_features(spark, sf_dir):
-    return features.build_features(feeder_frame(spark, sf_dir))
+    return features.build_features(written_frame(spark, sf_dir))
 
 
 view(
@@ -109,7 +117,7 @@ register(
     """SELECT period_utc, ba_code, demand_mwh,
               coalesce(demand_mwh < med * 0.2::DOUBLE OR demand_mwh > med * 5.0::DOUBLE, false) AS flag_implausible
        FROM feed_wide LEFT JOIN (SELECT ba_code, median(demand_mwh) AS med FROM feed_wide GROUP BY 1) USING (ba_code)""",
-)(lambda s, d: features.flag_implausible(_wide(s, d).select("period_utc", "ba_code", "demand_mwh")))
+)(lambda s, d: features.flag_implausible(written(_wide(s, d).select("period_utc", "ba_code", "demand_mwh"), "wide")))
 
 
 def _wide(spark, sf_dir):
@@ -131,6 +139,7 @@ view(
 )
 def _gaps(spark, sf_dir):
     silver = event_gold(spark, sf_dir)["silver_grid_hourly"].select("ba_code", "period_utc", *_EVENT_MEASURES)
+    silver = written(silver, "silver_grid_hourly")
     return rounded(interpolate_gaps(silver, ["ba_code"], hour_number(), _EVENT_MEASURES), 6, *_EVENT_MEASURES)
 
 
@@ -152,10 +161,10 @@ def _split_sql(test, valid):
 
 
 register("chronological_split", _split_sql("<=", "<="))(
-    lambda s, d: _counts(features.chronological_split(feeder_frame(s, d), test_days=20, valid_days=15))
+    lambda s, d: _counts(features.chronological_split(written_frame(s, d, "ba_code", "period_utc"), test_days=20, valid_days=15))
 )
 register("pipeline_split", _split_sql("<", "<"))(
-    lambda s, d: _counts(features.pipeline_split(feeder_frame(s, d), test_days=20, valid_days=15))
+    lambda s, d: _counts(features.pipeline_split(written_frame(s, d, "ba_code", "period_utc"), test_days=20, valid_days=15))
 )
 
 register(
@@ -206,7 +215,7 @@ register("target_stats", f"SELECT ba_code, {r('centre', 6)} AS centre, {r('sprea
         FROM feed_model JOIN model_stats USING (ba_code)""",
 )
 def _scaled(spark, sf_dir):
-    frame = feeder_frame(spark, sf_dir).select("ba_code", "period_utc", "demand_mwh")
+    frame = written_frame(spark, sf_dir, "ba_code", "period_utc", "demand_mwh")
     z = windows.scale_target(frame, windows.target_stats(frame), windows.global_stats(frame))
     return rounded(z, 6, "target_z")
 
@@ -217,7 +226,7 @@ def _scaled(spark, sf_dir):
         FROM feed_model""",
 )
 def _unscaled(spark, sf_dir):
-    frame = feeder_frame(spark, sf_dir).select("ba_code", "period_utc", "demand_mwh")
+    frame = written_frame(spark, sf_dir, "ba_code", "period_utc", "demand_mwh")
     stats, overall = windows.target_stats(frame), windows.global_stats(frame)
     back = windows.unscale(windows.scale_target(frame, stats, overall), stats, overall, ["target_z"])
     return rounded(back, 4, "demand_mwh", "target_z")
@@ -249,7 +258,7 @@ _CHANNELS = ["demand_mwh", "temperature_2m", "cloud_cover", "wind_speed_10m"]
     + " FROM feed_model",
 )
 def _standardised(spark, sf_dir):
-    frame = feeder_frame(spark, sf_dir).select("ba_code", "period_utc", *_CHANNELS)
+    frame = written_frame(spark, sf_dir, "ba_code", "period_utc", *_CHANNELS)
     return rounded(windows.standardise(frame, windows.channel_stats(frame, _CHANNELS), _CHANNELS), 6, *_CHANNELS)
 
 
@@ -288,7 +297,7 @@ _FUTURE = ["cloud_cover", "shortwave_radiation"]
 def _windows(spark, sf_dir):
     """Shape, position-weighted content and target sum of every window."""
     found = windows.sliding_windows(
-        feeder_features(spark, sf_dir), _VALID, _TEST, past=_PAST, future=_FUTURE, target="demand_mwh"
+        written(feeder_features(spark, sf_dir), "features"), _VALID, _TEST, past=_PAST, future=_FUTURE, target="demand_mwh"
     )
     total = "aggregate({a}, 0D, (acc, x) -> acc + x)"
     past = total.format(a="transform(past, (v, i) -> cast(v[1] as double) * i * 3)")

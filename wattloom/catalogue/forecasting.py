@@ -7,7 +7,7 @@ from wattloom.catalogue.features import feeder_features
 from wattloom.functions.scalars import exprs, half_up, rounded, row_mean, sorted_row
 from wattloom.operators import metrics
 from wattloom.plans import baselines, features
-from wattloom.session import cut_lineage
+from wattloom.session import written
 
 _W = "OVER (PARTITION BY ba_code ORDER BY period_utc)"
 view(
@@ -25,7 +25,7 @@ PREDS = ["pred_seasonal_naive", "pred_weekly_naive", "pred_drift_naive", "pred_e
 
 def feeder_baselines(spark, sf_dir):
     frame = feeder_features(spark, sf_dir).select("period_utc", "ba_code", "demand_mwh", "demand_forecast_mwh")
-    return baselines.build_all_baselines(frame)
+    return baselines.build_all_baselines(written(frame, "features"))
 
 
 def _rounded_preds(df):
@@ -52,7 +52,7 @@ register("baselines", f"SELECT * REPLACE ({_ROUND}) FROM feed_baselines")(lambda
 )
 def _time_exact(spark, sf_dir):
     frame = feeder_features(spark, sf_dir).select("period_utc", "ba_code", "demand_mwh", "demand_forecast_mwh")
-    return _rounded_preds(baselines.build_all_baselines(cut_lineage(frame), time_exact=True))
+    return _rounded_preds(baselines.build_all_baselines(written(frame, "features"), time_exact=True))
 
 
 register(
@@ -118,7 +118,7 @@ view(
 
 
 def feeder_board(spark, sf_dir):
-    return metrics.leaderboard(cut_lineage(feeder_baselines(spark, sf_dir)))
+    return metrics.leaderboard(written(feeder_baselines(spark, sf_dir), "predictions"))
 
 
 register("leaderboard", "SELECT * FROM board")(feeder_board)

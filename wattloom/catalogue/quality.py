@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from wattloom.catalogue.base import event_gold, feeder_gold, r, register, view
 from wattloom.plans import marts, quality, table_tests
-from wattloom.session import cut_lineage
+from wattloom.session import written
 
 _DQ_COLUMNS = [
     "ba_code", "period_utc", "date_local", "demand_mwh", "demand_forecast_mwh", "demand_clean_mwh", "temperature_2m",
@@ -14,7 +14,7 @@ _DQ_COLUMNS = [
 
 def _tables(gold):
     """The fact is read by several checks, so it is written once first, as the built table would be."""
-    fact = cut_lineage(gold["fact_demand_hourly"].select(*_DQ_COLUMNS))
+    fact = written(gold["fact_demand_hourly"].select(*_DQ_COLUMNS), "fact_demand_hourly")
     accuracy = fact.where("demand_clean_mwh is not null and demand_forecast_mwh is not null")
     return {
         "fact_demand_hourly": fact, "fact_forecast_accuracy": accuracy,
@@ -145,7 +145,7 @@ view(
 @register("model_tests", " UNION ALL ".join(_TESTS))
 def _model_tests(spark, sf_dir):
     gold = feeder_gold(spark, sf_dir)
-    fact = cut_lineage(gold["fact_demand_hourly"])
+    fact = written(gold["fact_demand_hourly"], "fact_demand_hourly")
     from wattloom.plans.warehouse import build_accuracy
 
     gold = {**gold, "fact_demand_hourly": fact, "fact_forecast_accuracy": build_accuracy(fact)}

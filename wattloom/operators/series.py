@@ -108,12 +108,16 @@ def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[
     def summary(side: str, c: str) -> str:
         return f"case when _{side}p_{c} is not null then struct(_{side}p_{c} as p, _{side}v_{c} as v) end"
 
-    per_key = f"partition by {listed} order by {CHUNK} rows between"
+    # "Up to the row before" in either direction: a frame that runs to the end of its partition
+    # would be summed up anew for every row.
+    before = "rows between unbounded preceding and 1 preceding"
+    earlier = f"partition by {listed} order by {CHUNK} {before}"
+    later = f"partition by {listed} order by {CHUNK} desc {before}"
     carried = edges.selectExpr(
         *keys,
         CHUNK,
-        *[f"last({summary('max', c)}, true) over ({per_key} unbounded preceding and 1 preceding) as _in_{c}" for c in columns],
-        *[f"first({summary('min', c)}, true) over ({per_key} 1 following and unbounded following) as _out_{c}" for c in columns],
+        *[f"last({summary('max', c)}, true) over ({earlier}) as _in_{c}" for c in columns],
+        *[f"last({summary('min', c)}, true) over ({later}) as _out_{c}" for c in columns],
     )
 
     def seen(c: str) -> str:
@@ -136,7 +140,7 @@ def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[
                 for c in columns
             ],
             *[
-                f"coalesce(first({seen(c)}, true) over ({window} rows between current row and unbounded following), _out_{c}) as _a_{c}"
+                f"coalesce(last({seen(c)}, true) over ({window} desc rows between unbounded preceding and current row), _out_{c}) as _a_{c}"
                 for c in columns
             ],
         )

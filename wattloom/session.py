@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,13 +51,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written rows.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and go on from the written rows.
 
-    Used where a result feeds several later branches or an iterative fit, so a lost
-    executor never re-runs the whole upstream plan.
+    Used where a result feeds several later branches or an iterative fit: the upstream plan runs
+    once, a lost executor never re-runs it, later scans read only the columns they need, and
+    later joins are planned on the table's real size.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/wattloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Spread a table that is stored in fewer pieces than there are cores; otherwise leave it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.functions.scalars import half_up
 from wattloom.schemas import ARCHIVE_SOURCE, FORECAST_SOURCE
-from wattloom.session import configure
+from wattloom.session import configure, dealt_out
 
 SERIES_START = "2022-11-07 00:00:00"
 FIRST_SHIP_DAY = "1995-01-01"
@@ -25,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _to(value: str, step: int) -> str:
+    """Rounded to a tenth (10) or hundredth (100)."""
+    return f"floor(({value}) * {step} + 0.5D) / {step}"
+
+
 def feeder(suppkey: str) -> str:
     return f"floor({suppkey} / {SUPPLIERS_PER_FEEDER})"
 
@@ -36,7 +40,8 @@ def feeder_code(number: str) -> str:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their feeder, hour of the series and order of arrival."""
     step = f"datediff(to_date(l_shipdate), date'{FIRST_SHIP_DAY}')"
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    needed = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_discount l_tax l_returnflag l_linestatus l_shipdate"
+    return dealt_out(table(spark, sf_dir, "lineitem").select(*needed.split())).selectExpr(
         "*",
         f"{feeder('l_suppkey')} as g",
         f"{step} % 24 as h",
@@ -63,11 +68,11 @@ def feeder_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.selectExpr(
         "period_utc", "ba_code", "ingested_at_utc", "seq", "seq2",
         f"""stack(4,
-            'D', case when not (l_linenumber = 4 and l_quantity >= 40) then {half_up('plain * fault', 1)} end,
+            'D', case when not (l_linenumber = 4 and l_quantity >= 40) then {_to('plain * fault', 10)} end,
             'DF', case when not (l_returnflag = 'N' and l_discount = 0)
-                       then {half_up('plain * (0.96D + 0.8D * l_discount)', 1)} end,
-            'NG', {half_up('plain * 1.03D', 1)},
-            'TI', {half_up('plain * (l_tax - 0.04D)', 1)}) as (measure_code, value_mwh)""",
+                       then {_to('plain * (0.96D + 0.8D * l_discount)', 10)} end,
+            'NG', {_to('plain * 1.03D', 10)},
+            'TI', {_to('plain * (l_tax - 0.04D)', 10)}) as (measure_code, value_mwh)""",
     ).select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "seq", "seq2")
 
 
@@ -80,16 +85,16 @@ def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
             "(l_linenumber = 3 and l_quantity >= 45) as absent",
             f"""case when l_linenumber = 2 and l_quantity >= 50 and l_tax = 0.08D then 99D
                      when not (l_linenumber = 3 and l_quantity >= 45)
-                     then {half_up('14 + (l_quantity - 25.5D) * 0.4D + (6 - abs(h - 14)) * 0.5D', 2)} end as temp""",
+                     then {_to('14 + (l_quantity - 25.5D) * 0.4D + (6 - abs(h - 14)) * 0.5D', 100)} end as temp""",
         )
         .selectExpr(
             "period_utc",
             "temp as temperature_2m",
-            f"case when not absent then {half_up('50 + l_discount * 300', 1)} end as relative_humidity_2m",
-            f"{half_up('temp - 5', 2)} as dew_point_2m",
-            f"{half_up('temp - l_tax * 20', 2)} as apparent_temperature",
+            f"case when not absent then {_to('50 + l_discount * 300', 10)} end as relative_humidity_2m",
+            f"{_to('temp - 5', 100)} as dew_point_2m",
+            f"{_to('temp - l_tax * 20', 100)} as apparent_temperature",
             "l_quantity * 2 as cloud_cover",
-            f"case when l_linenumber <> 1 then {half_up('l_tax * 100', 1)} end as wind_speed_10m",
+            f"case when l_linenumber <> 1 then {_to('l_tax * 100', 10)} end as wind_speed_10m",
             "greatest(0D, 600D - 50D * abs(h - 12)) as shortwave_radiation",
             f"{feeder_code('g')} as ba_code",
             f"case when l_linestatus = 'F' then '{ARCHIVE_SOURCE}' else '{FORECAST_SOURCE}' end as source",
@@ -123,7 +128,7 @@ def feeder_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze measures from events: three authorities, one reading per event."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return dealt_out(table(spark, sf_dir, "events").drop("props")).selectExpr(
         "timestamp_seconds(floor(unix_seconds(cast(ts as timestamp)) / 3600) * 3600) as period_utc",
         "get(array('PJM', 'ERCO', 'CISO'), cast(user_id % 3 as int)) as ba_code",
         """case event_type when 'view' then 'D' when 'click' then 'DF' when 'purchase' then 'NG'
