@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.functions.scalars import without_zone
-from wattloom.operators.series import merge_weather, pivot_latest, series_bounds
+from wattloom.operators.series import pivot_latest, weather_latest
 from wattloom.plans.warehouse import build_gold
+from wattloom.schemas import ARCHIVE_SOURCE
 from wattloom.session import configure, written
 from wattloom.sources import adapters
 
@@ -55,23 +56,20 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-LATEST = ["ingested_at_utc", "seq", "seq2", "value_mwh"]
-
-
 def feeder_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot_latest(adapters.feeder_measures(spark, sf_dir), LATEST)
+    return pivot_latest(adapters.feeder_measures(spark, sf_dir), "arrival")
 
 
 def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_weather(adapters.feeder_weather(spark, sf_dir), tiebreak=["seq", "seq2", "cloud_cover"])
+    records = adapters.feeder_weather(spark, sf_dir)
+    preferred = f"arrival + case when source = '{ARCHIVE_SOURCE}' then {10**34}BD else 0BD end"
+    return weather_latest(records, f"cast({preferred} as decimal(38,0))")
 
 
 def feeder_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The gold tables of the feeder lake as lazy plans."""
-    bounds = series_bounds(adapters.feeder_measures(spark, sf_dir))
-    return build_gold(
-        feeder_wide(spark, sf_dir), adapters.feeder_dimension(spark, sf_dir), feeder_weather(spark, sf_dir), bounds
-    )
+    """The gold tables of the feeder lake; the merged readings are written once, the rest is lazy."""
+    wide = written(feeder_wide(spark, sf_dir), "measures_wide")
+    return build_gold(wide, adapters.feeder_dimension(spark, sf_dir), feeder_weather(spark, sf_dir))
 
 
 def feeder_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -84,9 +82,8 @@ def event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The gold tables of the event feed: three authorities, no weather."""
     from wattloom.registry import authorities
 
-    events = adapters.event_measures(spark, sf_dir)
-    wide = pivot_latest(events, ["ingested_at_utc", "seq"])
-    return build_gold(wide, authorities(spark), None, series_bounds(events))
+    wide = written(pivot_latest(adapters.event_measures(spark, sf_dir), "seq"), "measures_wide")
+    return build_gold(wide, authorities(spark), None)
 
 
 def r(expression: str, digits: int = 0) -> str:
@@ -149,7 +146,7 @@ view(
     SELECT period_utc, ba_code, measure_code, value_mwh, ingested_at_utc, seq, seq2 FROM (
         SELECT *, row_number() OVER (
                    PARTITION BY period_utc, ba_code, measure_code
-                   ORDER BY ingested_at_utc DESC, seq DESC, seq2 DESC, value_mwh DESC NULLS LAST) AS rn
+                   ORDER BY ingested_at_utc DESC, seq DESC, seq2 DESC) AS rn
         FROM feed_long)
     WHERE rn = 1
     """,
@@ -196,7 +193,7 @@ view(
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (
                    PARTITION BY ba_code, period_utc
-                   ORDER BY (source = 'era5_archive') DESC, ingested_at_utc DESC, seq DESC, seq2 DESC, cloud_cover DESC) AS rn
+                   ORDER BY (source = 'era5_archive') DESC, ingested_at_utc DESC, seq DESC, seq2 DESC) AS rn
         FROM feed_weather_all)
     WHERE rn = 1
     """,

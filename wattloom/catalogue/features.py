@@ -190,7 +190,7 @@ def _events(spark, sf_dir):
     from wattloom.operators.series import pivot_latest
     from wattloom.sources import adapters
 
-    return pivot_latest(adapters.event_measures(spark, sf_dir), ["ingested_at_utc", "seq"])
+    return pivot_latest(adapters.event_measures(spark, sf_dir), "seq")
 
 
 # ------------------------------------------------------------------ scalers and windows

@@ -79,7 +79,7 @@ def with_ordinal(df: DataFrame, keys: list[str], period: str, hours: int = MIN_C
         "rows between unbounded preceding and 1 preceding), 0) as _offset",
     )
     numbered = marked.selectExpr("*", f"row_number() over (partition by {listed}, {CHUNK} order by {period}) as _rn")
-    return numbered.join(offsets, [*keys, CHUNK]).selectExpr(*df.columns, f"_rn + _offset - 1 as {name}")
+    return numbered.join(offsets.hint("merge"), [*keys, CHUNK]).selectExpr(*df.columns, f"_rn + _offset - 1 as {name}")
 
 
 def with_previous(df: DataFrame, keys: list[str], period: str, value: str, name: str, hours: int = MIN_CHUNK) -> DataFrame:
@@ -97,6 +97,6 @@ def with_previous(df: DataFrame, keys: list[str], period: str, value: str, name:
     window = f"partition by {', '.join(keys)}, {CHUNK} order by {period}"
     return (
         marked.selectExpr("*", f"lag({value}) over ({window}) as _lag", f"row_number() over ({window}) as _rn")
-        .join(carried, [*keys, CHUNK])
+        .join(carried.hint("merge"), [*keys, CHUNK])
         .selectExpr(*df.columns, f"case when _rn = 1 then _carry.v else _lag end as {name}")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import hour_number
 from wattloom.operators.chunking import CHUNK, MIN_CHUNK, POSITION, Step, over_chunks
-from wattloom.schemas import ARCHIVE_SOURCE, MEASURES
+from wattloom.schemas import ARCHIVE_SOURCE, MEASURES, WEATHER
 
 MEASURE_KEY = ["ba_code", "period_utc", "measure_code"]
 
@@ -49,18 +49,27 @@ def pivot_measures(bronze: DataFrame) -> DataFrame:
     )
 
 
-def pivot_latest(bronze: DataFrame, order: list[str]) -> DataFrame:
-    """``pivot_measures(upsert_measures(...))`` in a single aggregation and a single shuffle."""
-    rank = f"struct({', '.join(order)})"
-    picked = bronze.groupBy("ba_code", "period_utc").agg(
-        *[
-            F.expr(
-                f"max_by(struct(value_mwh as v), case when measure_code = '{code}' then {rank} end)"
-            ).alias(c)
-            for code, c in MEASURES.items()
-        ]
+def pivot_latest(bronze: DataFrame, arrival: str) -> DataFrame:
+    """``pivot_measures(upsert_measures(...))`` in a single aggregation and a single shuffle.
+
+    ``arrival`` is one number or timestamp that grows with each download; with fixed-width
+    buffers the aggregation hashes instead of sorting, and unused measures are pruned.
+    """
+
+    def when(code: str, value: str) -> str:
+        return f"case when measure_code = '{code}' then {value} end"
+
+    return bronze.groupBy("ba_code", "period_utc").agg(
+        *[F.expr(f"max_by(value_mwh, {when(code, arrival)})").alias(c) for code, c in MEASURES.items()]
     )
-    return picked.selectExpr("ba_code", "period_utc", *[f"{c}.v as {c}" for c in MEASURES.values()])
+
+
+def weather_latest(records: DataFrame, arrival: str, columns: list[str] | tuple[str, ...] = WEATHER) -> DataFrame:
+    """Weather variables of the preferred record of each hour, in one prunable aggregation.
+
+    ``arrival`` is one number that already puts the archive above the forecast.
+    """
+    return records.groupBy("ba_code", "period_utc").agg(*[F.expr(f"max_by({c}, {arrival})").alias(c) for c in columns])
 
 
 def series_bounds(df: DataFrame) -> DataFrame:
@@ -85,11 +94,12 @@ def hourly_spine(bounds: DataFrame) -> DataFrame:
     ).selectExpr("ba_code", "timestamp_seconds(_hour * 3600) as period_utc")
 
 
-def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[str], limit: int, size: int) -> Step:
+def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[str], limit: int, size: int, prefix: str = "") -> Step:
     """Linear gap filling as a step of ``over_chunks`` run with the same ``position`` and ``size``.
 
     Neighbouring values inside a chunk come from windows; values beyond the chunk are carried in
-    from one summary row per (key, chunk), so a gap may be longer than any chunk.
+    from one summary row per (key, chunk), so a gap may be longer than any chunk. With a
+    ``prefix`` the filled columns come next to the raw ones.
     """
     listed = ", ".join(keys)
     marked = df.selectExpr(*keys, *columns, f"cast({position} as bigint) as _p", f"floor({position} / {size}) as {CHUNK}")
@@ -105,9 +115,6 @@ def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[
         ]
     )
 
-    def summary(side: str, c: str) -> str:
-        return f"case when _{side}p_{c} is not null then struct(_{side}p_{c} as p, _{side}v_{c} as v) end"
-
     # "Up to the row before" in either direction: a frame that runs to the end of its partition
     # would be summed up anew for every row.
     before = "rows between unbounded preceding and 1 preceding"
@@ -116,35 +123,34 @@ def fill_gaps_step(df: DataFrame, keys: list[str], position: str, columns: list[
     carried = edges.selectExpr(
         *keys,
         CHUNK,
-        *[f"last({summary('max', c)}, true) over ({earlier}) as _in_{c}" for c in columns],
-        *[f"last({summary('min', c)}, true) over ({later}) as _out_{c}" for c in columns],
+        *[f"last(_max{part}_{c}, true) over ({earlier}) as _in{part}_{c}" for c in columns for part in "pv"],
+        *[f"last(_min{part}_{c}, true) over ({later}) as _out{part}_{c}" for c in columns for part in "pv"],
     )
 
-    def seen(c: str) -> str:
-        return f"case when {c} is not null then struct({POSITION} as p, {c} as v) end"
+    def nearest(c: str, part: str, window: str, carry: str) -> str:
+        seen = c if part == "v" else f"case when {c} is not null then {POSITION} end"
+        return f"coalesce(last({seen}, true) over ({window} rows between unbounded preceding and current row), _{carry}{part}_{c})"
 
     def filled(c: str) -> str:
-        b, a, p = f"_b_{c}", f"_a_{c}", POSITION
+        p, bp, bv, ap, av = POSITION, f"_bp_{c}", f"_bv_{c}", f"_ap_{c}", f"_av_{c}"
         return f"""case when {c} is not null then {c}
-            when {b} is not null and {a} is not null and least({p} - {b}.p, {a}.p - {p}) <= {limit}
-                then {b}.v + ({a}.v - {b}.v) * ({p} - {b}.p) / ({a}.p - {b}.p)
-            when {a} is null and {p} - {b}.p <= {limit} then {b}.v
-            when {b} is null and {a}.p - {p} <= {limit} then {a}.v end as {c}"""
+            when {bp} is not null and {ap} is not null and least({p} - {bp}, {ap} - {p}) <= {limit}
+                then {bv} + ({av} - {bv}) * ({p} - {bp}) / ({ap} - {bp})
+            when {ap} is null and {p} - {bp} <= {limit} then {bv}
+            when {bp} is null and {ap} - {p} <= {limit} then {av} end as {prefix}{c}"""
 
     def step(rows: DataFrame, window: str) -> DataFrame:
         names = rows.columns
-        near = rows.join(carried, [*keys, CHUNK]).selectExpr(
-            *names,
-            *[
-                f"coalesce(last({seen(c)}, true) over ({window} rows between unbounded preceding and current row), _in_{c}) as _b_{c}"
-                for c in columns
-            ],
-            *[
-                f"coalesce(last({seen(c)}, true) over ({window} desc rows between unbounded preceding and current row), _out_{c}) as _a_{c}"
-                for c in columns
-            ],
+        after = [f"_a{part}_{c}" for c in columns for part in "pv"]
+        near = (
+            rows.join(carried.hint("merge"), [*keys, CHUNK])
+            .selectExpr("*", *[f"{nearest(c, part, window + ' desc', 'out')} as _a{part}_{c}" for c in columns for part in "pv"])
+            .selectExpr(
+                *names, *after, *[f"{nearest(c, part, window, 'in')} as _b{part}_{c}" for c in columns for part in "pv"]
+            )
         )
-        return near.selectExpr(*[filled(c) if c in columns else c for c in names])
+        kept = [c for c in names if prefix or c not in columns]
+        return near.selectExpr(*kept, *[filled(c) for c in columns])
 
     return step
 

@@ -114,20 +114,26 @@ def rolling_steps(value: str, name: str, newest: int, widths: tuple[int, ...]) -
     return [*steps, result]
 
 
-def series_features(frame: DataFrame, fill_weather: bool = True) -> DataFrame:
+def series_features(frame: DataFrame) -> DataFrame:
     """Lags, rolling figures, weather features and interactions of a gap-free hourly frame.
 
-    Weather is interpolated after its derived features are taken, so those keep their gaps. One
+    Derived weather features are taken from the raw weather, so they keep its gaps; the weather
+    inputs themselves come out interpolated. One
     shuffle by (key, chunk) serves all of it.
     """
     keys, position = ["ba_code"], hour_number()
     back = max(*LAGS, HORIZON + max(ROLLING))
     size = chunk_size(back)
     lags = {f"demand_lag_{h}h": f"lag({TARGET}, {h}) over ({{w}})" for h in LAGS}
+    rolling = zip(
+        rolling_steps(TARGET, "demand_roll", HORIZON, ROLLING),
+        rolling_steps("temperature_2m", "temp_roll", 0, (24,)),
+        strict=True,
+    )
     steps = [
+        fill_gaps_step(frame, keys, position, WEATHER_INPUTS, GAP_LIMIT, size, prefix="_filled_"),
+        *[{**demand, **temp} for demand, temp in rolling],
         {**lags, "temp_lag_24h": "lag(temperature_2m, 24) over ({w})"},
-        *rolling_steps(TARGET, "demand_roll", HORIZON, ROLLING),
-        *rolling_steps("temperature_2m", "temp_roll", 0, (24,)),
         {
             "demand_same_hour_last_week_delta": "demand_lag_168h - demand_lag_336h",
             "heating_degrees": heating(),
@@ -141,10 +147,11 @@ def series_features(frame: DataFrame, fill_weather: bool = True) -> DataFrame:
             "cooling_x_hour": "cooling_degrees * hour_local",
         },
     ]
-    if fill_weather:
-        steps.append(fill_gaps_step(frame, keys, position, WEATHER_INPUTS, GAP_LIMIT, size))
     wide = over_chunks(calendar_features(frame), keys, position, back, 0, *steps, size=size)
-    return wide.select(*[c for c in frame.columns if c not in FEATURES], *FEATURES)
+    return wide.selectExpr(
+        *[c for c in frame.columns if c not in FEATURES],
+        *[f"_filled_{c} as {c}" if c in WEATHER_INPUTS else c for c in FEATURES],
+    )
 
 
 def build_features(frame: DataFrame, dropna_target: bool = True) -> DataFrame:

@@ -41,14 +41,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their feeder, hour of the series and order of arrival."""
     step = f"datediff(to_date(l_shipdate), date'{FIRST_SHIP_DAY}')"
     needed = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_discount l_tax l_returnflag l_linestatus l_shipdate"
-    return dealt_out(table(spark, sf_dir, "lineitem").select(*needed.split())).selectExpr(
+    return dealt_out(table(spark, sf_dir, "lineitem").select(*needed.split()), "l_orderkey").selectExpr(
         "*",
         f"{feeder('l_suppkey')} as g",
         f"{step} % 24 as h",
         f"timestamp_seconds(unix_seconds(timestamp'{SERIES_START}') + {step} * 3600) as period_utc",
         "cast(l_shipdate as timestamp) as ingested_at_utc",
-        "l_orderkey * 8 + l_linenumber as seq",
-        "l_partkey as seq2",
+        # Order, line and part in one number: which of several records of an hour came last.
+        "cast((l_orderkey * 8 + l_linenumber) as decimal(19,0)) * 1000000000000BD + l_partkey as arrival",
     )
 
 
@@ -66,14 +66,14 @@ def feeder_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
                 else 1D end as fault""",
     )
     return lines.selectExpr(
-        "period_utc", "ba_code", "ingested_at_utc", "seq", "seq2",
+        "period_utc", "ba_code", "ingested_at_utc", "arrival",
         f"""stack(4,
             'D', case when not (l_linenumber = 4 and l_quantity >= 40) then {_to('plain * fault', 10)} end,
             'DF', case when not (l_returnflag = 'N' and l_discount = 0)
                        then {_to('plain * (0.96D + 0.8D * l_discount)', 10)} end,
             'NG', {_to('plain * 1.03D', 10)},
             'TI', {_to('plain * (l_tax - 0.04D)', 10)}) as (measure_code, value_mwh)""",
-    ).select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "seq", "seq2")
+    ).select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "arrival")
 
 
 def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,7 @@ def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
             "greatest(0D, 600D - 50D * abs(h - 12)) as shortwave_radiation",
             f"{feeder_code('g')} as ba_code",
             f"case when l_linestatus = 'F' then '{ARCHIVE_SOURCE}' else '{FORECAST_SOURCE}' end as source",
-            "ingested_at_utc", "seq", "seq2",
+            "ingested_at_utc", "arrival",
         )
     )
 
@@ -128,7 +128,7 @@ def feeder_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze measures from events: three authorities, one reading per event."""
-    return dealt_out(table(spark, sf_dir, "events").drop("props")).selectExpr(
+    return dealt_out(table(spark, sf_dir, "events").drop("props"), "event_id").selectExpr(
         "timestamp_seconds(floor(unix_seconds(cast(ts as timestamp)) / 3600) * 3600) as period_utc",
         "get(array('PJM', 'ERCO', 'CISO'), cast(user_id % 3 as int)) as ba_code",
         """case event_type when 'view' then 'D' when 'click' then 'DF' when 'purchase' then 'NG'
