@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 _BIN = "cast(signum(_x) * floor(256D * log1p(abs(_x))) as int)"
 
 
-def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group with a column per wanted quantile. NULLs are ignored; keys are not NULL."""
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float | str]) -> DataFrame:
+    """One row per group with a column per wanted quantile. NULLs are ignored; keys are not NULL.
+
+    A quantile is a share from 0 to 1, or SQL text for a rank from 0 in terms of the group's
+    ``_total``.
+    """
     group = keys or ["_all"]
     listed = ", ".join(group)
     counts = (
@@ -37,7 +41,7 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         )
         .selectExpr(*group, "_bin", "_end - _n as _before", "_end", "_total")
     )
-    ranks = {name: f"({p}D * (_total - 1))" for name, p in probs.items()}
+    ranks = {name: f"({p})" if isinstance(p, str) else f"({p}D * (_total - 1))" for name, p in probs.items()}
     edges = [f"{edge}({rank})" for rank in ranks.values() for edge in ("floor", "ceil")]
     picked = hist.where(" or ".join(f"({e} >= _before and {e} < _end)" for e in edges)).drop("_end")
 
