@@ -128,7 +128,7 @@ def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | Non
     stages += [
         VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"),
         GBTRegressor(
-            featuresCol="_features", labelCol="_label", validationIndicatorCol="_valid", maxIter=rounds or ROUNDS[quick],
+            featuresCol="_features", labelCol="_label", validationIndicatorCol="_valid", validationTol=0.0, maxIter=rounds or ROUNDS[quick],
             stepSize=STEP[quick], maxDepth=6, maxBins=max(64, min(keys, MAX_CATEGORIES) + 2), subsamplingRate=0.8,
             featureSubsetStrategy="0.8", minInstancesPerNode=MIN_ROWS_PER_LEAF, checkpointInterval=10, seed=42,
         ),
