@@ -88,3 +88,19 @@ def test_error_concentration_counts_ties_once(spark):
     got = error_concentration(rows, "p", 0.01).first()
     assert got["worst_share_pct"] == pytest.approx(2 * 50 / (5 * 50 + 195) * 100)
     assert got["median_ape_pct"] == pytest.approx(1.0)
+
+
+def test_holt_winters_follows_trend_and_season_and_falls_back(spark):
+    from wattloom.operators.smoothing import holt_winters
+
+    rows = spark.range(24 * 30).selectExpr(
+        "'A' as ba_code", "id", "timestamp'2024-01-01' + make_interval(0,0,0,0,cast(id as int),0,0) as period_utc",
+        "1000 + 0.5 * id + 100 * sin(2 * pi() * (id % 24) / 24) as demand_mwh",
+    )
+    few = rows.where("id < 60").selectExpr("'B' as ba_code", "id", "period_utc", "double(id % 24) as demand_mwh")
+    got = holt_winters(rows.unionByName(few), 24)
+    ahead = {r["horizon_step"]: r["forecast_mwh"] for r in got.where("ba_code = 'A'").collect()}
+    for step, value in ahead.items():
+        i = 24 * 30 + step - 1
+        assert value == pytest.approx(1000 + 0.5 * i + 100 * math.sin(2 * math.pi * (i % 24) / 24), rel=0.01)
+    assert {r["method"] for r in got.where("ba_code = 'B'").collect()} == {"seasonal_mean"} and got.count() == 48

@@ -62,8 +62,7 @@ def feeder_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = adapters.feeder_weather(spark, sf_dir)
-    preferred = f"arrival + case when source = '{ARCHIVE_SOURCE}' then {10**34}BD else 0BD end"
-    return weather_latest(records, f"cast({preferred} as decimal(38,0))")
+    return weather_latest(records, f"arrival + case when source = '{ARCHIVE_SOURCE}' then {2**62}L else 0L end")
 
 
 def feeder_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -212,3 +212,11 @@ def _long(spark, sf_dir):
     from wattloom.sources import adapters
 
     return adapters.feeder_measures(spark, sf_dir)
+
+
+@register("holt_winters")
+def _holt_winters(spark, sf_dir):
+    """Fitted per series: property-tested, no SQL equivalent."""
+    from wattloom.operators.smoothing import holt_winters
+
+    return holt_winters(written(_model_frame(spark, sf_dir).select("ba_code", "period_utc", "demand_mwh"), "frame"), 24)
