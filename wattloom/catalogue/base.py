@@ -66,9 +66,11 @@ def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feeder_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The gold tables of the feeder lake; the merged readings are written once, the rest is lazy."""
+    """The gold tables of the feeder lake; merged readings, dimension and per-key
+    figures are written once, the rest is lazy."""
     wide = written(feeder_wide(spark, sf_dir), "measures_wide")
-    return build_gold(wide, adapters.feeder_dimension(spark, sf_dir), feeder_weather(spark, sf_dir))
+    dim = written(adapters.feeder_dimension(spark, sf_dir), "dim_ba")
+    return build_gold(wide, dim, feeder_weather(spark, sf_dir))
 
 
 def feeder_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -13,6 +13,7 @@ from wattloom.operators.chunking import chunk_size, over_chunks
 from wattloom.operators.quantiles import grouped_quantiles
 from wattloom.operators.series import fill_gaps_step
 from wattloom.schemas import HORIZON, LOWER_FACTOR, UPPER_FACTOR
+from wattloom.session import written
 
 # Lags and rolling windows, in hours.
 LAGS = (24, 25, 26, 48, 72, 168, 336)
@@ -56,7 +57,7 @@ def implausible(target: str = TARGET) -> str:
 
 def flag_implausible(frame: DataFrame, target: str = TARGET, name: str = "flag_implausible") -> DataFrame:
     """True where the target is far from the key's own median; an unknown target is not flagged."""
-    median = grouped_quantiles(frame, ["ba_code"], target, {"_median": 0.5})
+    median = written(grouped_quantiles(frame, ["ba_code"], target, {"_median": 0.5}), "key_medians")
     return frame.join(median, "ba_code", "left").selectExpr(*frame.columns, f"coalesce({implausible(target)}, false) as {name}")
 
 
@@ -158,7 +159,7 @@ def build_features(frame: DataFrame, dropna_target: bool = True) -> DataFrame:
     """The feature table models train on; keep unknown targets to feature future hours."""
     rows = series_features(frame)
     if dropna_target:
-        median = grouped_quantiles(frame, ["ba_code"], TARGET, {"_median": 0.5})
+        median = written(grouped_quantiles(frame, ["ba_code"], TARGET, {"_median": 0.5}), "key_medians")
         rows = rows.join(median, "ba_code").where(f"{TARGET} is not null and not {implausible()}").drop("_median")
     return rows.where(" and ".join(f"{c} is not null" for c in LAG_COLUMNS))
 

@@ -20,6 +20,7 @@ from wattloom.schemas import (
     UPPER_FACTOR,
     WEATHER,
 )
+from wattloom.session import written
 
 HOUR_KEY = ["ba_code", "period_utc"]
 MEASURE_COLUMNS = list(MEASURES.values())
@@ -148,11 +149,16 @@ def calendar_span(bounds: DataFrame, dim_ba: DataFrame) -> DataFrame:
 
 
 def build_gold(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = None, bounds: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All data-layer tables as lazy plans over pivoted measures."""
-    bounds = bounds if bounds is not None else series_bounds(wide)
+    """All data-layer tables as lazy plans over pivoted measures.
+
+    The per-key figures (one row per key) are written first: joins with them are then planned on
+    their real size, and the hourly rows are not shuffled by key for a table that can be broadcast.
+    """
+    bounds = written(bounds if bounds is not None else series_bounds(wide), "series_bounds")
+    plausible = written(demand_bounds(wide), "demand_bounds")
     silver = build_silver(wide, dim_ba, weather, bounds)
     dim_date = build_dim_date(calendar_span(bounds, dim_ba))
-    fact = build_fact(silver, dim_date, demand_bounds(wide))
+    fact = build_fact(silver, dim_date, plausible)
     return {
         "dim_ba": dim_ba,
         "dim_date": dim_date,

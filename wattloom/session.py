@@ -14,6 +14,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A window over (key, chunk) must spread its chunks even when a join left rows hashed by key.
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     return spark
 
