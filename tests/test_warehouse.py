@@ -118,3 +118,11 @@ def test_first_of_equal_peaks_wins(spark):
         "0D as heating_degrees", "0D as cooling_degrees",
     )
     assert daily_demand(rows).first()["peak_hour_local"] == 3
+
+
+def test_a_stored_silver_table_gives_the_same_fact(gold):
+    from wattloom.plans.warehouse import build_fact, demand_bounds
+
+    again = build_fact(gold["silver_grid_hourly"], gold["dim_date"], demand_bounds(gold["silver_grid_hourly"]))
+    fact = gold["fact_demand_hourly"]
+    assert again.select(*fact.columns).exceptAll(fact).count() == 0 and again.count() == fact.count()

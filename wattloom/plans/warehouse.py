@@ -49,12 +49,18 @@ def hourly_frame(wide: DataFrame, bounds: DataFrame, dim_ba: DataFrame, weather:
     return rows.selectExpr("*", f"{local_clock()} as period_local")
 
 
-def build_silver(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = None, bounds: DataFrame | None = None) -> DataFrame:
-    """``silver_grid_hourly``: the hourly spine with quality flags; nothing is dropped."""
-    rows = hourly_frame(wide, bounds if bounds is not None else series_bounds(wide), dim_ba, weather)
+def neighbour_columns() -> dict[str, str]:
+    """The previous reading and the readings within reach of each hour, for the gold flags."""
+    return {"_previous": "lag(demand_mwh) over ({w})", "_near": local_values("demand_mwh", SPIKE_REACH)}
+
+
+def flagged_hours(rows: DataFrame) -> DataFrame:
+    """Silver columns plus the neighbours the gold flags need, all from one shuffle of the hours."""
     frozen = """demand_mwh is not null and demand_mwh = lag(demand_mwh) over ({w})
                 and demand_mwh = lag(demand_mwh, 2) over ({w})"""
-    flagged = over_chunks(rows, ["ba_code"], hour_number(), SPIKE_REACH, 0, {"flag_frozen_reading": frozen})
+    flagged = over_chunks(
+        rows, ["ba_code"], hour_number(), SPIKE_REACH, SPIKE_REACH, {"flag_frozen_reading": frozen, **neighbour_columns()}
+    )
     return flagged.selectExpr(
         *HOUR_KEY[::-1], "timezone", "period_local",
         "to_date(period_local) as date_local",
@@ -65,9 +71,16 @@ def build_silver(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None =
         f"demand_mwh is not null and demand_mwh < {MIN_PLAUSIBLE_MWH}D as flag_nonpositive_demand",
         "_reported is null as flag_absent_interval",
         "flag_frozen_reading",
+        *neighbour_columns(),
     )
 
 
+def build_silver(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = None, bounds: DataFrame | None = None) -> DataFrame:
+    """``silver_grid_hourly``: the hourly spine with quality flags; nothing is dropped."""
+    rows = hourly_frame(wide, bounds if bounds is not None else series_bounds(wide), dim_ba, weather)
+    return flagged_hours(rows).drop(*neighbour_columns())
+
+
 def build_dim_date(days: DataFrame, extra_days: int = 20) -> DataFrame:
     """Calendar from the first to the last ``date_local``, plus a margin for the future.
 
@@ -93,19 +106,21 @@ def demand_bounds(demand: DataFrame) -> DataFrame:
     )
 
 
-def local_median(value: str, reach: int) -> str:
-    """Exact median of the rows within ``reach`` of this one; frames are partial at the ends."""
+def local_values(value: str, reach: int) -> str:
+    """The known values within ``reach`` rows of this one, sorted; fewer at the ends of a series."""
     offsets = [f"lag({value}, {i}) over ({{w}})" for i in range(reach, 0, -1)]
     offsets += [value] + [f"lead({value}, {i}) over ({{w}})" for i in range(1, reach + 1)]
     return f"sort_array(array_compact(array({', '.join(offsets)})))"
 
 
 def build_fact(silver: DataFrame, dim_date: DataFrame, bounds: DataFrame) -> DataFrame:
-    """``fact_demand_hourly``: raw and trusted demand, ramp, magnitude and spike flags, calendar."""
-    rows = over_chunks(
-        silver, ["ba_code"], hour_number(), SPIKE_REACH, SPIKE_REACH,
-        {"_previous": "lag(demand_mwh) over ({w})", "_near": local_median("demand_mwh", SPIKE_REACH)},
-    )
+    """``fact_demand_hourly``: raw and trusted demand, ramp, magnitude and spike flags, calendar.
+
+    A stored silver table gets its neighbours here; ``flagged_hours`` already carries them.
+    """
+    rows = silver
+    if "_near" not in rows.columns:
+        rows = over_chunks(rows, ["ba_code"], hour_number(), SPIKE_REACH, SPIKE_REACH, neighbour_columns())
     middle = "(get(_near, cast((size(_near) - 1) div 2 as int)) + get(_near, cast(size(_near) div 2 as int))) / 2"
     departs = f"({ratio('abs(demand_mwh - _median)', '_median')} * 100 > {SPIKE_PCT}D)"
     return (
@@ -156,13 +171,13 @@ def build_gold(wide: DataFrame, dim_ba: DataFrame, weather: DataFrame | None = N
     """
     bounds = written(bounds if bounds is not None else series_bounds(wide), "series_bounds")
     plausible = written(demand_bounds(wide), "demand_bounds")
-    silver = build_silver(wide, dim_ba, weather, bounds)
+    hours = flagged_hours(hourly_frame(wide, bounds, dim_ba, weather))
     dim_date = build_dim_date(calendar_span(bounds, dim_ba))
-    fact = build_fact(silver, dim_date, plausible)
+    fact = build_fact(hours, dim_date, plausible)
     return {
         "dim_ba": dim_ba,
         "dim_date": dim_date,
-        "silver_grid_hourly": silver,
+        "silver_grid_hourly": hours.drop(*neighbour_columns()),
         "fact_demand_hourly": fact,
         "fact_forecast_accuracy": build_accuracy(fact),
     }
