@@ -96,7 +96,7 @@ def test_both_split_conventions(spark):
     rows = spark.sql("select explode(sequence(timestamp'2024-01-01', timestamp'2024-02-10', interval 1 hour)) as period_utc")
     edge = "period_utc = timestamp'2024-01-31'"
     a = features.chronological_split(rows, 10, 10).where(edge).first()["split"]
-    b = features.pipeline_split(rows, 10, 10).where(edge).first()["split"]
+    b = features.training_split(rows, 10, 10).where(edge).first()["split"]
     assert (a, b) == ("valid", "test")
 
 

@@ -163,8 +163,8 @@ def _split_sql(test, valid):
 register("chronological_split", _split_sql("<=", "<="))(
     lambda s, d: _counts(features.chronological_split(written_frame(s, d, "ba_code", "period_utc"), test_days=20, valid_days=15))
 )
-register("pipeline_split", _split_sql("<", "<"))(
-    lambda s, d: _counts(features.pipeline_split(written_frame(s, d, "ba_code", "period_utc"), test_days=20, valid_days=15))
+register("training_split", _split_sql("<", "<"))(
+    lambda s, d: _counts(features.training_split(written_frame(s, d, "ba_code", "period_utc"), test_days=20, valid_days=15))
 )
 
 register(

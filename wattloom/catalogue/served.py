@@ -12,7 +12,7 @@ from wattloom.catalogue.quality import _results
 from wattloom.functions.scalars import rounded
 from wattloom.operators import metrics, windows
 from wattloom.plans import diagnostics, guard, inference, models, served
-from wattloom.plans.features import pipeline_split
+from wattloom.plans.features import training_split
 from wattloom.session import written
 from wattloom.sources import adapters, catalog
 
@@ -236,7 +236,7 @@ register("model_predictions")(lambda s, d: _train(s, d).predictions)
 
 
 def _model(spark, sf_dir, frame=None):
-    frame = written(pipeline_split(frame if frame is not None else feeder_features(spark, sf_dir), 20, 15), "features")
+    frame = written(training_split(frame if frame is not None else feeder_features(spark, sf_dir), 20, 15), "features")
     parts = [frame.where(f"split = '{p}'").drop("split") for p in ("train", "valid")]
     return models.fit_forecaster(*parts, quick=True)
 

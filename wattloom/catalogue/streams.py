@@ -51,13 +51,10 @@ def _stream_rollup(spark, sf_dir):
     folder = _folder(spark, "rollup")
     pivot_latest(adapters.event_measures(spark, sf_dir), "seq").coalesce(4).write.parquet(f"{folder}/in")
     readings = spark.readStream.schema("ba_code string, period_utc timestamp, demand_mwh double").parquet(f"{folder}/in")
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     rows = rollup.daily_rollup(readings)
-    spark_rows = []
 
     def keep(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{folder}/out")
-        spark_rows.append(batch_id)
 
     rows.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/progress").trigger(
         availableNow=True
@@ -79,5 +76,4 @@ def _stream_flags(spark, sf_dir):
     wide.where(f"period_utc < {cut}").write.parquet(f"{folder}/in/part=0")
     wide.where(f"period_utc >= {cut}").write.parquet(f"{folder}/in/part=1")
     schema = "ba_code string, period_utc timestamp, demand_mwh double"
-    first = _drain(flags.flag_on_arrival(spark.readStream.schema(schema).parquet(f"{folder}/in/*")), "append", folder)
-    return first
+    return _drain(flags.flag_on_arrival(spark.readStream.schema(schema).parquet(f"{folder}/in/*")), "append", folder)

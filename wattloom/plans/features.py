@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.scalars import cooling, cyclical, exprs, heating, hour_number, only_finite
+from wattloom.functions.scalars import cooling, cyclical, exprs, heating, hour_number
 from wattloom.operators.chunking import chunk_size, over_chunks
 from wattloom.operators.quantiles import grouped_quantiles
 from wattloom.operators.series import fill_gaps_step
@@ -176,22 +176,9 @@ def chronological_split(frame: DataFrame, test_days: int = 90, valid_days: int =
     return frame.withColumn(name, F.when(p <= valid, "train").when(p <= test, "valid").otherwise("test"))
 
 
-def pipeline_split(frame: DataFrame, test_days: int = 90, valid_days: int = 60, name: str = "split") -> DataFrame:
+def training_split(frame: DataFrame, test_days: int = 90, valid_days: int = 60, name: str = "split") -> DataFrame:
     """The training pipeline's labels: a cut-off hour belongs to the later part."""
     test = _last_period(frame) - F.expr(f"interval {test_days} days")
     valid = test - F.expr(f"interval {valid_days} days")
     p = F.col("period_utc")
     return frame.withColumn(name, F.when(p < valid, "train").when(p < test, "valid").otherwise("test"))
-
-
-def isolation_features(rows: DataFrame) -> DataFrame:
-    """Ramp against the previous scored row, and demand per degree away from the balance point."""
-    away = "greatest(abs(temperature_2m - 18D), 0.5D)"
-    return rows.selectExpr(
-        "*",
-        "demand_mwh - _previous as ramp_mwh",
-        f"{only_finite('((demand_mwh - _previous) / nullif(_previous, 0D) * 100)')} as ramp_pct",
-        f"case when temperature_2m is not null then demand_mwh / {away} end as demand_per_degree",
-    )
-
-

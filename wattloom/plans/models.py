@@ -14,7 +14,7 @@ from wattloom.functions.scalars import sorted_row
 from wattloom.operators import metrics
 from wattloom.operators.windows import global_stats, target_stats, with_target_stats
 from wattloom.plans.baselines import build_all_baselines
-from wattloom.plans.features import FEATURES, TARGET, pipeline_split
+from wattloom.plans.features import FEATURES, TARGET, training_split
 from wattloom.schemas import QUANTILES
 from wattloom.session import shared_folder, written
 
@@ -162,7 +162,7 @@ def train_all(frame: DataFrame, test_days: int = 90, valid_days: int = 60, quick
     """Features to leaderboard: baselines, point model with bands, hybrid and ensemble on the test rows."""
     from wattloom.functions.scalars import row_mean
 
-    frame = written(pipeline_split(frame, test_days, valid_days), "features")
+    frame = written(training_split(frame, test_days, valid_days), "features")
     train, valid = (frame.where(f"split = '{s}'").drop("split") for s in ("train", "valid"))
     baselines = build_all_baselines(frame).where("split = 'test'").drop("split", "pred_drift_naive")
     model = fit_forecaster(train, valid, quick=quick, rounds=rounds)

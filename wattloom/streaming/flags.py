@@ -2,6 +2,7 @@
 
 Ordered windows do not exist on streams, so the two previous values are kept as state. A row
 never flags differently from the batch ``lag`` form as long as readings of a key arrive in order.
+A group is one key's readings of one micro-batch, which ``maxFilesPerTrigger`` bounds.
 """
 
 from __future__ import annotations
