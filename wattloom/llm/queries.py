@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from wattloom.llm.language import op5_language_id
+from wattloom.llm.simhash import op9_gray_simhash
 
 QUERIES = {
     "op5_language_id": op5_language_id,
+    "op9_gray_simhash": op9_gray_simhash,
 }
 SQL: dict[str, str] = {}
