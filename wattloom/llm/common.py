@@ -59,7 +59,7 @@ def labelled_sample(rows: DataFrame, per_label: int) -> list:
     counts = rows.where("label is not null and text is not null").groupBy("label").count()
     chosen = (
         usable.withColumn("rank", F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000007L) / 1000000007D"))
-        .join(counts.withColumnRenamed("label", "of"), F.col("label") == F.col("of"))
+        .join(F.broadcast(counts.withColumnRenamed("label", "of")), F.col("label") == F.col("of"))  # a row a label; more rows than that are collected
         .where(F.col("rank") < per_label / F.col("count"))
         .select("rank", "doc_id", "label", "text")
     )
