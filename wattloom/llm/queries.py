@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
 from wattloom.llm.packing import op4_best_fit_packing
 from wattloom.llm.simhash import op9_gray_simhash
 
 QUERIES = {
+    "op2_interpolated_lm": op2_interpolated_lm,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op9_gray_simhash": op9_gray_simhash,
