@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wattloom.llm.host_rules import OP3_SQL, op3_host_rules
 from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
 from wattloom.llm.packing import op4_best_fit_packing
@@ -9,8 +10,11 @@ from wattloom.llm.simhash import op9_gray_simhash
 
 QUERIES = {
     "op2_interpolated_lm": op2_interpolated_lm,
+    "op3_host_rules": op3_host_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op9_gray_simhash": op9_gray_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_host_rules": OP3_SQL,
+}
