@@ -6,6 +6,7 @@ from wattloom.llm.host_rules import OP3_SQL, op3_host_rules
 from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
 from wattloom.llm.packing import op4_best_fit_packing
+from wattloom.llm.quality import op6_line_crf
 from wattloom.llm.simhash import op9_gray_simhash
 
 QUERIES = {
@@ -13,7 +14,9 @@ QUERIES = {
     "op3_host_rules": op3_host_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
+    "op6_line_crf": op6_line_crf,
     "op9_gray_simhash": op9_gray_simhash,
+    "op10_clause_grammar": op10_clause_grammar,
 }
 SQL: dict[str, str] = {
     "op3_host_rules": OP3_SQL,
