@@ -8,6 +8,7 @@ from wattloom.llm.language import op5_language_id
 from wattloom.llm.packing import op4_best_fit_packing
 from wattloom.llm.quality import op6_line_crf
 from wattloom.llm.simhash import op9_gray_simhash
+from wattloom.llm.toxicity import op10_clause_grammar
 
 QUERIES = {
     "op2_interpolated_lm": op2_interpolated_lm,

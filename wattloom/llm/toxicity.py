@@ -28,7 +28,7 @@ from wattloom.llm.quality import minimised
 DOCUMENTS_PER_LABEL = 2500
 TOXIC_FROM = 0.5
 #: Learned words and beginnings: least toxic documents, least log odds, least log odds in standard errors.
-LEAST_DOCUMENTS, LEAST_ODDS, LEAST_ERRORS = 3, 1.8, 2.6
+LEAST_DOCUMENTS, LEAST_ODDS, LEAST_ERRORS = 3, 1.8, 3.0
 BEGINNINGS = range(4, 9)
 #: Words a worker remembers the class of; it starts afresh beyond.
 REMEMBERED = 400_000
@@ -179,11 +179,11 @@ def signals(grammar: Grammar, texts: list[bytes]) -> np.ndarray:
     rows = np.array([grammar.matched(t) for t in texts], dtype=np.float64).reshape(-1, 4)
     total, clauses, most, words = rows.T
     share = 100 * total / np.maximum(words, 20)
-    return np.column_stack([np.log1p(total), np.log1p(share), np.sqrt(share), np.log1p(100 * clauses / np.maximum(words, 20)), np.log1p(most), np.log1p(words) / 8, np.ones(len(texts))])
+    return np.column_stack([np.log1p(total), np.log1p(share), np.log1p(clauses), np.log1p(most), np.log1p(words) / 8, np.ones(len(texts))])
 
 
 #: Used where nothing can be learned: half at about one strong clause in fifty words.
-FALLBACK = np.array([0.5, 1.0, 0.0, 1.0, 0.5, -0.5, -3.0])
+FALLBACK = np.array([0.5, 1.5, 0.0, 0.5, -0.5, -3.0])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = DOCUMENTS_PER_LABEL) -> tuple[dict, dict, np.ndarray]:
@@ -202,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = DOCUMENTS_PER_LAB
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         z = x @ w
         p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        return float((np.logaddexp(0, z) - y * z).mean() + 1e-4 * w @ w), x.T @ (p - y) / len(y) + 2e-4 * w
+        return float((np.logaddexp(0, z) - y * z).mean() + 1e-3 * w @ w), x.T @ (p - y) / len(y) + 2e-3 * w
 
     return *learned_words(sample), minimised(loss, np.zeros(x.shape[1]), rounds=200)
 
