@@ -5,6 +5,7 @@ from __future__ import annotations
 from wattloom.llm.host_rules import OP3_SQL, op3_host_rules
 from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
+from wattloom.llm.neighbours import op7_projected_kd_search
 from wattloom.llm.packing import op4_best_fit_packing
 from wattloom.llm.quality import op6_line_crf
 from wattloom.llm.simhash import op9_gray_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op6_line_crf": op6_line_crf,
+    "op7_projected_kd_search": op7_projected_kd_search,
     "op9_gray_simhash": op9_gray_simhash,
     "op10_clause_grammar": op10_clause_grammar,
 }
