@@ -7,6 +7,7 @@ from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
 from wattloom.llm.neighbours import op7_projected_kd_search
 from wattloom.llm.packing import op4_best_fit_packing
+from wattloom.llm.pages import op8_page_differencing
 from wattloom.llm.quality import op6_line_crf
 from wattloom.llm.simhash import op9_gray_simhash
 from wattloom.llm.toxicity import op10_clause_grammar
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_line_crf": op6_line_crf,
     "op7_projected_kd_search": op7_projected_kd_search,
+    "op8_page_differencing": op8_page_differencing,
     "op9_gray_simhash": op9_gray_simhash,
     "op10_clause_grammar": op10_clause_grammar,
 }
