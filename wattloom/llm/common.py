@@ -35,6 +35,12 @@ def narrowed(df: DataFrame, *columns: str, text: str | None = "text") -> DataFra
     return df.select(*[F.col(f"`{c}`") for c in columns], *([F.col(f"`{text}`").cast("binary").alias("text")] if text else []))
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """``whole`` (the row as it is), ``id`` and ``row`` (a hash of the row): own columns can't clash with the input's."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), F.col("doc_id").alias("id"), F.xxhash64(*hashed).alias("row"))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that a slice holds about ``limit`` bytes of one column; a longer value is a slice of its own."""
     for batch in batches:

@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wattloom.llm.common import fold, labelled_sample, narrowed, slices, table
 
@@ -29,7 +28,6 @@ DOCUMENTS_PER_LANGUAGE, ALL_SAMPLES = 96, 1 << 20
 BLOCK = 1024
 #: How sharply the score of the best language grows with its lead.
 SHARPNESS = 12
-SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 @dataclass(frozen=True)
@@ -125,14 +123,16 @@ def phrase_counts(model: LanguageModel, texts: list[bytes]) -> tuple[np.ndarray,
     first = model.steps[model.roots[:, None] + np.arange(width)]
     first = np.where(first > 0, first, model.roots[:, None]).astype(np.int32)
     state = np.repeat(model.roots[:, None], len(of), axis=1)
-    phrases = np.ones(state.shape, dtype=np.int64)  # the phrase that is open at the end
+    phrases = np.zeros(state.shape, dtype=np.int64)
+    root = model.roots[:, None]
     alive = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), side="left")
     for t, k in enumerate(alive):
         symbol = data[begin[:k] + t]
-        to = model.steps[state[:, :k] + symbol]
-        ended = to == 0
-        phrases[:, :k] += ended
-        state[:, :k] = np.where(ended, first[:, symbol], to)
+        at = state[:, :k]
+        to = model.steps[at + symbol]
+        stuck = to == 0
+        phrases[:, :k] += stuck | (at == root)  # a phrase begins
+        state[:, :k] = np.where(stuck, first[:, symbol], to)  # at the root again if no phrase begins so
     total = np.zeros((len(model.languages), len(texts)), dtype=np.int64)
     for i in range(len(model.languages)):
         total[i] = np.bincount(of, weights=phrases[i], minlength=len(texts)).astype(np.int64)
@@ -176,7 +176,8 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
             yield pa.record_batch([part.column("doc_id"), part.column("held_out"), pa.array(language, pa.string()), pa.array(certainty, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = narrowed(docs.withColumn("held_out", fold(5) == 0), "doc_id", "held_out")
-    return rows.mapInArrow(score, SCHEMA)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, least: float = 0.3, model: LanguageModel | None = None) -> DataFrame:

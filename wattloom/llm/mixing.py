@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import narrowed, slices, table
+from wattloom.llm.common import slices, table, whole_rows
 from wattloom.session import written
 
 #: Weights of the sources in order of their code points, repeating; no document is taken more often than REPEATS on average.
@@ -127,8 +127,7 @@ def _with(units: DataFrame, values: dict, name: str, kind: str) -> DataFrame:
 
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, _row (a hash of the whole row) and size in words of every row."""
-    rows = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    rows = narrowed(rows, "doc_id", "source", "_row")
+    rows = whole_rows(docs).select(F.col("id").alias("doc_id"), F.col("whole.source").alias("source"), F.col("row").alias("_row"), F.col("whole.text").cast("binary").alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,13 +170,12 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int =
 
 def repeated(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """``docs`` with every row as often as the mix takes it."""
-    taken = mixed(docs, weights, repeats).groupBy("doc_id", "_row").agg(F.sum("copies").alias("_copies"))
-    taken = taken.where("_copies > 0").withColumnsRenamed({"doc_id": "_id", "_row": "_of"})
-    rows = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    joined = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_id"]) & (rows["_row"] == taken["_of"]))
-    first = F.row_number().over(Window.partitionBy("doc_id", "_row").orderBy("_row"))  # equal rows share their copies
-    once = joined.withColumn("_nth", first).where("_nth = 1")
-    return once.withColumn("_copy", F.expr("explode(array_repeat(1, cast(_copies as int)))")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = mixed(docs, weights, repeats).groupBy("doc_id", "_row").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = whole_rows(docs)
+    joined = rows.join(taken, rows["id"].eqNullSafe(taken["doc_id"]) & (rows["row"] == taken["_row"])).select("whole", "id", "row", "copies")
+    first = F.row_number().over(Window.partitionBy("id", "row").orderBy("row"))  # equal rows share their copies
+    once = joined.withColumn("nth", first).where("nth = 1")
+    return once.select("whole", F.expr("explode(array_repeat(1, cast(copies as int)))")).select("whole.*")
 
 
 def op1_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from wattloom.llm.common import lowered, narrowed, slices, table
+from wattloom.llm.common import lowered, narrowed, slices, table, whole_rows
 from wattloom.llm.graph import components
 from wattloom.session import written
 
@@ -206,15 +206,16 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
 
     A component whose rows all lack a doc_id keeps one of them, too.
     """
-    rows = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    prints = written(fingerprints(rows, "doc_id", "_row", shingle=shingle), "prints")
+    rows = whole_rows(docs)
+    named = rows.select(F.col("id").alias("doc_id"), "row", F.col("whole.text").alias("text"))
+    prints = written(fingerprints(named, "doc_id", "row", shingle=shingle), "prints")
     placed = _placed(prints, radius)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     ahead = prints.groupBy("fp").agg(first).join(placed, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = ahead.select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_kept"))
-    chosen = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_row"] == kept["_kept"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_row").orderBy("_row"))  # rows that are equal throughout
-    return chosen.withColumn("_nth", nth).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = ahead.select(F.col("first.doc_id").alias("kept_id"), F.col("first.row").alias("kept_row"))
+    chosen = rows.join(kept, rows["id"].eqNullSafe(kept["kept_id"]) & (rows["row"] == kept["kept_row"]), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "row").orderBy("row"))  # rows that are equal throughout
+    return chosen.withColumn("nth", nth).where("nth = 1").select("whole.*")
 
 
 def op9_gray_simhash(spark, sf_dir: str) -> DataFrame:
