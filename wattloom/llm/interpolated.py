@@ -259,6 +259,8 @@ def scores(docs: DataFrame, trained: str, order: int = ORDER, extra: tuple[str,
     distinct = answers.where("block = -1 and n = 1").agg(F.sum("seen").alias("seen"), F.sum("seen_kept").alias("kept")).first()
     seen, seen_kept = int(distinct["seen"] or 0), int(distinct["kept"] or 0)
     weights = learn_weights(packed, answers, order, kept["tokens"], kept["docs"], seen_kept)
+    if not n["tokens"]:
+        weights[:, :order], weights[:, order] = 0, 1
     carried = ("doc_id", *extra)
     kinds = {f.name: f.dataType.elementType.simpleString() for f in packed.schema if f.name in carried}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", n_tokens long, n_known long, train_tokens long, base_score double, score double"
