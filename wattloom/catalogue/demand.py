@@ -80,19 +80,25 @@ view(
     """,
 )
 view("stg_accuracy", "SELECT * FROM feed_accuracy WHERE actual_mwh > 0")
+# Marts from lists: each group's values are gathered in order once, and every figure is read off the list.
+view(
+    "day_lists",
+    """
+    SELECT ba_code, date_local, day_type, season, list(demand_mwh ORDER BY period_utc) AS load, list(hour_local ORDER BY period_utc) AS clock,
+           list(temperature_2m) FILTER (temperature_2m IS NOT NULL) AS warmth, list(heating_degrees) AS heating, list(cooling_degrees) AS cooling
+    FROM stg_demand GROUP BY ALL
+    """,
+)
 view(
     "mart_daily",
     f"""
-    SELECT ba_code, date_local, day_type, season, count(*) AS hours_reported,
-           {r('sum(demand_mwh)')} AS total_demand_mwh, {r('avg(demand_mwh)')} AS mean_demand_mw,
-           {r('max(demand_mwh)')} AS peak_demand_mw, {r('min(demand_mwh)')} AS trough_demand_mw,
-           {r('max(demand_mwh) - min(demand_mwh)')} AS daily_swing_mw,
-           {r('avg(demand_mwh) / nullif(max(demand_mwh), 0)', 4)} AS load_factor,
-           {r('avg(temperature_2m)', 2)} AS mean_temp_c, {r('max(temperature_2m)', 2)} AS max_temp_c,
-           {r('min(temperature_2m)', 2)} AS min_temp_c, {r('sum(heating_degrees) / 24', 2)} AS heating_degree_days,
-           {r('sum(cooling_degrees) / 24', 2)} AS cooling_degree_days,
-           arg_max(hour_local, (demand_mwh, -epoch(period_utc))) AS peak_hour_local
-    FROM stg_demand GROUP BY ba_code, date_local, day_type, season
+    SELECT ba_code, date_local, day_type, season, len(load) AS hours_reported, {r('list_sum(load)')} AS total_demand_mwh,
+           {r('list_avg(load)')} AS mean_demand_mw, {r('list_max(load)')} AS peak_demand_mw, {r('list_min(load)')} AS trough_demand_mw,
+           {r('list_max(load) - list_min(load)')} AS daily_swing_mw, {r('list_avg(load) / nullif(list_max(load), 0)', 4)} AS load_factor,
+           {r('list_avg(warmth)', 2)} AS mean_temp_c, {r('list_max(warmth)', 2)} AS max_temp_c, {r('list_min(warmth)', 2)} AS min_temp_c,
+           {r('list_sum(heating) / 24', 2)} AS heating_degree_days, {r('list_sum(cooling) / 24', 2)} AS cooling_degree_days,
+           clock[list_position(load, list_max(load))] AS peak_hour_local
+    FROM day_lists
     """,
 )
 
@@ -124,55 +130,58 @@ def _hourly(spark, sf_dir):
 
 register("mart_daily_demand", "SELECT * FROM mart_daily")(lambda s, d: marts.daily_demand(_hourly(s, d)))
 
+view(
+    "profile_cells",
+    f"""
+    SELECT ba_code, season, day_type, hour_local, len(load) AS observations, {r('list_avg(load)')} AS mean_demand_mw,
+           {r("list_aggregate(load, 'quantile_cont', 0.1)")} AS p10_demand_mw, {r("list_aggregate(load, 'quantile_cont', 0.9)")} AS p90_demand_mw
+    FROM (SELECT ba_code, season, day_type, hour_local, list(demand_mwh) AS load FROM stg_demand GROUP BY ALL)
+    """,
+)
 register(
     "mart_load_profile",
     f"""
-    SELECT *, {r('''mean_demand_mw / nullif(avg(mean_demand_mw) OVER (PARTITION BY ba_code, season, day_type), 0)''', 4)}
-              AS shape_index
-    FROM (SELECT ba_code, season, day_type, hour_local, {r('avg(demand_mwh)')} AS mean_demand_mw,
-                 {r('quantile_cont(demand_mwh, 0.1)')} AS p10_demand_mw,
-                 {r('quantile_cont(demand_mwh, 0.9)')} AS p90_demand_mw, count(*) AS observations
-          FROM stg_demand GROUP BY ba_code, season, day_type, hour_local)
+    SELECT profile_cells.*, {r('mean_demand_mw / nullif(level, 0)', 4)} AS shape_index
+    FROM profile_cells JOIN (SELECT ba_code, season, day_type, avg(mean_demand_mw) AS level FROM profile_cells GROUP BY ALL)
+         USING (ba_code, season, day_type)
     """,
 )(lambda s, d: marts.load_profile(_hourly(s, d)))
 
 register(
     "mart_forecast_scorecard",
     f"""
-    SELECT ba_code, CAST(date_trunc('month', date_local) AS TIMESTAMP) AS month_local, count(*) AS hours_scored,
-           {r('avg(abs_pct_error)', 3)} AS eia_mape_pct,
-           {r('quantile_cont(abs_pct_error, 0.5)', 3)} AS eia_median_ape_pct,
-           {r('quantile_cont(abs_pct_error, 0.95)', 3)} AS eia_p95_ape_pct,
-           {r('avg(abs_error_mwh)')} AS eia_mae_mw, {r('sqrt(avg(error_mwh * error_mwh))')} AS eia_rmse_mw,
-           {r('avg(error_mwh)')} AS mean_bias_mw,
-           {r("100.0::DOUBLE * count(*) FILTER (WHERE bias_direction = 'over') / count(*)", 1)} AS over_forecast_pct
-    FROM stg_accuracy GROUP BY 1, 2
+    SELECT ba_code, month_local, len(pct) AS hours_scored, {r('list_avg(pct)', 3)} AS eia_mape_pct, {r('list_median(pct)', 3)} AS eia_median_ape_pct,
+           {r("list_aggregate(pct, 'quantile_cont', 0.95)", 3)} AS eia_p95_ape_pct,
+           {r('list_avg(list_transform(miss, lambda x: abs(x)))')} AS eia_mae_mw, {r('sqrt(list_avg(list_transform(miss, lambda x: x * x)))')} AS eia_rmse_mw,
+           {r('list_avg(miss)')} AS mean_bias_mw, {r('len(list_filter(miss, lambda x: x > 0)) * 100::DOUBLE / len(miss)', 1)} AS over_forecast_pct
+    FROM (SELECT ba_code, make_date(year(date_local), month(date_local), 1)::TIMESTAMP AS month_local, list(abs_pct_error) AS pct, list(error_mwh) AS miss
+          FROM stg_accuracy GROUP BY ALL)
     """,
 )(lambda s, d: marts.forecast_scorecard(marts.stage_accuracy(feeder_gold(s, d)["fact_forecast_accuracy"])))
 
+view(
+    "warm_hours",
+    """
+    SELECT ba_code, day_type, demand_mwh, (2 * floor(temperature_2m / 2))::INTEGER AS temp_bin_c, median(demand_mwh) OVER (PARTITION BY ba_code) AS middle
+    FROM stg_demand WHERE temperature_2m IS NOT NULL
+    """,
+)
 register(
     "mart_temperature_response",
     f"""
-    SELECT h.ba_code, h.day_type, CAST(floor(h.temperature_2m / 2) * 2 AS INTEGER) AS temp_bin_c, count(*) AS observations,
-           {r('avg(h.demand_mwh)')} AS mean_demand_mw,
-           {r('avg(h.demand_mwh) / nullif(b.med, 0)', 4)} AS demand_index,
-           {r('stddev_samp(h.demand_mwh)')} AS demand_stddev_mw
-    FROM stg_demand h
-    JOIN (SELECT ba_code, median(demand_mwh) AS med FROM stg_demand WHERE temperature_2m IS NOT NULL GROUP BY 1) b
-         USING (ba_code)
-    WHERE h.temperature_2m IS NOT NULL
-    GROUP BY h.ba_code, h.day_type, temp_bin_c, b.med HAVING count(*) >= 10
+    SELECT ba_code, day_type, temp_bin_c, len(load) AS observations, {r('list_avg(load)')} AS mean_demand_mw,
+           {r('list_avg(load) / nullif(middle, 0)', 4)} AS demand_index, {r('list_stddev_samp(load)')} AS demand_stddev_mw
+    FROM (SELECT ba_code, day_type, temp_bin_c, middle, list(demand_mwh) AS load FROM warm_hours GROUP BY ALL)
+    WHERE len(load) > 9
     """,
 )(lambda s, d: marts.temperature_response(_hourly(s, d)))
 
 register(
     "mart_peak_events",
     f"""
-    SELECT ba_code, date_local, day_type, season, peak_demand_mw, peak_hour_local, max_temp_c, min_temp_c, load_factor,
-           peak_rank, {r('100.0::DOUBLE * peak_demand_mw / nullif(best, 0)', 2)} AS pct_of_all_time_peak
-    FROM (SELECT *, max(peak_demand_mw) OVER (PARTITION BY ba_code) AS best,
-                 row_number() OVER (PARTITION BY ba_code ORDER BY peak_demand_mw DESC, date_local) AS peak_rank
-          FROM mart_daily)
-    WHERE peak_rank <= 25
+    SELECT day.ba_code, day.date_local, day.day_type, day.season, day.peak_demand_mw, day.peak_hour_local, day.max_temp_c, day.min_temp_c, day.load_factor,
+           nth AS peak_rank, {r('day.peak_demand_mw * 100::DOUBLE / nullif(days[1].peak_demand_mw, 0)', 2)} AS pct_of_all_time_peak
+    FROM (SELECT days, unnest(days[1:25]) AS day, unnest(range(1, least(len(days), 25) + 1)) AS nth
+          FROM (SELECT list(mart_daily ORDER BY peak_demand_mw DESC, date_local) AS days FROM mart_daily GROUP BY ba_code))
     """,
 )(lambda s, d: marts.peak_events(marts.daily_demand(_hourly(s, d))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from wattloom.catalogue.base import r, register
+from wattloom.catalogue.base import EVENT_ARRIVAL, r, register
 from wattloom.functions.scalars import rounded
 from wattloom.operators.series import pivot_latest
 from wattloom.schemas import BRONZE_MEASURES
@@ -49,7 +49,7 @@ _FIGURES = ["total_demand_mwh", "mean_demand_mw", "peak_demand_mw", "trough_dema
 )
 def _stream_rollup(spark, sf_dir):
     folder = _folder(spark, "rollup")
-    pivot_latest(adapters.event_measures(spark, sf_dir), "seq").coalesce(4).write.parquet(f"{folder}/in")
+    pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL).coalesce(4).write.parquet(f"{folder}/in")
     readings = spark.readStream.schema("ba_code string, period_utc timestamp, demand_mwh double").parquet(f"{folder}/in")
     rows = rollup.daily_rollup(readings)
 
@@ -71,7 +71,7 @@ def _stream_rollup(spark, sf_dir):
 )
 def _stream_flags(spark, sf_dir):
     folder = _folder(spark, "flags")
-    wide = pivot_latest(adapters.event_measures(spark, sf_dir), "seq").select("ba_code", "period_utc", "demand_mwh")
+    wide = pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL).select("ba_code", "period_utc", "demand_mwh")
     cut = "timestamp'2024-01-12'"
     wide.where(f"period_utc < {cut}").write.parquet(f"{folder}/in/part=0")
     wide.where(f"period_utc >= {cut}").write.parquet(f"{folder}/in/part=1")

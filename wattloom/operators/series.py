@@ -52,8 +52,8 @@ def pivot_measures(bronze: DataFrame) -> DataFrame:
 def pivot_latest(bronze: DataFrame, arrival: str) -> DataFrame:
     """``pivot_measures(upsert_measures(...))`` in a single aggregation and a single shuffle.
 
-    ``arrival`` is one number or timestamp that grows with each download; with fixed-width
-    buffers the aggregation hashes instead of sorting, and unused measures are pruned.
+    ``arrival`` grows with each download: a number, a timestamp, or a struct of several. Copies
+    collapse before the shuffle, and unused measures are pruned.
     """
 
     def when(code: str, value: str) -> str:
@@ -67,7 +67,7 @@ def pivot_latest(bronze: DataFrame, arrival: str) -> DataFrame:
 def weather_latest(records: DataFrame, arrival: str, columns: list[str] | tuple[str, ...] = WEATHER) -> DataFrame:
     """Weather variables of the preferred record of each hour, in one prunable aggregation.
 
-    ``arrival`` is one number that already puts the archive above the forecast.
+    ``arrival`` already puts the archive above the forecast.
     """
     return records.groupBy("ba_code", "period_utc").agg(*[F.expr(f"max_by({c}, {arrival})").alias(c) for c in columns])
 

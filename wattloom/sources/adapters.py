@@ -34,7 +34,8 @@ def feeder(suppkey: str) -> str:
 
 
 def feeder_code(number: str) -> str:
-    return f"concat('BA', lpad(cast({number} as string), 6, '0'))"
+    digits = f"cast({number} as string)"
+    return f"concat('BA', lpad({digits}, greatest(6, length({digits})), '0'))"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,9 +48,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{step} % 24 as h",
         f"timestamp_seconds(unix_seconds(timestamp'{SERIES_START}') + {step} * 3600) as period_utc",
         "cast(l_shipdate as timestamp) as ingested_at_utc",
-        # Order, line and (for records that share both) part in one long: which of several records
-        # of an hour came last. A long keeps the merge in hash aggregation; 62 bits last to 100 TB.
-        "(l_orderkey * 8 + l_linenumber) * 524288 + l_partkey % 524288 as arrival",
+        # Order and line, and the part for records that share both: which of several records of an
+        # hour came last, whatever the number of parts.
+        "struct(l_orderkey * 8 + l_linenumber as line, l_partkey as part) as arrival",
     )
 
 
