@@ -161,25 +161,51 @@ def test_rollup_drops_only_what_is_too_late(spark, tmp_path):
     assert out["2024-01-01"] == (2, 30.0) and out["2024-01-02"] == (1, 20.0)
 
 
-def test_arrival_flags_equal_the_batch_flags(spark, tmp_path):
-    values = [5.0, 5.0, 5.0, None, 5.0, 5.0, 9.0, 0.0, 3.0, 3.0, 3.0, 3.0]
-    rows = [("A", i, v) for i, v in enumerate(values)] + [("B", i, 7.0) for i in range(12)]
-    df = spark.createDataFrame(rows, "ba_code string, i int, demand_mwh double").selectExpr(
-        "ba_code", "timestamp'2024-01-01' + make_interval(0,0,0,0,i,0,0) as period_utc", "demand_mwh"
-    )
-    folder = f"{tmp_path}/in"
-    out = f"{tmp_path}/out"
-    for part, test in (("a", "< 5"), ("b", ">= 5")):
-        df.where(f"{hour_number()} - {hour_number('timestamp%s' % repr('2024-01-01'))} {test}").coalesce(1).write.parquet(f"{folder}/{part}")
-        stream = flags.flag_on_arrival(spark.readStream.schema("ba_code string, period_utc timestamp, demand_mwh double").parquet(f"{folder}/*"))
-        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+SHORT = "ba_code string, period_utc timestamp, demand_mwh double"
+
+
+def _batch_flags(df):
     w = "over (partition by ba_code order by period_utc)"
-    want = df.selectExpr(
+    return df.selectExpr(
         "ba_code", "period_utc", "demand_mwh",
         f"demand_mwh is not null and demand_mwh = lag(demand_mwh) {w} and demand_mwh = lag(demand_mwh, 2) {w} as flag_frozen_reading",
         f"abs(demand_mwh - lag(demand_mwh) {w}) / nullif(lag(demand_mwh) {w}, 0D) * 100 > 40 as flag_extreme_ramp",
     )
-    got = spark.read.parquet(out).select(*want.columns)
-    key = ["ba_code", "period_utc"]
-    assert got.orderBy(*key).collect() == want.orderBy(*key).collect()
-    assert got.agg(F.count_if("flag_frozen_reading")).first()[0] == 1 + 2 + 10
+
+
+def _run_flags(spark, folder, out, state):
+    stream = flags.flag_on_arrival(spark.readStream.schema(SHORT).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*"))
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+
+def test_flags_of_out_of_order_batches_equal_the_batch_flags(spark, tmp_path):
+    values = [5.0, 5.0, 5.0, None, 5.0, 5.0, 9.0, 0.0, 3.0, 3.0, 3.0, 3.0] * 8
+    rows = [(k, i, (v if k == "A" else 7.0)) for k in "AB" for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "ba_code string, i int, demand_mwh double").selectExpr(
+        "ba_code", "timestamp'2024-01-01' + make_interval(0,0,0,0,i,0,0) as period_utc", "demand_mwh", "i"
+    )
+    folder = f"{tmp_path}/in"
+    for landing in range(5):  # a reading lands up to 20 hours late, in a file of its own batch, the newest first
+        df.where(f"floor((i + pmod(xxhash64(ba_code, i), 21)) / 25) = {landing}").orderBy(F.desc("i")).drop("i").coalesce(1).write.parquet(f"{folder}/{landing}")
+    for nth in (1, 2):
+        spark.sql(f"select explode(array('A', 'B')) as ba_code, timestamp'2030-01-0{nth}' as period_utc, 1D as demand_mwh").coalesce(1).write.parquet(f"{folder}/end{nth}")
+    _run_flags(spark, folder, f"{tmp_path}/out", f"{tmp_path}/state")
+    want = _batch_flags(df)
+    got = spark.read.parquet(f"{tmp_path}/out").where("period_utc < timestamp'2030-01-01'").select(*want.columns)
+    assert got.orderBy("ba_code", "period_utc").collect() == want.orderBy("ba_code", "period_utc").collect()
+
+
+def test_too_late_readings_are_dropped_and_runs_go_on(spark, tmp_path):
+    def land(name, hour, value):
+        spark.sql(f"select 'A' as ba_code, timestamp'2024-01-01' + interval {hour} hours as period_utc, {value}D as demand_mwh").coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+
+    for name, hour, value in (("a", 0, 10), ("b", 100, 10), ("c", 101, 20)):
+        land(name, hour, value)
+    _run_flags(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state")
+    land("d", 1, 99)  # its hour has been passed
+    land("e", 200, 20)
+    land("f", 300, 1)
+    _run_flags(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state")
+    got = spark.read.parquet(f"{tmp_path}/out").orderBy("period_utc").collect()
+    assert [(r["demand_mwh"], r["flag_extreme_ramp"]) for r in got][:3] == [(10.0, None), (10.0, False), (20.0, True)]
+    assert 99.0 not in [r["demand_mwh"] for r in got]

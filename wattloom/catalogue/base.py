@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.functions.scalars import without_zone
 from wattloom.operators.series import pivot_latest, weather_latest
-from wattloom.plans.warehouse import build_gold
+from wattloom.plans.warehouse import build_accuracy, build_gold
 from wattloom.schemas import ARCHIVE_SOURCE
 from wattloom.session import configure, written
 from wattloom.sources import adapters
@@ -68,26 +68,67 @@ def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_latest(records, f"struct(source = '{ARCHIVE_SOURCE}' as archived, arrival)")
 
 
-def feeder_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The gold tables of the feeder lake; merged readings, dimension and per-key
-    figures are written once, the rest is lazy."""
-    wide = written(feeder_wide(spark, sf_dir), "measures_wide")
-    dim = written(adapters.feeder_dimension(spark, sf_dir), "dim_ba")
-    return build_gold(wide, dim, feeder_weather(spark, sf_dir))
+class Stored(Mapping):
+    """Tables that are written once each, when first asked for, and read from then on."""
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self._tables, self._written = tables, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "fact_demand_hourly":
+            return self._tables[name]  # is written already
+        if name not in self._written:
+            self._written[name] = written(self._tables[name], name)
+        return self._written[name]
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
+_BUILT: dict[tuple[str, str, str], Stored] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], dict[str, DataFrame]]) -> Stored:
+    """The gold tables of a lake, built once an application and folder; all queries read the same ones."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT:
+        _BUILT[key] = Stored(build())
+    return _BUILT[key]
+
+
+def feeder_gold(spark: SparkSession, sf_dir: str) -> Stored:
+    """The gold tables of the feeder lake."""
+
+    def build():
+        wide = written(feeder_wide(spark, sf_dir), "measures_wide")
+        dim = written(adapters.feeder_dimension(spark, sf_dir), "dim_ba")
+        gold = build_gold(wide, dim, feeder_weather(spark, sf_dir))
+        fact = written(gold["fact_demand_hourly"], "fact_demand_hourly")
+        return {**gold, "fact_demand_hourly": fact, "fact_forecast_accuracy": build_accuracy(fact)}
+
+    return _once(spark, sf_dir, "feeder", build)
 
 
 def feeder_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The gold fact as a written table, for queries that read it more than once."""
+    """The gold fact, whole or some columns of it."""
     fact = feeder_gold(spark, sf_dir)["fact_demand_hourly"]
-    return written(fact.select(*columns) if columns else fact, "fact_demand_hourly")
+    return fact.select(*columns) if columns else fact
 
 
-def event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def event_gold(spark: SparkSession, sf_dir: str) -> Stored:
     """The gold tables of the event feed: three authorities, no weather."""
     from wattloom.registry import authorities
 
-    wide = written(pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL), "measures_wide")
-    return build_gold(wide, authorities(spark), None)
+    def build():
+        wide = written(pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL), "measures_wide")
+        gold = build_gold(wide, authorities(spark), None)
+        fact = written(gold["fact_demand_hourly"], "fact_demand_hourly")
+        return {**gold, "fact_demand_hourly": fact, "fact_forecast_accuracy": build_accuracy(fact)}
+
+    return _once(spark, sf_dir, "events", build)
 
 
 def r(expression: str, digits: int = 0) -> str:

@@ -11,8 +11,12 @@ from wattloom.session import shared_folder, written
 from wattloom.sources import adapters, catalog, lake, landing, sinks
 
 
+#: Events from so many consecutive numbers share a page, as a feed pages its records.
+PAGE_RECORDS = 5000
+
+
 def _pages(spark, sf_dir):
-    """Events as downloaded pages: one nested JSON document per key and day, values as text.
+    """Events as downloaded pages: one nested JSON document per key, day and range of numbers, values as text.
 
     Signups report without a value, and error records carry an hour that does not parse.
     """
@@ -20,7 +24,7 @@ def _pages(spark, sf_dir):
     hour = "date_format(period_utc, \"yyyy-MM-dd'T'HH\")"
     record = f"""struct(case when measure_code = 'XX' then 'soon' else {hour} end as period, ba_code as respondent,
                         measure_code as type, case when measure_code <> 'TI' then cast(value_mwh as string) end as value)"""
-    pages = events.groupBy("ba_code", F.expr("to_date(period_utc)").alias("day")).agg(
+    pages = events.groupBy("ba_code", F.expr("to_date(period_utc)").alias("day"), F.expr(f"seq div {PAGE_RECORDS}").alias("page")).agg(
         F.expr(f"to_json(struct(struct(cast(count(*) as string) as total, collect_list({record}) as data) as response))").alias("body")
     )
     return pages.select("day", F.from_json("body", LANDING_MEASURES).alias("doc")).selectExpr("day", "doc.response")

@@ -8,7 +8,7 @@ from wattloom.catalogue.base import EVENT_ARRIVAL, r, register
 from wattloom.functions.scalars import rounded
 from wattloom.operators.series import pivot_latest
 from wattloom.schemas import BRONZE_MEASURES
-from wattloom.session import shared_folder
+from wattloom.session import shared_folder, written
 from wattloom.sources import adapters, lake
 from wattloom.streaming import flags, ingest, rollup
 
@@ -31,11 +31,33 @@ def _stream_ingest(spark, sf_dir):
     """Event readings land as files, late corrections included, and are merged batch by batch."""
     folder = _folder(spark, "ingest")
     events = adapters.event_measures(spark, sf_dir).select(*BRONZE_MEASURES.fieldNames())
-    events.repartitionByRange(3, "ingested_at_utc").write.parquet(f"{folder}/landing")
+    events.repartitionByRange("ingested_at_utc").write.parquet(f"{folder}/landing")
     ingest.ingest_stream(spark, f"{folder}/landing", f"{folder}/lake", f"{folder}/state", files_per_trigger=2).awaitTermination()
     return lake.read_measures(spark, f"{folder}/lake")
 
 
+READINGS = "ba_code string, period_utc timestamp, demand_mwh double"
+#: Hours of readings that land together; a reading lands up to 23 hours after its own hour, so that landings overlap.
+LANDED_HOURS = 240
+
+
+def _land(wide, folder):
+    """Readings as they would land, one folder after the other and out of order; then two rows a key that end the stream."""
+    hour = "cast(floor(unix_seconds(period_utc) / 3600) as long)"
+    rows = wide.select("ba_code", "period_utc", "demand_mwh").selectExpr("*", f"cast(floor(({hour} + pmod(xxhash64(ba_code, period_utc), 24)) / {LANDED_HOURS}) as long) as landing")
+    rows = written(rows, "readings")
+    for row in rows.select("landing").distinct().orderBy("landing").collect():  # a row for every ten days
+        rows.where(f"landing = {row['landing']}").drop("landing").write.parquet(f"{folder}/landing={row['landing']:09d}")
+    for nth in (1, 2):
+        end = rows.select("ba_code").distinct().selectExpr("ba_code", f"timestamp'2100-01-0{nth}' as period_utc", "1D as demand_mwh")
+        end.write.parquet(f"{folder}/landing=99999999{nth}")
+
+
+def _landed(spark, sf_dir, folder):
+    _land(pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL), f"{folder}/in")
+    return spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in/*")
+
+
 _FIGURES = ["total_demand_mwh", "mean_demand_mw", "peak_demand_mw", "trough_demand_mw", "daily_swing_mw", "load_factor"]
 
 
@@ -49,17 +71,8 @@ _FIGURES = ["total_demand_mwh", "mean_demand_mw", "peak_demand_mw", "trough_dema
 )
 def _stream_rollup(spark, sf_dir):
     folder = _folder(spark, "rollup")
-    pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL).coalesce(4).write.parquet(f"{folder}/in")
-    readings = spark.readStream.schema("ba_code string, period_utc timestamp, demand_mwh double").parquet(f"{folder}/in")
-    rows = rollup.daily_rollup(readings)
-
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{folder}/out")
-
-    rows.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/progress").trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    return rounded(spark.read.schema(rows.schema).parquet(f"{folder}/out"), 4, *_FIGURES)
+    rows = _drain(rollup.daily_rollup(_landed(spark, sf_dir, folder)), "append", folder)
+    return rounded(rows.where("date_utc < date'2100-01-01'"), 4, *_FIGURES)
 
 
 @register(
@@ -71,9 +84,4 @@ def _stream_rollup(spark, sf_dir):
 )
 def _stream_flags(spark, sf_dir):
     folder = _folder(spark, "flags")
-    wide = pivot_latest(adapters.event_measures(spark, sf_dir), EVENT_ARRIVAL).select("ba_code", "period_utc", "demand_mwh")
-    cut = "timestamp'2024-01-12'"
-    wide.where(f"period_utc < {cut}").write.parquet(f"{folder}/in/part=0")
-    wide.where(f"period_utc >= {cut}").write.parquet(f"{folder}/in/part=1")
-    schema = "ba_code string, period_utc timestamp, demand_mwh double"
-    return _drain(flags.flag_on_arrival(spark.readStream.schema(schema).parquet(f"{folder}/in/*")), "append", folder)
+    return _drain(flags.flag_on_arrival(_landed(spark, sf_dir, folder)), "append", folder).where("period_utc < timestamp'2100-01-01'")

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import io
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the semantics the plans assume. Sizes and parallelism stay the cluster's own."""
@@ -17,9 +24,44 @@ def configure(spark: SparkSession) -> SparkSession:
     # A window over (key, chunk) must spread its chunks even when a join left rows hashed by key.
     spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    ship_package(spark)
     return spark
 
 
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and the file system it is on."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is."""
+    found, system = _path(spark, path)
+    system.delete(found, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once an application: pandas functions are looked up by module there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    path = f"{application_folder(spark)}/package.zip"
+    found, system = _path(spark, path)
+    out = system.create(found, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: int | str = 8, name: str = "wattloom", **extra: str) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
@@ -41,7 +83,8 @@ def local_session(cores: int | str = 8, name: str = "wattloom", **extra: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The reliable folder of the cluster (``spark.checkpoint.dir``).
 
-    A machine-local folder is made up only where the whole cluster is this machine.
+    Only where it is unset and the whole cluster is this machine, as in tests, a folder is made up; it
+    goes when Python ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -49,19 +92,31 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="wattloom-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it writes for itself."""
+    return f"{shared_folder(spark)}/wattloom/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has written for itself; frames that read it are void afterwards."""
+    remove(spark, application_folder(spark))
+    _SHIPPED.discard(spark.sparkContext.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the written rows.
 
     Used where a result feeds several later branches or an iterative fit: the upstream plan runs
     once, a lost executor never re-runs it, later scans read only the columns they need, and
-    later joins are planned on the table's real size.
+    later joins are planned on the table's real size. ``release`` removes all of them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/wattloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,8 +1,10 @@
-"""Frozen and ramp flags on arrival: state is the last two readings of a key.
+"""Frozen and ramp flags on arrival, in event-time order.
 
-Ordered windows do not exist on streams, so the two previous values are kept as state. A row
-never flags differently from the batch ``lag`` form as long as readings of a key arrive in order.
-A group is one key's readings of one micro-batch, which ``maxFilesPerTrigger`` bounds.
+Ordered windows do not exist on streams. A key's state holds the readings the watermark has not
+passed yet, and the last two it has: readings may arrive in any order within the lateness, are flagged
+once the watermark has passed them, and get the flags the batch ``lag`` form gives over all of them. A
+reading that comes after the watermark has passed its hour is dropped, as windows drop late rows.
+State is bounded by the readings of a key within the lateness.
 """
 
 from __future__ import annotations
@@ -17,45 +19,57 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from wattloom.schemas import MAX_RAMP_PCT
 
 FLAGGED = "ba_code string, period_utc timestamp, demand_mwh double, flag_frozen_reading boolean, flag_extreme_ramp boolean"
-STATE = "previous double, before double"
-
-
-def _known(value) -> bool:
-    return value is not None and not np.isnan(value)
-
-
-def _flag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    previous, before = state.get if state.exists else (None, None)
-    previous = previous if _known(previous) else None
-    before = before if _known(before) else None
-    rows = pd.concat(list(batches), ignore_index=True).sort_values("period_utc", kind="stable")
-    values = rows["demand_mwh"].to_numpy(dtype=float)
-    lag1 = np.concatenate([[np.nan if previous is None else previous], values])[: len(values)]
-    lag2 = np.concatenate([[np.nan if before is None else before, np.nan if previous is None else previous], values])[: len(values)]
-    missing = np.isnan(values)
-    unknown1, unknown2 = np.isnan(lag1), np.isnan(lag2)
-    differs = (~missing & ~unknown1 & (values != lag1)) | (~missing & ~unknown2 & (values != lag2))
-    frozen = pd.Series(~missing & ~unknown1 & ~unknown2 & ~differs, dtype="boolean")
-    frozen[~missing & ~differs & (unknown1 | unknown2)] = pd.NA
+#: Passed readings (the newest last, NaN for none), the newest passed hour, and the waiting ones; hours in microseconds.
+STATE = "passed array<double>, newest long, hours array<long>, readings array<double>"
+_NEVER = -(2**62)
+
+
+def _flags(values: np.ndarray, passed: list[float]) -> tuple[pd.Series, pd.Series]:
+    """Three-valued flags of ``values`` in order; ``passed`` are the two readings before, NaN where there is none."""
+    line = np.concatenate([passed, values])
+    now, one, two = line[2:], line[1:-1], line[:-2]
+    missing, unknown = np.isnan(now), np.isnan(one) | np.isnan(two)
+    differs = (~np.isnan(one) & (now != one)) | (~np.isnan(two) & (now != two))
+    frozen = pd.Series(~missing & ~unknown & ~differs, dtype="boolean")
+    frozen[~missing & unknown & ~differs] = pd.NA
     with np.errstate(divide="ignore", invalid="ignore"):
-        pct = np.abs(values - lag1) / np.where(lag1 == 0, np.nan, lag1) * 100
-    ramp = pd.Series(pct > MAX_RAMP_PCT, dtype="boolean")
-    ramp[np.isnan(pct)] = pd.NA
-    tail = [v for v in (before, previous)] + list(values)
-    state.update((tail[-1], tail[-2]))
-    yield pd.DataFrame(
-        {
-            "ba_code": key[0],
-            "period_utc": rows["period_utc"].to_numpy(),
-            "demand_mwh": rows["demand_mwh"].to_numpy(),
-            "flag_frozen_reading": frozen.to_numpy(dtype=object, na_value=None),
-            "flag_extreme_ramp": ramp.to_numpy(dtype=object, na_value=None),
-        }
-    )
-
-
-def flag_on_arrival(readings: DataFrame) -> DataFrame:
+        change = np.abs(now - one) / np.where(one == 0, np.nan, one) * 100
+    ramp = pd.Series(change > MAX_RAMP_PCT, dtype="boolean")
+    ramp[np.isnan(change)] = pd.NA
+    return frozen, ramp
+
+
+def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    passed, newest, hours, readings = state.get if state.exists else ([np.nan, np.nan], _NEVER, [], [])
+    times, values = [np.array(hours, dtype=np.int64)], [np.array(readings, dtype=np.float64)]
+    if not state.hasTimedOut:
+        for rows in batches:
+            times.append(rows["period_utc"].to_numpy().astype("datetime64[us]").astype(np.int64))
+            values.append(rows["demand_mwh"].to_numpy(dtype=np.float64))
+    time, value = np.concatenate(times), np.concatenate(values)
+    order = np.argsort(time, kind="stable")
+    time, value = time[order], value[order]
+    time, value = time[time > newest], value[time > newest]
+    mark = state.getCurrentWatermarkMs()
+    ready = int(np.searchsorted(time, mark * 1000, side="right"))
+    if ready:
+        frozen, ramp = _flags(value[:ready], list(passed))
+        yield pd.DataFrame(
+            {
+                "ba_code": key[0],
+                "period_utc": time[:ready].astype("datetime64[us]"),
+                "demand_mwh": value[:ready],
+                "flag_frozen_reading": frozen.to_numpy(dtype=object, na_value=None),
+                "flag_extreme_ramp": ramp.to_numpy(dtype=object, na_value=None),
+            }
+        )
+        passed, newest = [*passed, *value[:ready].tolist()][-2:], int(time[ready - 1])
+    state.update(([float(x) for x in passed], newest, time[ready:].tolist(), value[ready:].tolist()))
+    if ready < len(time):
+        state.setTimeoutTimestamp(max(int(time[ready]) // 1000, mark + 1))
+
+
+def flag_on_arrival(readings: DataFrame, lateness: str = "24 hours") -> DataFrame:
     """(ba_code, period_utc, demand_mwh) rows with both flags, three-valued as in the batch build."""
-    return readings.select("ba_code", "period_utc", "demand_mwh").groupBy("ba_code").applyInPandasWithState(
-        _flag, FLAGGED, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    rows = readings.select("ba_code", "period_utc", "demand_mwh").withWatermark("period_utc", lateness)
+    return rows.groupBy("ba_code").applyInPandasWithState(_advance, FLAGGED, STATE, "append", GroupStateTimeout.EventTimeTimeout)

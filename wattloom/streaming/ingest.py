@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.operators.series import upsert_measures
 from wattloom.schemas import BRONZE_MEASURES
+from wattloom.session import remove
 from wattloom.sources.lake import folder_has_data
 
 LAKE_KEYS = ["ba", "month"]
@@ -26,7 +26,7 @@ def merge_batch(fresh: DataFrame, root: str, staging: str, batch_id: int) -> Non
     existing = None
     if folder_has_data(spark, root):
         stored = spark.read.schema(_lake_schema()).parquet(root)
-        existing = stored.join(F.broadcast(touched) if touched.count() < 100_000 else touched, LAKE_KEYS, "left_semi")
+        existing = stored.join(touched, LAKE_KEYS, "left_semi")
     merged = upsert_measures(existing, fresh).select(*BRONZE_MEASURES.fieldNames(), *LAKE_KEYS)
     merged.write.mode("overwrite").partitionBy(*LAKE_KEYS).parquet(f"{staging}/batch={batch_id}")
     (
@@ -39,6 +39,7 @@ def merge_batch(fresh: DataFrame, root: str, staging: str, batch_id: int) -> Non
         .partitionBy(*LAKE_KEYS)
         .parquet(root)
     )
+    remove(spark, f"{staging}/batch={batch_id}")
 
 
 def _lake_schema():

@@ -19,7 +19,8 @@ ROLLUP = {
 def daily_rollup(readings: DataFrame, lateness: str = "24 hours") -> DataFrame:
     """UTC-day figures per key; readings up to ``lateness`` behind the newest still count.
 
-    Works on a stream (state is one row per open key and day) and, the same, on a batch.
+    On a stream, append mode emits a day once the watermark has passed its end and drops its state,
+    so state is one row per open key and day. The same on a batch.
     """
     rows = readings.where("demand_mwh > 0")
     if readings.isStreaming:
