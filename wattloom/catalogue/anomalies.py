@@ -134,6 +134,44 @@ register(
     f"""SELECT count(*) AS hours_scored, count(*) FILTER (WHERE is_anomaly) AS anomalies_found,
                {r('100.0::DOUBLE * count(*) FILTER (WHERE is_anomaly) / count(*)', 3)} AS anomaly_rate_pct FROM rule_scores""",
 )(lambda s, d: anomaly.summary(rule_scores(s, d)))
+register(
+    "anomaly_breakdown",
+    """SELECT 'severity' AS of, severity AS name, count(*) AS hours FROM rule_scores GROUP BY ALL
+       UNION ALL SELECT 'type', anomaly_type, count(*) FROM rule_scores WHERE is_anomaly GROUP BY ALL""",
+)(lambda s, d: anomaly.breakdown(rule_scores(s, d)))
+
+# All four voters, two of them by a rule in place of the fitted detectors.
+_GIVEN_ISO, _GIVEN_DAY = "hour_local = 17 AND demand_mwh > 3500", "day(date_local) % 7 = 3"
+view(
+    "voted",
+    f"""
+    SELECT *, {_RULE} AS by_rule, coalesce(robust_z > 4, false) AS by_season, coalesce({_GIVEN_ISO}, false) AS by_forest, {_GIVEN_DAY} AS by_day
+    FROM hours_ramp
+    """,
+)
+
+
+@register(
+    "four_voter_scores",
+    f"""
+    SELECT period_utc, ba_code, z_flag, iso_flag, ae_anomalous_day, rule_flag, len(list_filter([by_rule, by_season, by_forest, by_day], lambda v: v)) AS detector_votes,
+           detector_votes > 0 AS is_anomaly, ['none', 'low', 'medium', 'high', 'high'][detector_votes + 1] AS severity,
+           CASE WHEN detector_votes = 0 THEN 'normal' WHEN flag_frozen_reading THEN 'frozen_telemetry' WHEN flag_nonpositive_demand THEN 'invalid_reading'
+                WHEN abs(ramp_pct) > 40 THEN 'extreme_ramp' WHEN by_season AND residual_sign > 0 THEN 'demand_spike' WHEN by_season THEN 'demand_drop'
+                WHEN by_day THEN 'unusual_daily_shape' ELSE 'multivariate_outlier' END AS anomaly_type
+    FROM (SELECT *, robust_z > 4 AS z_flag, by_forest AS iso_flag, by_day AS ae_anomalous_day, by_rule AS rule_flag FROM voted)
+    """,
+)
+def _four_voters(spark, sf_dir):
+    rows = anomaly.with_ramps(anomaly.robust_seasonal_z(anomaly.scored_hours(_fact(spark, sf_dir))))
+    given = rows.selectExpr(
+        "*", f"coalesce({_GIVEN_ISO}, false) as iso_flag", f"{_GIVEN_DAY} as ae_anomalous_day", "0D as iso_score", "0D as ae_reconstruction_error"
+    )
+    return anomaly.combine(given).select(
+        "period_utc", "ba_code", "z_flag", "iso_flag", "ae_anomalous_day", "rule_flag", "detector_votes", "is_anomaly", "severity", "anomaly_type"
+    )
+
+
 register(
     "anomaly_counts",
     "SELECT anomaly_type, severity, count(*) AS n FROM rule_scores WHERE is_anomaly GROUP BY 1, 2",

@@ -125,8 +125,9 @@ register("leaderboard", "SELECT * FROM board")(feeder_board)
 register(
     "headline",
     """SELECT model AS best_model, mape_pct AS best_mape_pct, benchmark_mape_pct AS eia_benchmark_mape_pct,
-              skill_vs_eia_pct, n_obs AS test_observations FROM board ORDER BY mape_pct, model LIMIT 1""",
-)(lambda s, d: metrics.headline(feeder_board(s, d)))
+              skill_vs_eia_pct, n_obs AS test_observations, TIMESTAMP '2023-01-15' AS test_window_start, TIMESTAMP '2023-03-01' AS generated_at_utc
+       FROM board ORDER BY mape_pct, model LIMIT 1""",
+)(lambda s, d: metrics.headline(feeder_board(s, d), "timestamp'2023-01-15'", "timestamp'2023-03-01'"))
 
 _PAIRS = "FROM feed_accuracy WHERE actual_mwh > 0"
 

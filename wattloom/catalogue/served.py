@@ -12,7 +12,6 @@ from wattloom.catalogue.quality import _results
 from wattloom.functions.scalars import rounded
 from wattloom.operators import metrics, windows
 from wattloom.plans import diagnostics, guard, inference, models, served
-from wattloom.plans.features import training_split
 from wattloom.session import written
 from wattloom.sources import adapters, catalog
 
@@ -227,18 +226,23 @@ register(
 # ------------------------------------------------------------------ fitted models: property-tested, no SQL equivalent
 
 
+_RUNS: dict = {}
+
+
 def _train(spark, sf_dir):
-    return models.train_all(feeder_features(spark, sf_dir), test_days=20, valid_days=15, quick=True)
+    """Trained once an application and folder; all queries below use the same run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = models.train_all(feeder_features(spark, sf_dir), test_days=20, valid_days=15, quick=True)
+    return _RUNS[key]
 
 
 register("model_leaderboard")(lambda s, d: _train(s, d).leaderboard)
 register("model_predictions")(lambda s, d: _train(s, d).predictions)
 
 
-def _model(spark, sf_dir, frame=None):
-    frame = written(training_split(frame if frame is not None else feeder_features(spark, sf_dir), 20, 15), "features")
-    parts = [frame.where(f"split = '{p}'").drop("split") for p in ("train", "valid")]
-    return models.fit_forecaster(*parts, quick=True)
+def _model(spark, sf_dir):
+    return _train(spark, sf_dir).model
 
 
 register("feature_importance")(lambda s, d: _model(s, d).importance(25))

@@ -58,7 +58,7 @@ def fit_forest(rows: DataFrame, identity: list[str], features: list[str], trees:
     """Grow the forest: 256 rows per tree, picked by hash, one tree per group.
 
     Rows are dealt to trees by a hash of their identity; with fewer rows than the forest needs, a
-    row is dealt several times. The sampled rows are bounded by the size of the forest.
+    row is dealt to several trees. The sampled rows are bounded by the size of the forest.
     """
     pool = trees * SAMPLE
     total = max(rows.count(), 1)
@@ -73,11 +73,12 @@ def fit_forest(rows: DataFrame, identity: list[str], features: list[str], trees:
             *features,
             f"cast(pmod(xxhash64({key}, _copy, {seed + 1}), {trees}L) as int) as tree",
             f"xxhash64({key}, _copy, {seed + 2}) as _order",
+            f"xxhash64({key}) as _row",
         )
     )
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
-        sample = group.sort_values("_order").head(SAMPLE)
+        sample = group.drop_duplicates("_row").sort_values("_order").head(SAMPLE)  # a row is in a tree once
         number = int(sample["tree"].iloc[0])
         grown = grow_tree(sample[features].to_numpy(dtype=float), np.random.default_rng(seed + number))
         return pd.DataFrame([{"tree": number, "size": len(sample), **grown}])

@@ -77,7 +77,7 @@ def leaderboard(
     min_rows: int = 100,
     common_rows: bool = False,
 ) -> DataFrame:
-    """Score every ``pred_*`` column on its own rows and compare with the benchmark.
+    """Score every ``pred_*`` column on its own rows and compare with the benchmark; the best model first.
 
     With ``common_rows`` all models are scored on the hours every one of them predicts.
     """
@@ -96,14 +96,15 @@ def leaderboard(
     return (
         board.selectExpr("*", f"{reference} as benchmark_mape_pct")
         .selectExpr("*", f"{skill('mape_pct', 'benchmark_mape_pct')} as skill_vs_eia_pct")
+        .orderBy(F.asc_nulls_last("mape_pct"), "model")
     )
 
 
-def headline(board: DataFrame) -> DataFrame:
-    """The best model of a leaderboard."""
+def headline(board: DataFrame, test_start: str = "cast(null as timestamp)", generated_at: str = "current_timestamp()") -> DataFrame:
+    """The best model of a leaderboard, with the start of the test window and the time of the report (SQL texts)."""
     return board.orderBy("mape_pct", "model").limit(1).selectExpr(
         "model as best_model", "mape_pct as best_mape_pct", "benchmark_mape_pct as eia_benchmark_mape_pct",
-        "skill_vs_eia_pct", "n_obs as test_observations",
+        "skill_vs_eia_pct", "n_obs as test_observations", f"{test_start} as test_window_start", f"{generated_at} as generated_at_utc",
     )
 
 

@@ -218,8 +218,8 @@ def detect(fact: DataFrame, min_votes: int = 1, trees: int = isolation.TREES) ->
 
 
 def summary(scores: DataFrame) -> DataFrame:
-    """Hours scored, anomalies and their rate, with counts by type and by severity, in one scan."""
-    counted = scores.groupBy("anomaly_type", "severity", "is_anomaly").agg(F.count(F.lit(1)).alias("n"))
+    """Hours scored, anomalies and their rate; ``breakdown`` has the counts behind them."""
+    counted = scores.groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"))
     return counted.agg(
         F.sum("n").alias("hours_scored"),
         F.expr("sum(case when is_anomaly then n else 0 end)").alias("anomalies_found"),
@@ -227,6 +227,13 @@ def summary(scores: DataFrame) -> DataFrame:
     )
 
 
+def breakdown(scores: DataFrame) -> DataFrame:
+    """Hours by severity, over all hours, and by type, over the anomalies, in one scan: rows of (of, name, hours)."""
+    counted = scores.groupBy("anomaly_type", "severity", "is_anomaly").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.selectExpr("stack(2, 'severity', severity, n, 'type', case when is_anomaly then anomaly_type end, n) as (of, name, n)")
+    return rows.where("name is not null").groupBy("of", "name").agg(F.sum("n").alias("hours"))
+
+
 def counts_by(scores: DataFrame, *columns: str, anomalies_only: bool = True) -> DataFrame:
     rows = scores.where("is_anomaly") if anomalies_only else scores
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ ROUNDS = {True: 20, False: 200}
 STEP = {True: 0.3, False: 0.1}
 MIN_ROWS_PER_LEAF = 60
 HYBRID_COVERAGE = 0.9
-MAX_CATEGORIES = 500
+#: The key is a category through so many hash buckets, whatever the number of keys; few keys have a bucket each.
+KEY_BUCKETS = 256
 BAND_COLUMNS = [f"pred_gbm_p{int(q * 100)}" for q in QUANTILES]
 
 
@@ -103,8 +104,8 @@ def residual_bands(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | None = None, quick: bool = False, bands: bool = True, rounds: int | None = None) -> Forecaster:
     """Fit on the train rows, stop early on the validation rows, take bands from their residuals.
 
-    The key is a categorical feature while there are few enough keys for a tree to split on;
-    beyond that the scaled target and the lags carry the key's level.
+    The key is a categorical feature by its hash bucket; the scaled target and the lags carry the
+    level of keys that share one.
     """
     spark = train.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -118,18 +119,16 @@ def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | Non
     labelled = written(
         labelled.withColumns({c: F.col(c).cast("double") for c in features}), "training_rows"
     )
-    keys = labelled.select("ba_code").distinct().count()
     imputed = [f"{c}_imputed" for c in features]
-    stages = [Imputer(strategy="median", inputCols=features, outputCols=imputed)]
-    inputs = imputed
-    if keys <= MAX_CATEGORIES:
-        stages.append(StringIndexer(inputCol="ba_code", outputCol="_key", stringOrderType="alphabetAsc", handleInvalid="keep"))
-        inputs = [*imputed, "_key"]
-    stages += [
-        VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"),
+    bucket = f"lpad(cast(pmod(xxhash64(ba_code), {KEY_BUCKETS}) as string), 3, '0')"
+    stages = [
+        Imputer(strategy="median", inputCols=features, outputCols=imputed),
+        SQLTransformer(statement=f"SELECT *, {bucket} AS _bucket FROM __THIS__"),
+        StringIndexer(inputCol="_bucket", outputCol="_key", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        VectorAssembler(inputCols=[*imputed, "_key"], outputCol="_features", handleInvalid="keep"),
         GBTRegressor(
             featuresCol="_features", labelCol="_label", validationIndicatorCol="_valid", validationTol=0.0, maxIter=rounds or ROUNDS[quick],
-            stepSize=STEP[quick], maxDepth=6, maxBins=max(64, min(keys, MAX_CATEGORIES) + 2), subsamplingRate=0.8,
+            stepSize=STEP[quick], maxDepth=6, maxBins=KEY_BUCKETS + 2, subsamplingRate=0.8,
             featureSubsetStrategy="0.8", minInstancesPerNode=MIN_ROWS_PER_LEAF, checkpointInterval=10, seed=42,
         ),
     ]

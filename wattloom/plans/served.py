@@ -38,7 +38,7 @@ def accuracy_by_key(accuracy: DataFrame) -> DataFrame:
             "mean_bias_mwh": half_up("avg(error_mwh)", 1),
             "hours": "count(*)",
         },
-    )
+    ).orderBy("eia_mape_pct", "ba_code")
 
 
 def recent_anomalies(scores: DataFrame, severity: str = "high", limit: int = 200) -> DataFrame:
@@ -106,16 +106,16 @@ def fleet_comparison(fact: DataFrame, days: int = 30) -> DataFrame:
     return _agg(rows, ["ba_code"], figures).orderBy(F.desc("mean_demand_mw"), "ba_code")
 
 
-def peak_by_key(fact: DataFrame, season: str) -> DataFrame:
+def peak_by_key(fact: DataFrame, season: str, limit: int = 10) -> DataFrame:
     rows = fact.where(F.col("season") == season)
-    return _agg(rows, ["ba_code"], {"peak_mwh": "max(demand_mwh)"}).orderBy(F.desc("peak_mwh"), "ba_code").limit(10)
+    return _agg(rows, ["ba_code"], {"peak_mwh": "max(demand_mwh)"}).orderBy(F.desc("peak_mwh"), "ba_code").limit(limit)
 
 
-def demand_by_degree(fact: DataFrame, ba_code: str) -> DataFrame:
+def demand_by_degree(fact: DataFrame, ba_code: str, limit: int = 100) -> DataFrame:
     rows = fact.where((F.col("ba_code") == ba_code) & F.col("temperature_2m").isNotNull()).selectExpr(
         f"{half_up('temperature_2m')} as temp_c", "demand_mwh"
     )
-    return _agg(rows, ["temp_c"], {"avg_demand_mwh": half_up("avg(demand_mwh)"), "hours": "count(*)"}).orderBy("temp_c").limit(100)
+    return _agg(rows, ["temp_c"], {"avg_demand_mwh": half_up("avg(demand_mwh)"), "hours": "count(*)"}).orderBy("temp_c").limit(limit)
 
 
 def average_by_key(fact: DataFrame) -> DataFrame:

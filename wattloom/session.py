@@ -41,6 +41,17 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found, system = _path(spark, path)
+    return system.exists(found)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    found, system = _path(spark, path)
+    if not system.rename(found, _path(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once an application: pandas functions are looked up by module there."""
     context = spark.sparkContext

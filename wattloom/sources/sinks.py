@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.schemas import WEATHER
+from wattloom.session import exists, remove, rename
 
 EXPORT_DAYS = 400
 EXPORT_FULL = ("dim_ba", "dim_date", "model_scores", "dq_results", "dq_scorecard")
@@ -19,11 +22,20 @@ EXPORT_FACT_COLUMNS = [
 
 
 def replace_table(df: DataFrame, path: str, cluster: list[str] | None = None) -> DataFrame:
-    """Create or replace a table; rows clustered by key and sorted inside files, never sorted globally."""
+    """Create or replace a table; rows clustered by key and sorted inside files, never sorted globally.
+
+    The new rows are written beside the table and take its place by two renames, so a failed job
+    leaves the old table, and ``df`` may read it.
+    """
     if cluster:
         df = df.repartition(cluster[0], F.expr("trunc(period_utc, 'MM')")).sortWithinPartitions(*cluster)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, fresh, old = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    if exists(spark, path):
+        rename(spark, path, old)
+    rename(spark, fresh, path)
+    remove(spark, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def append_log(df: DataFrame, path: str, exists: bool) -> None:
