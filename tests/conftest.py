@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from wattloom.operators.series import pivot_measures  # noqa: E402
 from wattloom.plans.warehouse import build_gold  # noqa: E402
 from wattloom.registry import authorities  # noqa: E402
-from wattloom.session import local_session, written  # noqa: E402
+from wattloom.session import local_session, release, written  # noqa: E402
 
 HOURS = 4200
 START = "2023-08-01 00:00:00"
@@ -22,6 +22,7 @@ START = "2023-08-01 00:00:00"
 def spark():
     session = local_session(8, "wattloom-tests")
     yield session
+    release(session)
     session.stop()
 
 

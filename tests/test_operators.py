@@ -149,3 +149,30 @@ def test_sliding_windows_hold_the_right_rows(spark):
         gap, "timestamp'2024-01-08'", "timestamp'2024-01-09'", past=["v"], future=["c"], target="v", require_contiguous=True
     )
     assert contiguous.count() == 0
+
+
+def test_keys_of_any_length_stay_apart(spark):
+    from wattloom.sources.adapters import feeder_code
+
+    codes = [spark.sql(f"select {feeder_code(str(n))} as c").first()["c"] for n in (7, 999_999, 1_234_567, 1_234_568, 12_345_678)]
+    assert codes == ["BA000007", "BA999999", "BA1234567", "BA1234568", "BA12345678"]
+
+
+def test_quantiles_of_tiny_and_crowded_values(spark):
+    import numpy as np
+
+    from wattloom.operators.quantiles import grouped_quantiles
+
+    draw = np.random.default_rng(5)
+    sets = {
+        "tiny": 10 ** draw.uniform(-9, -3, 3000),
+        "crowded": 1 + draw.normal(size=3000) * 1e-9,
+        "signs": np.concatenate([-(10 ** draw.uniform(-300, 300, 500)), [0.0, 0.0], 10 ** draw.uniform(-300, 300, 500)]),
+        "same": np.full(100, 2.5),
+    }
+    rows = [(k, float(x)) for k, v in sets.items() for x in v]
+    wanted = {"a": 0.0, "b": 0.01, "c": 0.5, "d": 0.99, "e": 1.0}
+    found = grouped_quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", wanted).collect()
+    assert len(found) == len(sets)
+    for row in found:
+        assert [row[n] for n in wanted] == pytest.approx([float(np.quantile(sets[row["k"]], q)) for q in wanted.values()], rel=1e-12)

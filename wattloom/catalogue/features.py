@@ -222,14 +222,15 @@ def _scaled(spark, sf_dir):
 
 @register(
     "unscaled_target",
-    f"""SELECT ba_code, period_utc, {r('demand_mwh', 4)} AS demand_mwh, {r('demand_mwh', 4)} AS target_z
-        FROM feed_model""",
+    f"""SELECT ba_code, period_utc, demand_mwh, {r('centre + spread * (hour(period_utc) % 5 - 2) / 4', 4)} AS target_z
+        FROM feed_model JOIN model_stats USING (ba_code)""",
 )
 def _unscaled(spark, sf_dir):
+    """Scaled predictions that depend on the hour, back in physical units."""
     frame = written_frame(spark, sf_dir, "ba_code", "period_utc", "demand_mwh")
-    stats, overall = windows.target_stats(frame), windows.global_stats(frame)
-    back = windows.unscale(windows.scale_target(frame, stats, overall), stats, overall, ["target_z"])
-    return rounded(back, 4, "demand_mwh", "target_z")
+    predicted = frame.selectExpr("*", "cast((hour(period_utc) % 5 - 2) / 4D as double) as target_z")
+    back = windows.unscale(predicted, windows.target_stats(frame), windows.global_stats(frame), ["target_z"])
+    return rounded(back, 4, "target_z")
 
 
 @register(
@@ -310,3 +311,28 @@ def _windows(spark, sf_dir):
         ),
         3, "past_sum", "future_sum",
     ).selectExpr("* except (target_sum)", "cast(round(cast(target_sum as decimal(38,6)), 1) as double) as target_sum")
+
+
+@register(
+    "reconciled_windows",
+    f"""
+    SELECT ba_code, make_timestamp(ordinal * 3600 * 1000000) AS period_utc, {r('avg(said)', 4)} AS prediction, count(*) AS n_windows
+    FROM (
+        SELECT v.ba_code, v.ordinal, CAST(v.demand_mwh AS FLOAT)::DOUBLE + (w.ordinal - 168) % 7 AS said
+        FROM (SELECT *, min(ordinal) FILTER (WHERE ordinal >= 168) OVER (PARTITION BY ba_code, split) AS f FROM window_rows) w
+        JOIN window_rows v ON v.ba_code = w.ba_code AND v.ordinal BETWEEN w.ordinal AND w.ordinal + 23
+        WHERE w.ordinal >= 168 AND w.ordinal + 24 <= w.total AND (w.ordinal - w.f) % CASE WHEN w.split = 'test' THEN 6 ELSE 12 END = 0)
+    GROUP BY ba_code, ordinal
+    """,
+)
+def _reconciled(spark, sf_dir):
+    """Every window forecasts its hours (here: their demand and a shift of its own); overlapping forecasts are reconciled by position."""
+    from wattloom.operators import metrics
+
+    found = windows.sliding_windows(
+        written(feeder_features(spark, sf_dir), "features"), _VALID, _TEST, past=_PAST, future=_FUTURE, target="demand_mwh"
+    )
+    said = found.selectExpr("ba_code", "start", "posexplode(target) as (step, value)").selectExpr(
+        "ba_code", "timestamp_seconds(3600 * (start + 168 + step)) as period_utc", "cast(value as double) + start % 7 as prediction"
+    )
+    return rounded(metrics.reconcile(said), 4, "prediction")

@@ -189,20 +189,6 @@ register(
     .selectExpr("period_utc", "ba_code", "net_generation_mwh as p10", "demand_mwh as p50", "demand_forecast_mwh as p90")
     .withColumns(exprs(sorted_row(["p10", "p50", "p90"])))
 )
-register(
-    "reconciled_windows",
-    f"""SELECT ba_code, period_utc, {r('avg(value_mwh)', 4)} AS prediction, count(*) AS n_windows
-        FROM feed_long WHERE measure_code = 'NG' GROUP BY ba_code, period_utc""",
-)(
-    lambda s, d: rounded(
-        metrics.reconcile(
-            _long(s, d).where("measure_code = 'NG'").selectExpr("ba_code", "period_utc", "value_mwh as prediction")
-        ),
-        4, "prediction",
-    )
-)
-
-
 def _wide(spark, sf_dir):
     from wattloom.catalogue.base import feeder_wide
 
