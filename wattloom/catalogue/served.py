@@ -233,7 +233,7 @@ def _train(spark, sf_dir):
     """Trained once an application and folder; all queries below use the same run."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = models.train_all(feeder_features(spark, sf_dir), test_days=20, valid_days=15, quick=True)
+        _RUNS[key] = models.train_all(feeder_features(spark, sf_dir), test_days=20, valid_days=15)
     return _RUNS[key]
 
 

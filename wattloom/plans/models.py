@@ -72,8 +72,8 @@ class Forecaster:
             if table is not None:
                 table.write.mode("overwrite").parquet(f"{folder}/{name}")
         spark = self.stats.sparkSession
-        meta = [(self.features, self.bands is not None)]
-        spark.createDataFrame(meta, "features array<string>, has_bands boolean").write.mode("overwrite").json(f"{folder}/meta")
+        meta = [(self.features, self.bands is not None, self.pipeline.stages[-1].getNumTrees, list(QUANTILES), KEY_BUCKETS)]
+        spark.createDataFrame(meta, "features array<string>, has_bands boolean, rounds int, quantiles array<double>, key_buckets int").write.mode("overwrite").json(f"{folder}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> Forecaster:
@@ -102,7 +102,7 @@ def residual_bands(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | None = None, quick: bool = False, bands: bool = True, rounds: int | None = None) -> Forecaster:
-    """Fit on the train rows, stop early on the validation rows, take bands from their residuals.
+    """Fit on the train rows, stop early on every other validation day, take bands from the residuals of the days between.
 
     The key is a categorical feature by its hash bucket; the scaled target and the lags carry the
     level of keys that share one.
@@ -112,7 +112,8 @@ def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | Non
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     features = list(features or FEATURES)
     stats, overall = written(target_stats(train), "target_stats"), written(global_stats(train), "global_stats")
-    both = train.withColumn("_valid", F.lit(False)).unionByName(valid.withColumn("_valid", F.lit(True)))
+    between = F.expr("datediff(to_date(period_utc), date'1970-01-01') % 2 = 1")
+    both = train.withColumns({"_valid": F.lit(False), "_band": F.lit(False)}).unionByName(valid.withColumns({"_valid": F.lit(True), "_band": between}))
     labelled = with_target_stats(both, stats, overall).selectExpr(
         "*", f"({TARGET} - _centre) / _spread as _label"
     ).where("_label is not null")
@@ -132,11 +133,11 @@ def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | Non
             featureSubsetStrategy="0.8", minInstancesPerNode=MIN_ROWS_PER_LEAF, checkpointInterval=10, seed=42,
         ),
     ]
-    model = Pipeline(stages=stages).fit(labelled)
+    model = Pipeline(stages=stages).fit(labelled.where("not _band"))
     fitted = Forecaster(model, features, stats, overall)
     if bands:
         scored = written(
-            model.transform(labelled.where("_valid")).select("ba_code", "hour_local", "_label", "prediction"), "residuals"
+            model.transform(labelled.where("_band")).select("ba_code", "hour_local", "_label", "prediction"), "residuals"
         )
         cells, over_all = residual_bands(scored)
         fitted.bands, fitted.overall_bands = written(cells, "bands"), written(over_all, "overall_bands")
