@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,10 @@ REMEMBERED = 500_000
 #: A run of letters, then punctuation that the tokenizer parts from it wherever it stands.
 _STEM = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:;=?@\[-`{}~]*)")
 
+# The tokenizer's merges see bytes as characters: printable ones as themselves, the others from 256 on in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = [chr(b) if b in _PRINTABLE else chr(256 + sum(x not in _PRINTABLE for x in range(b))) for b in range(256)]
+
 
 class WordIds(dict):
     """A word's ids as little-endian unsigned 32-bit numbers, remembered.
@@ -46,6 +51,7 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer, self.stems = Tokenizer.from_file(path), {}
+        self.model = self.tokenizer.model
 
     def encoded(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -55,9 +61,17 @@ class WordIds(dict):
         if ids is None:
             if len(self.stems) >= REMEMBERED:
                 self.stems.clear()
-            ids = self.stems[stem] = self.encoded(stem)
+            ids = self.stems[stem] = self.of_letters(stem) or self.encoded(stem)
         return ids
 
+    def of_letters(self, stem: bytes) -> bytes | None:
+        """A normalised word of lower-case letters goes to the merges at once; what precedes them would leave it alone."""
+        text = stem.decode("utf-8", "replace")
+        if not text.isalpha() or text.lower() != text or not is_normalized("NFC", text):
+            return None
+        shown = text if text.isascii() else "".join([_SHOWN[b] for b in stem])
+        return np.array([token.id for token in self.model.tokenize(shown)], dtype="<u4").tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
         parts = _STEM.fullmatch(word)
         ids = self.remembered(parts[1].lower()) + (self.remembered(parts[2]) if parts[2] else b"") if parts else self.encoded(word)
