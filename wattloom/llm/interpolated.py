@@ -35,7 +35,7 @@ ORDER = 2
 #: One training document in so many has its counts deleted while weights are learned from it.
 DELETED_SHARE = 32
 #: Bytes of text in a block; tokens (of all blocks) a hash range answers for.
-BLOCK_BYTES, RANGE_TOKENS = 16 << 20, 1 << 20
+BLOCK_BYTES, RANGE_TOKENS = 8 << 20, 1 << 20
 BUCKETS = 48
 ROUNDS, SETTLED, LEAST_WEIGHT = 30, 1e-5, 1e-6
 _CLOSING, _OPENING = xxh64_intdigest(b" closing"), xxh64_intdigest(b" opening")  # no word holds a space
