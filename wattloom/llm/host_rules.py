@@ -119,8 +119,11 @@ WITH numbered AS (
   SELECT rid, doc_id, source, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM numbered
+), tokens AS (
+  SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split
 ), windows AS (
-  SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS shown FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM split)
+  SELECT rid, i, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o, lead(w, 5) OVER o, lead(w, 6) OVER o, lead(w, 7) OVER o) AS shown
+  FROM tokens WINDOW o AS (PARTITION BY rid ORDER BY i) QUALIFY lead(w, 7) OVER o IS NOT NULL
 ), twice AS (
   SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, shown) AS times FROM windows) WHERE times > 1
 ), covered AS (
