@@ -31,7 +31,7 @@ from wattloom.session import written
 CAPACITY, CLOSING_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
 #: Words a task remembers the ids of; it starts afresh beyond.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: A run of letters, then punctuation that the tokenizer parts from it wherever it stands.
 _STEM = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:;=?@\[-`{}~]*)")
 
