@@ -223,6 +223,48 @@ register(
               count(*) FILTER (WHERE abs(step_pct) > 20) AS large_steps FROM key_tail""",
 )(lambda s, d: diagnostics.tail_summary(diagnostics.series_tail(_fact(s, d), KEY)))
 
+_WITH_WEATHER = "ascii(right(ba_code, 1)) % 2 = 0"
+
+
+def _known_and_weather(spark, sf_dir):
+    """The fact without each key's last day, and that day as the weather to come."""
+    fact = feeder_fact(spark, sf_dir)
+    newest = fact.groupBy("ba_code").agg(F.max("period_utc").alias("_newest"))
+    dated = fact.join(newest, "ba_code").selectExpr("*", "unix_seconds(_newest) - unix_seconds(period_utc) < 86400 as _last_day").drop("_newest")
+    return dated.where("not _last_day").drop("_last_day"), dated.where("_last_day").drop("_last_day")
+
+
+view(
+    "day_to_come",
+    f"""SELECT *, period_utc + INTERVAL 24 HOUR > max(period_utc) OVER (PARTITION BY ba_code) AS to_come, {_WITH_WEATHER} AS forecast_there
+        FROM feed_fact""",
+)
+view(
+    "known_hours",
+    "SELECT *, date_diff('hour', period_utc, max(period_utc) OVER (PARTITION BY ba_code)) AS age FROM day_to_come WHERE NOT to_come",
+)
+
+
+@register(
+    "forecast_frame",
+    """
+    SELECT ba_code, period_utc, mode, target, if(target, NULL, demand_mwh) AS demand_mwh, if(target, demand_mwh, NULL) AS actual_mwh,
+           temperature_2m, date_local, hour_local, is_weekend, is_holiday, month
+    FROM (SELECT *, if(forecast_there, 'live', 'replay') AS mode, NOT forecast_there AND age < 24 AS target FROM known_hours WHERE age < 400)
+    UNION ALL
+    SELECT ba_code, period_utc, 'live', true, NULL, NULL, temperature_2m, date_local, hour_local, is_weekend, is_holiday, month
+    FROM day_to_come WHERE to_come AND forecast_there
+    """,
+)
+def _forecast_frame(spark, sf_dir):
+    """What a forecast starts from: keys with weather to come go live, the others replay their last day."""
+    known, weather = _known_and_weather(spark, sf_dir)
+    frame = inference.assemble(known, adapters.feeder_dimension(spark, sf_dir), weather.where(_WITH_WEATHER))
+    return frame.withColumnRenamed("_target", "target").select(
+        "ba_code", "period_utc", "mode", "target", "demand_mwh", "actual_mwh", "temperature_2m", "date_local", "hour_local", "is_weekend", "is_holiday", "month"
+    )
+
+
 # ------------------------------------------------------------------ fitted models: property-tested, no SQL equivalent
 
 
@@ -257,10 +299,7 @@ def _replay(spark, sf_dir):
 @register("live_forecast")
 def _live(spark, sf_dir):
     """The last day of the fact is cut off; its weather serves as the forecast of the next day."""
-    fact = feeder_fact(spark, sf_dir)
-    newest = fact.groupBy("ba_code").agg(F.max("period_utc").alias("_newest"))
-    dated = fact.join(newest, "ba_code").selectExpr("*", "unix_seconds(_newest) - unix_seconds(period_utc) < 86400 as _last_day").drop("_newest")
-    known, weather = dated.where("not _last_day").drop("_last_day"), dated.where("_last_day").drop("_last_day")
+    known, weather = _known_and_weather(spark, sf_dir)
     return inference.forecast(known, adapters.feeder_dimension(spark, sf_dir), _model(spark, sf_dir), weather)
 
 
