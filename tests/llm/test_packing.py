@@ -67,6 +67,14 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(b"".join(map(words.__getitem__, text.encode().split())), "<u4").tolist() == ids, text
 
 
+@pytest.mark.parametrize("word", ["word”.", "wait…)", "yes😀!!", "»,", "—(", "है,", "x́,", "İ!", "\u0958.", "H\u0331", "J\u030c:", "straße!", "ÉTÉ.", "日本。)", "\u1100\u1161!"])
+def test_punctuation_stays_with_what_is_no_letter(word):
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(PATH).encode(word, add_special_tokens=False).ids
+    assert np.frombuffer(packing.WordIds(PATH)[word.encode()], "<u4").tolist() == ids
+
+
 def test_pieces_cover_texts_and_fill_sequences(odd_docs):
     from tokenizers import Tokenizer
 

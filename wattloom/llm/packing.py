@@ -17,7 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ CAPACITY, CLOSING_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
 #: Words a task remembers the ids of; it starts afresh beyond.
 REMEMBERED = 300_000
-#: A run of letters, then punctuation that the tokenizer parts from it wherever it stands.
+#: A run of letters or of what is not ASCII, then punctuation that the tokenizer parts from letters wherever it stands.
 _STEM = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:;=?@\[-`{}~]*)")
 
 # The tokenizer's merges see bytes as characters: printable ones as themselves, the others from 256 on in order.
@@ -40,6 +40,14 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = [chr(b) if b in _PRINTABLE else chr(256 + sum(x not in _PRINTABLE for x in range(b))) for b in range(256)]
 
 
+def _all_letters(stem: bytes) -> bool:
+    """If the tokenizer sees letters only, as it sees them after its normaliser: any other character keeps the punctuation after it."""
+    if stem.isascii():
+        return True
+    text = stem.decode("utf-8", "replace")
+    return text.isalpha() and normalize("NFC", text).lower().isalpha()
+
+
 class WordIds(dict):
     """A word's ids as little-endian unsigned 32-bit numbers, remembered.
 
@@ -74,7 +82,10 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         parts = _STEM.fullmatch(word)
-        ids = self.remembered(parts[1].lower()) + (self.remembered(parts[2]) if parts[2] else b"") if parts else self.encoded(word)
+        if parts and _all_letters(parts[1]):
+            ids = self.remembered(parts[1].lower()) + (self.remembered(parts[2]) if parts[2] else b"")
+        else:
+            ids = self.encoded(word)
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = ids
