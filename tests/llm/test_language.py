@@ -60,3 +60,18 @@ def test_odd_rows(odd_docs, no_docs):
 def test_without_labels_all_is_undetermined(spark):
     docs = spark.createDataFrame([(1, "some words", None), (2, "more words", None)], "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in language.identify(docs).collect()} == {"und"}
+
+
+def test_long_labelled_texts_are_sampled(spark):
+    from wattloom.llm import common, labelled
+
+    long = "é" * common.SAMPLE_TEXT_BYTES
+    rows = [(i, "x" + long, "aa") for i in range(30)] + [(100 + i, f"short {i}", "bb") for i in range(300)] + [(500 + i, "x" + long, "bb") for i in range(5000, 5040)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    found = common.labelled_sample(docs.withColumn("text", docs.text.cast("binary")), 100)
+    texts = {k: [r["text"] for r in found if r["label"] == k] for k in ("aa", "bb")}
+    assert len(texts["aa"]) == 30 and len(texts["bb"]) >= 50
+    assert all(common.SAMPLE_TEXT_BYTES - 2 < len(t) <= common.SAMPLE_TEXT_BYTES and t.decode() for t in texts["aa"])
+    labels = spark.createDataFrame([(i, 0) for i in range(30)] + [(100 + i, 1) for i in range(300)] + [(10_000 + i, 1) for i in range(30_000)], "doc_id long, quality int")
+    drawn = labelled.labelled_texts(docs, labels, "quality", 50, held_out=-1)
+    assert sum(k == 0 for k, _ in drawn) == 30 and 25 <= sum(k == 1 for k, _ in drawn) <= 100

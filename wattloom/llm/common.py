@@ -6,13 +6,13 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: The ASCII white space that parts words; ``bytes.split()`` parts at exactly these.
 SPACES = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Longest text, in bytes, that a classifier's training sample takes. Scoring has no such bound.
+#: So many bytes of a text, from its start, are taken for a classifier's training sample. Scoring has no such bound.
 SAMPLE_TEXT_BYTES = 65_536
 
 
@@ -55,21 +55,33 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start)
 
 
+def sampled_bytes(text: str = "text") -> Column:
+    """The start of a binary text, as a training sample takes it."""
+    return F.substring(text, 1, SAMPLE_TEXT_BYTES)
+
+
+def unbroken(data: bytes) -> bytes:
+    """A sampled text without the character that its end may have cut."""
+    return data if len(data) < SAMPLE_TEXT_BYTES else data.decode("utf-8", "ignore").encode()
+
+
 def labelled_sample(rows: DataFrame, per_label: int) -> list:
     """About ``per_label`` rows of each label (at most twice as many), chosen by a hash of the id.
 
-    ``rows`` has doc_id, text (binary) and label. Rows without text or label, and texts above
-    SAMPLE_TEXT_BYTES, are not sampled. The bound makes the collected size independent of the table.
+    ``rows`` has doc_id, text (binary) and label. Rows without id, text or label are neither counted nor
+    sampled; of a long text the first SAMPLE_TEXT_BYTES are. The bounds make the collected size
+    independent of the table.
     """
-    usable = rows.where("text is not null and label is not null and doc_id is not null").where(F.length("text") <= SAMPLE_TEXT_BYTES)
-    counts = rows.where("label is not null and text is not null").groupBy("label").count()
+    usable = rows.where("text is not null and label is not null and doc_id is not null")
+    counts = usable.groupBy("label").count()
     chosen = (
         usable.withColumn("rank", F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000007L) / 1000000007D"))
         .join(F.broadcast(counts.withColumnRenamed("label", "of")), F.col("label") == F.col("of"))  # a row a label; more rows than that are collected
         .where(F.col("rank") < per_label / F.col("count"))
-        .select("rank", "doc_id", "label", "text")
+        .select("rank", "doc_id", "label", sampled_bytes().alias("text"))
     )
     found: dict = {}
-    for row in sorted(chosen.collect(), key=lambda r: (r["rank"], r["doc_id"], bytes(r["text"]))):
+    cut = [Row(**(r.asDict() | {"text": unbroken(bytes(r["text"]))})) for r in chosen.collect()]
+    for row in sorted(cut, key=lambda r: (r["rank"], r["doc_id"], r["text"])):
         found.setdefault(row["label"], []).append(row)
     return [row for label in sorted(found) for row in found[label][: 2 * per_label]]

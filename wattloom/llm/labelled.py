@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import SAMPLE_TEXT_BYTES, fold
+from wattloom.llm.common import fold, sampled_bytes, unbroken
+from wattloom.session import written
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, per_label: int, held_out: int = 0, modulus: int = 5) -> list[tuple[int, bytes]]:
     """(label, text) of about ``per_label`` documents of each label, outside the held-out fold.
 
-    Ids are drawn from the labels alone, by a hash, at most twice ``per_label`` of each; their texts
-    are then fetched. Texts that are null or above SAMPLE_TEXT_BYTES are left out of training.
+    Ids are drawn among those that have a text, by a hash, at most twice ``per_label`` of each; their
+    texts are then fetched, of a long one the first SAMPLE_TEXT_BYTES.
     Repeated label rows of an id count once; an id with both labels is left out.
     """
     known = labels.where(f"`{column}` in (0, 1) and doc_id is not null").where(fold(modulus) != held_out)
     known = known.groupBy("doc_id").agg(F.min(column).alias("label"), F.max(column).alias("other")).where("label = other")
+    known = written(known.join(docs.where("text is not null").select("doc_id"), "doc_id", "left_semi"), "labelled")
     known = known.withColumn("rank", F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000007L) / 1000000007D"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows at most
     if not counts:
@@ -27,6 +29,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, per_label: i
         drawn.setdefault(row["label"], []).append(row)
     ids = [(row["doc_id"], row["label"]) for rows in drawn.values() for row in rows[: 2 * per_label]]
     chosen = docs.sparkSession.createDataFrame(ids, f"_id {labels.schema['doc_id'].dataType.simpleString()}, _label int")
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where(f"text is not null and length(text) <= {SAMPLE_TEXT_BYTES}")
-    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_label", "text").collect()
-    return [(r["_label"], bytes(r["text"])) for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["text"])))]
+    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_label", sampled_bytes().alias("text")).collect()
+    return [(r["_label"], unbroken(bytes(r["text"]))) for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["text"])))]
