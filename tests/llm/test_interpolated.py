@@ -118,3 +118,18 @@ def test_interpolation_beats_the_base_on_held_out_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learned", fold(7) != 2)
     held = interpolated.scores(docs, "learned", extra=("learned",)).where("not learned").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > 0.6 * held[1]
+
+
+def test_weights_are_learned_from_few_documents(spark, monkeypatch):
+    ids = spark.range(400).where(f"pmod(xxhash64(id, 'deleted'), {interpolated.DELETED_SHARE}) > 0").limit(12)
+    docs = ids.selectExpr("id as doc_id", "'the cat sat on the mat and the dog sat on the cat' as text", "true as learned")
+    learned, learn = [], interpolated.learn_weights
+
+    def kept(*arguments):
+        learned.append(learn(*arguments))
+        return learned[-1]
+
+    monkeypatch.setattr(interpolated, "learn_weights", kept)
+    assert interpolated.scores(docs, "learned").count() == 12
+    assert (learned[0][:, 0] > 0.5).any()
+    assert interpolated.scores(docs.limit(1), "learned").count() == 1

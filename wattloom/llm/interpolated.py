@@ -10,7 +10,8 @@ the counts of its distinct n-grams, by 64-bit hash, dealt out by hash range; the
 blocks have and answers each. Frequent n-grams are thereby one entry a block, wherever they occur.
 
 Defined cases: a null text is the closing token only; without training documents every estimate is
-uniform over one token, and scores are 0; a null doc_id belongs to remainder 0; repeated rows score
+uniform over one token, and scores are 0; a table of any size has training documents to delete, unless
+the ids of all of them hash alike, when weights stay equal; a null doc_id belongs to remainder 0; repeated rows score
 alike and count each.
 """
 
@@ -248,7 +249,10 @@ def scores(docs: DataFrame, trained: str, order: int = ORDER, extra: tuple[str,
 
     ``trained`` names a boolean column: which rows the model learns from.
     """
-    marked = docs.withColumn("trained", F.col(trained)).withColumn("_deleted", F.col("trained") & (F.expr(f"pmod(xxhash64(doc_id, 'deleted'), {DELETED_SHARE})") == 0))
+    marked, part = docs.withColumn("trained", F.col(trained)), F.expr(f"pmod(xxhash64(doc_id, 'deleted'), {DELETED_SHARE})")
+    parts = marked.where("trained").agg(F.min(part).alias("least"), F.max(part).alias("most")).first()
+    several = parts["least"] != parts["most"]  # else nothing would be left to count; part 0 unless the table is tiny
+    marked = marked.withColumn("_deleted", F.col("trained") & (part == parts["least"]) if several else F.lit(False))
     packed = written(blocks(marked, "trained", "_deleted", extra), "blocks")
     summed = packed.selectExpr("deleted", "explode(arrays_zip(trained, tokens)) as d").selectExpr("deleted", "d.trained", "d.tokens").groupBy("deleted", "trained").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")).collect()  # at most four rows
     n = {k: sum(r[k] for r in summed if r["trained"]) for k in ("docs", "tokens")}
