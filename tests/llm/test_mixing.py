@@ -75,3 +75,11 @@ def test_repeated_rows(odd_docs, no_docs):
     assert got == Counter({k: n for k, n in taken.items() if n})
     assert {r["row"] for r in rows.collect()} == {9}
     assert mixing.mixed(no_docs).count() == 0 and mixing.repeated(no_docs).agg(F.count("*")).first()[0] == 0
+
+
+def test_equal_rows_are_spread_over_blocks(spark):
+    docs = spark.range(3000).selectExpr("cast(null as long) as doc_id", "'a b c' as text", "'s' as source")
+    units = mixing._with(mixing._numbered(mixing.sizes(docs)), {"s": 0.37}, "chance", "double")
+    moved = mixing._moved(mixing._with(units, {"s": 12}, "blocks", "long")).collect()
+    assert len(moved) == 3000 and len({r["nth"] for r in moved}) == 3000
+    assert 2 < sum(0 < r["chance"] < 1 for r in moved) <= 24

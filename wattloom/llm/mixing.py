@@ -31,6 +31,8 @@ from wattloom.session import written
 WEIGHTS, REPEATS = (1, 2, 3), 3
 #: Documents whose probabilities are moved together.
 BLOCK_UNITS, SEED = 2048, 20
+#: So many equal rows are dealt to a block as one.
+EQUAL_ROWS = 64
 
 
 def targets(sizes: list[int], weights: list[float], repeats: float = REPEATS) -> list[float]:
@@ -97,22 +99,34 @@ def landing(chances: list[float], draw: random.Random) -> list[float]:
 
 
 def _moved(units: DataFrame) -> DataFrame:
-    """One round: ``units`` (key, _row, source, size, chance, blocks) in blocks of their source; a source of one block lands, too."""
+    """One round: ``units`` (key, _row, nth, equal, source, size, chance, blocks) in blocks of their source; a source of one block lands, too.
+
+    A unit stands for ``equal`` equal rows, numbered from ``nth`` on, until its block takes them one by one.
+    """
     names = [c for c in units.columns if c != "blocks"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in units.schema if f.name in names)
 
     def move(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["mixed", "_row"], kind="stable")
+        group = group.sort_values(["mixed", "_row", "nth"], kind="stable")
+        group = group.loc[group.index.repeat(group["equal"])]
+        group = group.assign(nth=group["nth"] + group.groupby(level=0).cumcount(), equal=1)
         draw = random.Random(zlib.crc32(f"{SEED} {group['source'].iloc[0]} {group['block'].iloc[0]} {group['blocks'].iloc[0]}".encode()))
         chances = flight(group["size"].astype(float).tolist(), group["chance"].tolist(), draw)
         if group["blocks"].iloc[0] == 1:
             chances = landing(chances, draw)
         return group.assign(chance=chances)[names]
 
-    dealt = units.withColumn("mixed", F.xxhash64("_row", "size", F.lit(SEED))).withColumn("block", F.expr("pmod(mixed, blocks)"))
+    dealt = units.withColumn("mixed", F.xxhash64("_row", "size", "nth", F.lit(SEED))).withColumn("block", F.expr("pmod(mixed, blocks)"))
     return dealt.groupBy("source", "block").applyInPandas(move, schema)
 
 
+def _numbered(measured: DataFrame) -> DataFrame:
+    """``measured`` with equal rows taken together, EQUAL_ROWS to a unit, so that their number parts them among the blocks."""
+    same = measured.groupBy(*measured.columns).agg(F.count("*").alias("_rows"))
+    parted = same.withColumn("nth", F.expr(f"explode(sequence(0L, _rows - 1, {EQUAL_ROWS}L))"))
+    return parted.withColumn("equal", F.expr(f"least({EQUAL_ROWS}L, _rows - nth)")).drop("_rows")
+
+
 def _blocks(counts: dict) -> dict:
     return {k: max(1, -(-n // BLOCK_UNITS)) for k, n in counts.items()}
 
@@ -151,7 +165,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int =
     often = {s: wanted[s] / totals[s]["size"] if totals[s]["size"] else 0.0 for s in order}
     sure = {s: min(int(k), repeats) for s, k in often.items()}
     counts = {s: totals[s]["docs"] for s in order}
-    units = _with(measured, {s: often[s] - sure[s] for s in order}, "chance", "double")
+    units = _with(_numbered(measured), {s: often[s] - sure[s] for s in order}, "chance", "double")
     decided, blocks = [], _blocks(counts)
     while True:
         moved = written(_moved(_with(units, blocks, "blocks", "long")), "moved")
