@@ -6,6 +6,7 @@ import corpus_pipeline
 from wattloom.llm.host_rules import OP3_SQL, op3_host_rules
 from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
+from wattloom.llm.manifest import OP12_SQL, op12_merkle_manifest
 from wattloom.llm.mixing import op1_source_mix
 from wattloom.llm.neighbours import op7_projected_kd_search
 from wattloom.llm.packing import op4_best_fit_packing
@@ -25,8 +26,10 @@ QUERIES = {
     "op8_page_differencing": op8_page_differencing,
     "op9_gray_simhash": op9_gray_simhash,
     "op10_clause_grammar": op10_clause_grammar,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op3_host_rules": OP3_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
