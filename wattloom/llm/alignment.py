@@ -17,6 +17,7 @@ special tokens' strings are plain text; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -35,6 +36,9 @@ BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES, PROBES = 8 << 20, 16
 #: A larger group links distinct ids with their numbers instead of token by token.
 LARGE_GROUP = 65_536
+#: Tiktoken's pattern gives up on runs of white space several times as long; the slower library takes them.
+LONG_SPACE = 65_536
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 def located(name: str) -> str:
@@ -86,7 +90,7 @@ class ByteLevel:
         return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None and len(text) < 1 << 20:
+        if self.fast is not None and (len(text) < LONG_SPACE or not _LONG_SPACE.search(text)):
             return np.array(self.fast.encode_ordinary(text), dtype=np.int64)
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.int64)
 
