@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from wattloom.llm.alignment import op13_shared_cuts
+from wattloom.llm.forest import op11_lsh_forest
 from wattloom.llm.host_rules import OP3_SQL, op3_host_rules
 from wattloom.llm.interpolated import op2_interpolated_lm
 from wattloom.llm.language import op5_language_id
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_page_differencing": op8_page_differencing,
     "op9_gray_simhash": op9_gray_simhash,
     "op10_clause_grammar": op10_clause_grammar,
+    "op11_lsh_forest": op11_lsh_forest,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_shared_cuts": op13_shared_cuts,
     "pipeline": corpus_pipeline.run,
