@@ -53,7 +53,7 @@ def _copies(rnd, n_bases, copies, words, most):
 def test_near_copies_of_all_distances(spark):
     """Copies from equal to just beyond the limit, few and many; shared passages that must not link."""
     rnd = random.Random(4)
-    texts = [*_copies(rnd, 40, 4, 120, 5), *_copies(rnd, 2, 150, 200, 4), *_copies(rnd, 10, 3, 8, 1), *_copies(rnd, 1, 250, 60, 3)]
+    texts = [*_copies(rnd, 40, 4, 120, 5), *_copies(rnd, 2, 150, 200, 4), *_copies(rnd, 10, 3, 8, 1), *_copies(rnd, 1, 250, 60, 3), *_copies(rnd, 1, 200, 150, 14)]
     passage = " ".join(f"shared{i}" for i in range(80))
     texts += [f"{passage} {t}" for t in _copies(rnd, 200, 1, 60, 0)]
     texts += ["One two", "one  TWO", "one", "one two three", "two one"]
@@ -66,8 +66,8 @@ def test_every_window_meets_the_next(spark, monkeypatch):
     monkeypatch.setattr(forest, "WINDOW", 8)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        rows = [(i, bytes([i // 40] * 4 + [100 + i % 40] * (forest.MINIMA - 4))) for i in range(120)]
-        classes = spark.createDataFrame(rows, "id long, signature binary").coalesce(1)
+        rows = [(i, bytes([i // 40] * 4 + [100 + i % 40] * (forest.MINIMA - 4)), 5) for i in range(120)]
+        classes = spark.createDataFrame(rows, "id long, signature binary, n long").coalesce(1)
         met = {}
         for r in forest.windows(classes).where("substring(order, 1, 4) in (X'00000000', X'01010101', X'02020202')").collect():
             met.setdefault(r["window"], []).append(r["id"])
@@ -86,13 +86,15 @@ def test_rounds_name_every_candidate_in_the_end():
     orders = np.tile(base, (60, 1))
     for row in orders:
         row[rng.integers(0, forest.MINIMA, 12)] = rng.integers(0, 256, 12)
-    labels = np.arange(60)
+    labels, n, none = np.arange(60), np.full(60, 500), np.zeros(60, dtype=int)
     whole = {(i, j) for i in range(60) for j in range(i + 1, 60) if (orders[i] == orders[j]).sum() >= forest.ALIKE}
-    few, more = forest.alike(orders, labels, 1)
+    few, more = forest.alike(orders, labels, n, none, 1)
     assert more and set(few) <= whole and len(few) <= 60
-    every, more = forest.alike(orders, labels, 64)
+    every, more = forest.alike(orders, labels, n, none, 64)
     assert not more and set(every) == whole
-    assert forest.alike(orders, np.zeros(60, dtype=int), 1) == ([], False)
+    assert forest.alike(orders, none, n, none, 1) == ([], False)
+    own = np.where(np.arange(60) < 30, 45, 0)  # 455 shared of 545 are under 85 %
+    assert {p for p in whole if min(p) >= 30} == set(forest.alike(orders, labels, n, own, 64)[0])
 
 
 def test_long_texts_split_in_pieces(monkeypatch):

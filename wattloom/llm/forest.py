@@ -1,7 +1,7 @@
 """Near-duplicates by an LSH forest over MinHash signatures.
 
-Distinct shingle sets get a signature of 128 minima, a byte each. The forest has 32 trees: tree t orders
-the sets by the signature read from its 4 t-th byte on, around the end. Sets that share the first four bytes
+Distinct shingle sets get a signature of 128 minima, a byte each. The forest has 16 trees: tree t orders
+the sets by the signature read from its 8 t-th byte on, around the end. Sets that share the first four bytes
 of an order are a region; a small region is compared whole, and in a crowded one the order itself goes
 deeper: a set meets the 256 to 512 next to it on either side, which are those of the longest common
 prefixes. Pairs that agree in enough of the signature are candidates, and candidates are confirmed on
@@ -9,11 +9,12 @@ the full sets.
 
 A search goes in rounds. At first a set names its nearest candidate of a window only; confirmed links
 join components, and windows where a set had more candidates are searched again for pairs that are still
-apart, with four times as many a set, until none is left. So copies by the thousand give links by the
-thousand, and every candidate between components is tested in the end.
+apart, with eight times as many a set, until none is left. A pair is apart for good, untested, if the
+shingles that no other candidate set has, or the sizes, leave it too few to share; that is exact. So copies
+by the thousand give links by the thousand, and every candidate between components is tested or excluded.
 
-A pair at a similarity of 0.85 misses all regions with a chance of about 1e-10 and the comparison of
-signatures with about 1e-7; only in crowded regions can more be lost.
+A pair at a similarity of 0.85 misses all regions with a chance of about 7e-6 and the comparison of
+signatures with about 2e-6; only in crowded regions can more be lost.
 
 Defined cases: texts without words and null texts have an empty set and are linked with nothing, not even
 with each other; a component is named by its smallest doc_id, rows without one by null if no other is
@@ -40,12 +41,12 @@ from wattloom.session import written
 #: Words of a shingle and the similarity of a link, in percent.
 SHINGLE, PERCENT = 3, 85
 #: Bytes of a signature, bytes that part the trees' starts, and bytes that a region shares.
-MINIMA, STRIDE, SHARED = 128, 4, 4
+MINIMA, STRIDE, SHARED = 128, 8, 4
 TREES = MINIMA // STRIDE
 #: Sets that are compared with each other in one window of an order; windows overlap by half.
 WINDOW = 512
 #: Equal bytes that make a candidate: 0.85 gives 109 on average, with a deviation of 4.
-ALIKE = 88
+ALIKE = 90
 #: Rows that name texts to fetch are broadcast up to so many (about 8 MB); beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Words remembered by a worker, bytes of text split at once, shingles hashed at once.
@@ -120,13 +121,13 @@ def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def windows(classes: DataFrame) -> DataFrame:
-    """(window, id, order): the sets to compare. Sets that share a region with no other are in none."""
+    """(window, id, order, n): the sets to compare. Sets that share a region with no other are in none."""
     order = f"concat(substring(signature, 1 + {STRIDE} * tree), substring(signature, 1, {STRIDE} * tree))"
     trees = classes.select("id", "signature", F.expr(f"explode(sequence(0, {TREES - 1})) as tree"))
     keyed = trees.select("id", "tree", F.expr(f"substring({order}, 1, {SHARED}) as region"))
-    shared = keyed.groupBy("tree", "region").count().where("count > 1").select("tree", "region")
-    placed = written(keyed.join(shared, ["tree", "region"]).select("id", "tree"), "regions")
-    rows = placed.join(classes.select("id", "signature"), "id").select("tree", F.expr(f"{order} as order"), "id")
+    shared = keyed.groupBy("tree", "region").count().where("count > 1")
+    placed = written(keyed.join(shared, ["tree", "region"]).select("id", "tree", "count"), "regions")
+    rows = placed.join(classes.select("id", "signature", "n"), "id").select("tree", F.expr(f"{order} as order"), "id", "n", "count")
     by = ["tree", "order", "id"]
     half = WINDOW // 2
 
@@ -149,23 +150,28 @@ def windows(classes: DataFrame) -> DataFrame:
             bases = base + np.r_[0, np.cumsum((sizes[:-1] - 1) // half + 1)]
             of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(ids)]))
             nth = np.arange(len(ids)) - starts[of] + np.where((of == 0) & (not first[0]), before, 0)
-            own = bases[of] + nth // half
+            own, last = nth // half, np.maximum((batch.column("count").to_numpy() - 1) // half - 1, 0)
             base, before, now = bases[-1], int(sizes[-1]), key[-1]
-            also = np.flatnonzero(nth >= half)
-            yield pa.record_batch(
-                [pa.array(np.r_[own, own[also] - 1]), pa.array(np.r_[ids, ids[also]]), pa.concat_arrays([batch.column("order"), batch.column("order").take(pa.array(also))])],
-                names=["window", "id", "order"],
-            )
-
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "window long, id long, order binary")
-
-
-def alike(orders: np.ndarray, labels: np.ndarray, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """Each row's ``most`` nearest candidates of another label, as pairs of places, and if a row had more."""
-    pairs, more, n = set(), False, len(orders)
-    for at in range(0, n, 64):
-        equal = np.count_nonzero(orders[at : at + 64, None, :] == orders[None, :, :], axis=2)
-        fits = (equal >= ALIKE) & (labels[at : at + 64, None] != labels[None, :])
+            there, also = np.flatnonzero(own <= last), np.flatnonzero(own > 0)  # the last half has no window of its own
+            rows = np.r_[there, also]
+            window = (bases[of] + own)[rows] - np.r_[np.zeros(len(there), dtype=np.int64), np.ones(len(also), dtype=np.int64)]
+            taken = [batch.column(c).take(pa.array(rows)) for c in ("id", "order", "n")]
+            yield pa.record_batch([pa.array(window), *taken], names=["window", "id", "order", "n"])
+
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "window long, id long, order binary, n long")
+
+
+def alike(orders: np.ndarray, labels: np.ndarray, n: np.ndarray, own: np.ndarray, most: int, percent: int = PERCENT) -> tuple[list[tuple[int, int]], bool]:
+    """Each row's ``most`` nearest candidates of another label, as pairs of places, and if a row had more.
+
+    ``n`` are the sets' sizes, ``own`` how many shingles no other set has: those a pair can't share.
+    """
+    pairs, more = set(), False
+    for at in range(0, len(orders), 64):
+        these = slice(at, at + 64)
+        equal = np.count_nonzero(orders[these, None, :] == orders[None, :, :], axis=2)
+        common = np.minimum((n - own)[these, None], (n - own)[None, :])
+        fits = (equal >= ALIKE) & (labels[these, None] != labels[None, :]) & (100 * common >= percent * (n[these, None] + n[None, :] - common))
         for i in np.flatnonzero(fits.any(axis=1)):
             near = np.flatnonzero(fits[i])
             if len(near) > most:
@@ -175,18 +181,19 @@ def alike(orders: np.ndarray, labels: np.ndarray, most: int) -> tuple[list[tuple
     return sorted(pairs), more
 
 
-def candidates(found: DataFrame, most: int) -> DataFrame:
-    """(window, a, b) of the candidates named in windows of (window, id, label, order); a row without a and b: there are more."""
+def candidates(found: DataFrame, most: int, percent: int) -> DataFrame:
+    """(window, a, b) of the candidates named in windows of (window, id, order, label, n, own); a row without a and b: there are more."""
 
     def search(window: pa.Table) -> pa.Table:
         window = window.sort_by([("order", "ascending"), ("id", "ascending")])
-        ids = window.column("id").to_numpy()
-        orders = np.frombuffer(b"".join(o.as_py() for o in window.column("order")), dtype=np.uint8).reshape(-1, MINIMA)
-        pairs, more = alike(orders, window.column("label").to_numpy(), most)
-        a, b = [int(ids[i]) for i, _ in pairs], [int(ids[j]) for _, j in pairs]
-        a, b = [*map(min, a, b)], [*map(max, a, b)]
-        rows = len(a) + more
-        of = pa.array([window.column("window")[0].as_py()] * rows, pa.int64())
+        ids, labels, n, own = [window.column(c).to_numpy() for c in ("id", "label", "n", "own")]
+        if (labels == labels[0]).all():
+            pairs, more = [], False
+        else:
+            orders = np.frombuffer(b"".join(o.as_py() for o in window.column("order")), dtype=np.uint8).reshape(-1, MINIMA)
+            pairs, more = alike(orders, labels, n, own, most, percent)
+        a, b = [int(min(ids[i], ids[j])) for i, j in pairs], [int(max(ids[i], ids[j])) for i, j in pairs]
+        of = pa.array([window.column("window")[0].as_py()] * (len(a) + more), pa.int64())
         return pa.table({"window": of, "a": pa.array([*a, *[None] * more], pa.int64()), "b": pa.array([*b, *[None] * more], pa.int64())})
 
     return found.groupBy("window").applyInArrow(search, "window long, a long, b long")
@@ -194,8 +201,8 @@ def candidates(found: DataFrame, most: int) -> DataFrame:
 
 def sets(docs: DataFrame, seen: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """(id, shingles) of the given classes, from one text of each, read again."""
-    wanted = seen.select("text_hash", "doc_id").join(classes.select("id", "text_hash"), "text_hash")
-    named = written(wanted.groupBy("id", "text_hash").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    first = seen.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"))
+    named = written(first.join(classes.select("id", "text_hash"), "text_hash"), "wanted")
     few = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
     texts = docs.select(F.col("`doc_id`").alias("of"), F.xxhash64(F.col("`text`")).alias("hash"), F.col("`text`").cast("binary").alias("text"))
     texts = texts.join(few, (F.col("hash") == F.col("text_hash")) & F.col("of").eqNullSafe(F.col("doc_id"))).select("id", "text")
@@ -216,31 +223,40 @@ def confirmed(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100L * both >= {percent}L * (total - both)").select("a", "b")
 
 
+def linkable(known: DataFrame, percent: int) -> DataFrame:
+    """(id, own): the sets that enough shingles tie to others, and how many shingles each has alone among ``known``."""
+    of = known.select("id", F.explode("shingles").alias("shingle"))
+    alone = of.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1").groupBy("id").agg(F.count("*").alias("own"))
+    counted = known.select("id", F.size("shingles").alias("n")).join(alone, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    return counted.where(f"100L * (n - own) >= {percent}L * n").select("id", "own")
+
+
 def links(docs: DataFrame, seen: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Confirmed pairs of classes that join every component, and (node, root) of the components."""
     spark = docs.sparkSession
     found = written(windows(classes), "windows")
-    nothing = spark.createDataFrame([], "a long, b long")
-    confirmed_pairs, tested, roots, known, most = nothing, nothing, spark.createDataFrame([], "node long, root long"), None, 1
-    searched = found.withColumn("label", F.col("id"))
+    sure = spark.createDataFrame([], "a long, b long")
+    tested, roots, most = sure, spark.createDataFrame([], "node long, root long"), 1
+    searched = found.withColumn("label", F.col("id")).withColumn("own", F.lit(0).cast("long"))
     while True:
-        named = written(candidates(searched, most), "candidates")
+        named = written(candidates(searched, most, percent), "candidates")
         fresh = named.where("a is not null").select("a", "b").distinct()
         fresh = written(fresh.join(tested, ["a", "b"], "left_anti"), "fresh")
-        if known is None:  # whoever has a candidate names one in the first round
+        if most == 1:  # whoever has a candidate names one in the first round
             ids = fresh.select(F.explode(F.array("a", "b")).alias("id")).distinct()
             known = written(sets(docs, seen, classes.join(ids, "id", "left_semi"), size), "sets")
-        if fresh.take(1):
-            confirmed_pairs = confirmed_pairs.unionByName(written(confirmed(fresh, known, percent), "links"))
-            tested = tested.unionByName(fresh)
-            roots = components(confirmed_pairs)
+        joined = written(confirmed(fresh, known, percent), "links")
+        if joined.take(1):
+            sure = sure.unionByName(joined)
+            roots = components(sure)
         open_windows = written(named.where("a is null").select("window"), "open")
         if not open_windows.take(1):
-            return confirmed_pairs, roots
-        most *= 4
-        labels = roots.withColumnRenamed("node", "id")
-        searched = found.join(open_windows, "window", "left_semi").join(labels, "id", "left")
-        searched = searched.select("window", "id", "order", F.coalesce("root", "id").alias("label"))
+            return sure, roots
+        if most == 1:
+            left = written(linkable(known, percent), "linkable")
+        tested, most = tested.unionByName(fresh), 8 * most
+        searched = found.join(left, "id").join(open_windows, "window", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        searched = searched.select("window", "id", "order", "n", "own", F.coalesce("root", "id").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
