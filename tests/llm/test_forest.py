@@ -66,8 +66,8 @@ def test_every_window_meets_the_next(spark, monkeypatch):
     monkeypatch.setattr(forest, "WINDOW", 8)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        rows = [(i, bytes([i // 40] * 4 + [100 + i % 40] * (forest.MINIMA - 4)), 5) for i in range(120)]
-        classes = spark.createDataFrame(rows, "id long, signature binary, n long").coalesce(1)
+        rows = [(i, bytes([i // 40] * 4 + [100 + i % 40] * (forest.MINIMA - 4)), 5, b"x") for i in range(120)]
+        classes = spark.createDataFrame(rows, "id long, signature binary, n long, sketch binary").coalesce(1)
         met = {}
         for r in forest.windows(classes).where("substring(order, 1, 4) in (X'00000000', X'01010101', X'02020202')").collect():
             met.setdefault(r["window"], []).append(r["id"])
@@ -86,15 +86,26 @@ def test_rounds_name_every_candidate_in_the_end():
     orders = np.tile(base, (60, 1))
     for row in orders:
         row[rng.integers(0, forest.MINIMA, 12)] = rng.integers(0, 256, 12)
-    labels, n, none = np.arange(60), np.full(60, 500), np.zeros(60, dtype=int)
+    labels, n, same = np.arange(60), np.full(60, 500), forest.Sketches([bytes(64)] * 60)
     whole = {(i, j) for i in range(60) for j in range(i + 1, 60) if (orders[i] == orders[j]).sum() >= forest.ALIKE}
-    few, more = forest.alike(orders, labels, n, none, 1)
+    few, more = forest.alike(orders, labels, n, same, 1)
     assert more and set(few) <= whole and len(few) <= 60
-    every, more = forest.alike(orders, labels, n, none, 64)
+    every, more = forest.alike(orders, labels, n, same, 64)
     assert not more and set(every) == whole
-    assert forest.alike(orders, none, n, none, 1) == ([], False)
-    own = np.where(np.arange(60) < 30, 45, 0)  # 455 shared of 545 are under 85 %
-    assert {p for p in whole if min(p) >= 30} == set(forest.alike(orders, labels, n, own, 64)[0])
+    assert forest.alike(orders, np.zeros(60), n, same, 1) == ([], False)
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for size in (3, 200, 300, 3000):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        sets = [np.unique(np.r_[base[k:], rng.integers(0, 1 << 63, 2 * k, dtype=np.uint64)]) for k in range(min(size, 120))]
+        sketches = forest.Sketches([forest.odd_sketch(s) for s in sets])
+        apart = sketches.apart(0, np.arange(len(sets)))
+        truth = np.array([len(np.setxor1d(sets[0], s)) for s in sets])
+        assert (apart <= truth).all()
+        near = truth <= sketches.sizes[0] * 8 // 16  # few flips fall on one bit
+        assert (apart[near] >= 0.8 * truth[near]).all()
 
 
 def test_long_texts_split_in_pieces(monkeypatch):

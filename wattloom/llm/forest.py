@@ -9,9 +9,10 @@ the full sets.
 
 A search goes in rounds. At first a set names its nearest candidate of a window only; confirmed links
 join components, and windows where a set had more candidates are searched again for pairs that are still
-apart, with eight times as many a set, until none is left. A pair is apart for good, untested, if the
-shingles that no other candidate set has, or the sizes, leave it too few to share; that is exact. So copies
-by the thousand give links by the thousand, and every candidate between components is tested or excluded.
+apart, with eight times as many a set, until none is left. Each set has an odd sketch, too: bits that each of its
+shingles flips. Where two sketches differ the sets differ, so a pair that differs in more bits than a link
+allows is no candidate; that excludes no link. So copies by the thousand give links by the thousand, and
+every candidate between components is tested in the end.
 
 A pair at a similarity of 0.85 misses all regions with a chance of about 7e-6 and the comparison of
 signatures with about 2e-6; only in crowded regions can more be lost.
@@ -101,33 +102,41 @@ def signature(found: np.ndarray) -> bytes:
     return ((least * _FACTORS[-1]) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
+def odd_sketch(found: np.ndarray) -> bytes:
+    """Two to four bits a shingle, at least 512: a bit is 1 if an odd number of the set's hashes fall on it."""
+    size = max(512, 1 << (2 * len(found) - 1).bit_length())
+    flips = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
 def prints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n (shingles), two sums that name the set, its signature, and a hash of the text."""
+    """doc_id, n (shingles), two sums that name the set, its signature and odd sketch, and a hash of the text."""
     rows = docs.select(F.col("`doc_id`").alias("doc_id"), F.xxhash64(F.col("`text`")).alias("text_hash"), F.col("`text`").cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            numbers, signatures = np.zeros((3, part.num_rows), dtype=np.uint64), []
+            numbers, signatures, sketches = np.zeros((3, part.num_rows), dtype=np.uint64), [], []
             for i, text in enumerate(part.column("text")):
                 found = shingles(text.as_py(), size)
                 mixed = found * _FACTORS[-2]
                 numbers[:, i] = len(found), found.sum(dtype=np.uint64), (mixed ^ (mixed >> np.uint64(29))).sum(dtype=np.uint64)
                 signatures.append(signature(found) if len(found) else None)
-            columns = [part.column("doc_id"), part.column("text_hash"), *map(pa.array, numbers.view(np.int64)), pa.array(signatures, pa.binary())]
-            yield pa.record_batch(columns, names=["doc_id", "text_hash", "n", "sum", "mixed", "signature"])
+                sketches.append(odd_sketch(found) if len(found) else None)
+            columns = [part.column("doc_id"), part.column("text_hash"), *map(pa.array, numbers.view(np.int64)), pa.array(signatures, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "n", "sum", "mixed", "signature", "sketch"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n long, sum long, mixed long, signature binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n long, sum long, mixed long, signature binary, sketch binary")
 
 
 def windows(classes: DataFrame) -> DataFrame:
-    """(window, id, order, n): the sets to compare. Sets that share a region with no other are in none."""
+    """(window, id, order, n, sketch): the sets to compare. Sets that share a region with no other are in none."""
     order = f"concat(substring(signature, 1 + {STRIDE} * tree), substring(signature, 1, {STRIDE} * tree))"
     trees = classes.select("id", "signature", F.expr(f"explode(sequence(0, {TREES - 1})) as tree"))
     keyed = trees.select("id", "tree", F.expr(f"substring({order}, 1, {SHARED}) as region"))
     shared = keyed.groupBy("tree", "region").count().where("count > 1")
     placed = written(keyed.join(shared, ["tree", "region"]).select("id", "tree", "count"), "regions")
-    rows = placed.join(classes.select("id", "signature", "n"), "id").select("tree", F.expr(f"{order} as order"), "id", "n", "count")
+    rows = placed.join(classes.select("id", "signature", "n", "sketch"), "id").select("tree", F.expr(f"{order} as order"), "id", "n", "sketch", "count")
     by = ["tree", "order", "id"]
     half = WINDOW // 2
 
@@ -155,25 +164,46 @@ def windows(classes: DataFrame) -> DataFrame:
             there, also = np.flatnonzero(own <= last), np.flatnonzero(own > 0)  # the last half has no window of its own
             rows = np.r_[there, also]
             window = (bases[of] + own)[rows] - np.r_[np.zeros(len(there), dtype=np.int64), np.ones(len(also), dtype=np.int64)]
-            taken = [batch.column(c).take(pa.array(rows)) for c in ("id", "order", "n")]
-            yield pa.record_batch([pa.array(window), *taken], names=["window", "id", "order", "n"])
+            taken = [batch.column(c).take(pa.array(rows)) for c in ("id", "order", "n", "sketch")]
+            yield pa.record_batch([pa.array(window), *taken], names=["window", "id", "order", "n", "sketch"])
+
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "window long, id long, order binary, n long, sketch binary")
+
 
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "window long, id long, order binary, n long")
+class Sketches:
+    """The odd sketches of a window, folded to the shorter of two where they differ in size."""
 
+    def __init__(self, sketches: list[bytes]):
+        self.bits, self.sizes, self.folded = sketches, np.array([len(s) for s in sketches]), {}
 
-def alike(orders: np.ndarray, labels: np.ndarray, n: np.ndarray, own: np.ndarray, most: int, percent: int = PERCENT) -> tuple[list[tuple[int, int]], bool]:
-    """Each row's ``most`` nearest candidates of another label, as pairs of places, and if a row had more.
+    def _at(self, size: int) -> np.ndarray:
+        if size not in self.folded:
+            rows = np.zeros((len(self.bits), size // 8), dtype=np.uint64)
+            for i in np.flatnonzero(self.sizes >= size):
+                rows[i] = np.bitwise_xor.reduce(np.frombuffer(self.bits[i], dtype=np.uint64).reshape(-1, size // 8), axis=0)
+            self.folded[size] = rows
+        return self.folded[size]
 
-    ``n`` are the sets' sizes, ``own`` how many shingles no other set has: those a pair can't share.
-    """
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """At least so many shingles are in one set only, of row i and each of the others."""
+        out, least = np.zeros(len(others), dtype=np.int64), np.minimum(self.sizes[others], self.sizes[i])
+        for size in np.unique(least):
+            rows, these = self._at(int(size)), least == size
+            out[these] = np.bitwise_count(rows[others[these]] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def alike(orders: np.ndarray, labels: np.ndarray, n: np.ndarray, sketches: Sketches, most: int, percent: int = PERCENT) -> tuple[list[tuple[int, int]], bool]:
+    """Each row's ``most`` nearest candidates of another label, as pairs of places, and if a row had more; ``n`` are the sets' sizes."""
     pairs, more = set(), False
     for at in range(0, len(orders), 64):
         these = slice(at, at + 64)
         equal = np.count_nonzero(orders[these, None, :] == orders[None, :, :], axis=2)
-        common = np.minimum((n - own)[these, None], (n - own)[None, :])
-        fits = (equal >= ALIKE) & (labels[these, None] != labels[None, :]) & (100 * common >= percent * (n[these, None] + n[None, :] - common))
+        fits = (equal >= ALIKE) & (labels[these, None] != labels[None, :])
         for i in np.flatnonzero(fits.any(axis=1)):
             near = np.flatnonzero(fits[i])
+            near = near[(100 + percent) * np.abs(n[near] - n[at + i]) <= (100 - percent) * (n[near] + n[at + i])]
+            near = near[(100 + percent) * sketches.apart(at + i, near) <= (100 - percent) * (n[near] + n[at + i])]
             if len(near) > most:
                 more = True
                 near = near[np.lexsort((np.abs(near - at - i), -equal[i, near]))[:most]]
@@ -182,16 +212,16 @@ def alike(orders: np.ndarray, labels: np.ndarray, n: np.ndarray, own: np.ndarray
 
 
 def candidates(found: DataFrame, most: int, percent: int) -> DataFrame:
-    """(window, a, b) of the candidates named in windows of (window, id, order, label, n, own); a row without a and b: there are more."""
+    """(window, a, b) of the candidates named in windows of (window, id, order, label, n, sketch); a row without a and b: there are more."""
 
     def search(window: pa.Table) -> pa.Table:
         window = window.sort_by([("order", "ascending"), ("id", "ascending")])
-        ids, labels, n, own = [window.column(c).to_numpy() for c in ("id", "label", "n", "own")]
+        ids, labels, n = [window.column(c).to_numpy() for c in ("id", "label", "n")]
         if (labels == labels[0]).all():
             pairs, more = [], False
         else:
             orders = np.frombuffer(b"".join(o.as_py() for o in window.column("order")), dtype=np.uint8).reshape(-1, MINIMA)
-            pairs, more = alike(orders, labels, n, own, most, percent)
+            pairs, more = alike(orders, labels, n, Sketches(window.column("sketch").to_pylist()), most, percent)
         a, b = [int(min(ids[i], ids[j])) for i, j in pairs], [int(max(ids[i], ids[j])) for i, j in pairs]
         of = pa.array([window.column("window")[0].as_py()] * (len(a) + more), pa.int64())
         return pa.table({"window": of, "a": pa.array([*a, *[None] * more], pa.int64()), "b": pa.array([*b, *[None] * more], pa.int64())})
@@ -223,21 +253,13 @@ def confirmed(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100L * both >= {percent}L * (total - both)").select("a", "b")
 
 
-def linkable(known: DataFrame, percent: int) -> DataFrame:
-    """(id, own): the sets that enough shingles tie to others, and how many shingles each has alone among ``known``."""
-    of = known.select("id", F.explode("shingles").alias("shingle"))
-    alone = of.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1").groupBy("id").agg(F.count("*").alias("own"))
-    counted = known.select("id", F.size("shingles").alias("n")).join(alone, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    return counted.where(f"100L * (n - own) >= {percent}L * n").select("id", "own")
-
-
 def links(docs: DataFrame, seen: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Confirmed pairs of classes that join every component, and (node, root) of the components."""
     spark = docs.sparkSession
     found = written(windows(classes), "windows")
     sure = spark.createDataFrame([], "a long, b long")
     tested, roots, most = sure, spark.createDataFrame([], "node long, root long"), 1
-    searched = found.withColumn("label", F.col("id")).withColumn("own", F.lit(0).cast("long"))
+    searched = found.withColumn("label", F.col("id"))
     while True:
         named = written(candidates(searched, most, percent), "candidates")
         fresh = named.where("a is not null").select("a", "b").distinct()
@@ -252,17 +274,15 @@ def links(docs: DataFrame, seen: DataFrame, classes: DataFrame, size: int, perce
         open_windows = written(named.where("a is null").select("window"), "open")
         if not open_windows.take(1):
             return sure, roots
-        if most == 1:
-            left = written(linkable(known, percent), "linkable")
         tested, most = tested.unionByName(fresh), 8 * most
-        searched = found.join(left, "id").join(open_windows, "window", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
-        searched = searched.select("window", "id", "order", "n", "own", F.coalesce("root", "id").alias("label"))
+        searched = found.join(open_windows, "window", "left_semi").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        searched = searched.select(*found.columns, F.coalesce("root", "id").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     seen = written(prints(docs, size), "prints")
-    same = ["n", "sum", "mixed", "signature"]
+    same = ["n", "sum", "mixed", "signature", "sketch"]
     classes = seen.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("least"), F.min("text_hash").alias("text_hash"))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     _, roots = links(docs, seen, classes, size, percent)
