@@ -176,3 +176,61 @@ def test_quantiles_of_tiny_and_crowded_values(spark):
     assert len(found) == len(sets)
     for row in found:
         assert [row[n] for n in wanted] == pytest.approx([float(np.quantile(sets[row["k"]], q)) for q in wanted.values()], rel=1e-12)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_wins_hashes_fixed_width_rows(spark):
+    """The packed key sorts as the struct does, nulls first, and no aggregate of the merges sorts its rows."""
+    from wattloom.operators.series import latest_wins, order_key, pivot_latest, upsert_measures, weather_latest
+    from wattloom.schemas import WEATHER
+
+    odd = spark.sql(
+        """select * from values (true, timestamp'2024-01-01', 5L), (true, timestamp'2024-01-01', -5L), (false, timestamp'9998-12-31', 9223372036854775807L),
+           (null, timestamp'0002-01-01', -9223372036854775808L), (true, null, 0L), (true, timestamp'2024-01-01', null), (false, timestamp'1969-12-31 23:59:59.999999', 0L) as t(b, t, n)"""
+    )
+    key = order_key(odd, "struct(b, t, n)")
+    assert key != "struct(b, t, n)"
+    plain = [tuple(r) for r in odd.orderBy("b", "t", "n").collect()]
+    assert [tuple(r) for r in odd.orderBy(F.expr(key)).collect()] == plain and odd.selectExpr(f"count(distinct {key})").first()[0] == 7
+    assert order_key(odd, "struct(cast(t as string), n)") == "struct(cast(t as string), n)" and order_key(odd, "t") == "t"
+    assert order_key(odd, "struct(n, n as m)") == "struct(n, n as m)"  # more than 38 digits
+
+    rows = spark.range(4000).selectExpr(
+        "timestamp_seconds((id % 50) * 3600) as period_utc", "concat('B', id % 3) as ba_code", "element_at(array('D', 'DF', 'NG', 'TI'), cast(id % 4 as int) + 1) as measure_code",
+        "if(id % 7 = 0, null, cast(id as double)) as value_mwh", "timestamp_seconds(pmod(xxhash64(id), 20)) as ingested_at_utc", "id as seq",
+        *[f"cast(id as double) as {c}" for c in WEATHER], "id % 2 = 0 as archived",
+    )
+    measures = rows.select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "seq")
+    merged, wide = upsert_measures(None, measures, ["seq"]), pivot_latest(measures, "struct(ingested_at_utc, seq)")
+    weather = weather_latest(rows, "struct(archived, ingested_at_utc, seq)")
+    for frame in (merged, wide, weather):
+        assert "HashAggregate" in _plan(frame) and "SortAggregate" not in _plan(frame) and "ObjectHashAggregate" not in _plan(frame)
+    measures.createOrReplaceTempView("all_measures")
+    ranked = spark.sql("select *, row_number() over (partition by ba_code, period_utc, measure_code order by ingested_at_utc desc, seq desc) as place from all_measures")
+    assert sorted(map(str, merged.collect())) == sorted(map(str, ranked.where("place = 1").drop("place").collect()))
+    named = latest_wins(measures.withColumn("note", F.lit("x")), ["ba_code", "period_utc", "measure_code"], ["ingested_at_utc", "seq"])
+    assert sorted(map(str, named.drop("note").collect())) == sorted(map(str, merged.collect()))
+
+
+def test_sliding_windows_over_chunk_borders(spark):
+    """Every window of a series of several chunks, a short one and one with a gap, against a loop."""
+    from wattloom.operators.chunking import chunk_size
+
+    n = 2 * chunk_size(168, 24) + 300
+    df = hourly(spark, range(n)).selectExpr("ba_code", "period_utc", "v", "-v as c").where("v <> 777")
+    short = hourly(spark, range(150)).selectExpr("'shrt' as ba_code", "period_utc", "v", "v as c")
+    found = sliding_windows(df.unionByName(short), "timestamp'2024-03-01'", "timestamp'2024-05-01'", past=["v", "c"], future=["c"], target="v")
+    rows = sorted((r["period_utc"], r["v"]) for r in df.collect())
+    splits = ["train" if str(p) < "2024-03-01" else "valid" if str(p) < "2024-05-01" else "test" for p, _ in rows]
+    expected = []
+    for split, stride in (("train", 12), ("valid", 12), ("test", 6)):
+        own = [i for i in range(168, len(rows)) if splits[i] == split]
+        for first in range(own[0], own[-1] + 1, stride):
+            if first + 24 <= len(rows):
+                past = [[rows[i][1], -rows[i][1]] for i in range(first - 168, first, 3)]
+                expected.append((split, first - 168, rows[first][0], past, [[-v] for _, v in rows[first : first + 24]], [v for _, v in rows[first : first + 24]]))
+    got = [(r["split"], r["start"], r["horizon_start"], r["past"], r["future"], r["target"]) for r in found.collect()]
+    assert sorted(got, key=lambda g: g[1]) == sorted(expected, key=lambda g: g[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.functions.scalars import hour_number
 from wattloom.operators.chunking import CHUNK, MIN_CHUNK, POSITION, Step, over_chunks
@@ -12,15 +13,61 @@ from wattloom.schemas import ARCHIVE_SOURCE, MEASURES, WEATHER
 MEASURE_KEY = ["ba_code", "period_utc", "measure_code"]
 
 
+#: Values of the types an order key is packed from: how many there are, and what makes the least of them 0.
+_MICROS = 62_135_596_800_000_000  # from the year 1 to 1970; six times as many reach beyond the year 9999
+_LONG = 1 << 63
+_PACKED = {
+    "boolean": (2, "cast({} as int)"),
+    "tinyint": (1 << 8, "{} + 128"),
+    "smallint": (1 << 16, "{} + 32768"),
+    "int": (1 << 32, "{} + 2147483648"),
+    "date": (1 << 32, "unix_date({}) + 2147483648"),
+    "timestamp": (6 * _MICROS, f"unix_micros({{}}) + {_MICROS}"),
+    "bigint": (2 * _LONG, f"cast({{}} as decimal(19, 0)) + {_LONG}BD"),
+}
+_FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "decimal")
+
+
+def _fields(kind: T.DataType, text: str) -> list[tuple[T.DataType, str]]:
+    if isinstance(kind, T.StructType):
+        return [leaf for f in kind.fields for leaf in _fields(f.dataType, f"{text}.{f.name}")]
+    return [(kind, text)]
+
+
+def order_key(df: DataFrame, order: str) -> str:
+    """SQL text of one decimal that sorts as the struct ``order`` does, nulls first; any other ``order`` stays as it is.
+
+    An aggregate whose buffers are all of fixed width hashes; with a struct among them it would sort
+    every row first. A struct that has other parts, or more values than 38 digits, stays a struct.
+    """
+    kind = df.selectExpr(f"{order} as o").schema["o"].dataType
+    if not isinstance(kind, T.StructType):
+        return order
+    digits, values = "0BD", 1
+    for part, text in _fields(kind, f"({order})"):
+        whole = isinstance(part, T.DecimalType) and part.scale == 0
+        if not whole and part.simpleString() not in _PACKED:
+            return order
+        many, shift = (2 * 10**part.precision, f"{{}} + {10**part.precision}BD") if whole else _PACKED[part.simpleString()]
+        values *= many + 1
+        digits = f"cast(({digits}) * {many + 1}BD + coalesce(cast({shift.format(text)} + 1 as decimal(38, 0)), 0BD) as decimal(38, 0))"
+    return digits if values < 10**38 else order
+
+
 def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep, per key, the whole row that is last in ``order``.
 
     An aggregate rather than a ranking window: duplicates collapse before the shuffle, so a key
-    with very many copies costs one row per input task.
+    with very many copies costs one row per input task. Rows of fixed-width columns collapse in a
+    hash table; a row with a string or a nested column is one struct, and is sorted.
     """
-    rest = [c for c in df.columns if c not in keys]
-    rank = ", ".join(f"{o} as o{i}" for i, o in enumerate(order))
-    picked = df.groupBy(*keys).agg(F.expr(f"max_by(struct({', '.join(rest)}), struct({rank}))").alias("_row"))
+    rest = [f.name for f in df.schema if f.name not in keys]
+    rank = order_key(df, f"struct({', '.join(f'{o} as o{i}' for i, o in enumerate(order))})")
+    if not rank.startswith("struct(") and all(df.schema[c].dataType.simpleString().split("(")[0] in _FIXED_WIDTH for c in rest):
+        ranked = df.selectExpr("*", f"{rank} as _rank")
+        picked = ranked.groupBy(*keys).agg(*[F.expr(f"max_by({c}, _rank)").alias(c) for c in rest])  # all see the same rows in the same order
+        return picked.select(*df.columns)
+    picked = df.groupBy(*keys).agg(F.expr(f"max_by(struct({', '.join(rest)}), {rank})").alias("_row"))
     return picked.selectExpr(*[c if c in keys else f"_row.{c} as {c}" for c in df.columns])
 
 
@@ -56,11 +103,9 @@ def pivot_latest(bronze: DataFrame, arrival: str) -> DataFrame:
     collapse before the shuffle, and unused measures are pruned.
     """
 
-    def when(code: str, value: str) -> str:
-        return f"case when measure_code = '{code}' then {value} end"
-
-    return bronze.groupBy("ba_code", "period_utc").agg(
-        *[F.expr(f"max_by(value_mwh, {when(code, arrival)})").alias(c) for code, c in MEASURES.items()]
+    ranked = bronze.selectExpr("ba_code", "period_utc", "measure_code", "value_mwh", f"{order_key(bronze, arrival)} as _rank")
+    return ranked.groupBy("ba_code", "period_utc").agg(
+        *[F.expr(f"max_by(value_mwh, case when measure_code = '{code}' then _rank end)").alias(c) for code, c in MEASURES.items()]
     )
 
 
@@ -69,7 +114,8 @@ def weather_latest(records: DataFrame, arrival: str, columns: list[str] | tuple[
 
     ``arrival`` already puts the archive above the forecast.
     """
-    return records.groupBy("ba_code", "period_utc").agg(*[F.expr(f"max_by({c}, {arrival})").alias(c) for c in columns])
+    ranked = records.selectExpr("ba_code", "period_utc", *columns, f"{order_key(records, arrival)} as _rank")
+    return ranked.groupBy("ba_code", "period_utc").agg(*[F.expr(f"max_by({c}, _rank)").alias(c) for c in columns])
 
 
 def series_bounds(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.operators.chunking import with_ordinal
+from wattloom.operators.chunking import CHUNK, chunk_size, with_ordinal
 from wattloom.operators.quantiles import grouped_quantiles
 from wattloom.schemas import HORIZON, LOOKBACK
 
@@ -96,9 +96,10 @@ def sliding_windows(
     """Training windows: every third past hour, the known future, and the target hours.
 
     A window is positioned by the row its forecast starts at and belongs to the split of that
-    hour; it exists only with all ``lookback + horizon`` rows. The chosen windows follow from the
-    first row number of each split, so each row is sent only to the windows that will hold it,
-    and a group is one window. ``require_contiguous`` drops windows that span a gap in time.
+    hour; it exists only with all ``lookback + horizon`` rows. Each (key, chunk of rows) is packed
+    once into one sorted array, with the border rows its windows reach borrowed from the chunks
+    beside it, and the windows are slices of that array: a row is shuffled once, or twice near a
+    border, however many windows hold it. ``require_contiguous`` drops windows that span a gap in time.
     """
     past, future = past or PAST_CHANNELS, future or FUTURE_CHANNELS
     strides = {"train": train_stride, "valid": train_stride, "test": test_stride}
@@ -114,33 +115,39 @@ def sliding_windows(
         ],
     )
 
+    size = chunk_size(lookback, horizon)
+
     def starts(s: str, stride: int) -> str:
-        low = f"greatest(_min_{s}, ordinal - {horizon - 1})"
-        aligned = f"_min_{s} + cast(ceil(({low} - _min_{s}) / {stride}) as bigint) * {stride}"
-        high = f"least(_max_{s}, _last - {horizon - 1}, ordinal + {lookback})"
-        return f"""case when _min_{s} is not null and {aligned} <= {high}
-            then transform(sequence({aligned}, {high}, {stride}L), o -> struct('{s}' as split, o as first))
+        low = f"_min_{s} + cast(ceil((greatest(_min_{s}, {CHUNK} * {size}) - _min_{s}) / {stride}) as bigint) * {stride}"
+        high = f"least(_max_{s}, _last - {horizon - 1}, ({CHUNK} + 1) * {size} - 1)"
+        return f"""case when _min_{s} is not null and {low} <= {high}
+            then transform(sequence({low}, {high}, {stride}L), o -> struct('{s}' as split, o as first))
             else array() end"""
 
     def vector(columns: list[str]) -> str:
         return f"array({', '.join(f'cast({c} as float)' for c in columns)})"
 
-    placed = (
-        rows.join(spans, "ba_code")
-        .selectExpr(
-            "ba_code", "period_utc", "ordinal",
-            f"{vector(past)} as _past", f"{vector(future)} as _future", f"cast({target} as float) as _target",
-            f"inline(concat({', '.join(starts(s, n) for s, n in strides.items())}))",
+    packed = (
+        rows.selectExpr(
+            "ba_code", f"struct(ordinal, period_utc as at, {vector(past)} as past, {vector(future)} as future, cast({target} as float) as target) as _row",
+            f"explode(sequence(greatest(ordinal - {horizon - 1}, 0L) div {size}, (ordinal + {lookback}) div {size})) as {CHUNK}",
         )
-        .where(f"ordinal >= first or (ordinal - first + {lookback}) % {ENCODER_STRIDE} = 0")
+        .groupBy("ba_code", CHUNK)
+        .agg(F.expr("sort_array(collect_list(_row))").alias("_rows"))
+        .join(spans, "ba_code")
     )
-    gathered = placed.groupBy("ba_code", "split", "first").agg(
-        F.expr("sort_array(collect_list(case when ordinal < first then struct(ordinal, _past as v) end)).v").alias("past"),
-        F.expr("sort_array(collect_list(case when ordinal >= first then struct(ordinal, _future as v) end)).v").alias("future"),
-        F.expr("sort_array(collect_list(case when ordinal >= first then struct(ordinal, _target as v) end)).v").alias("target"),
-        F.expr("min(case when ordinal = first then period_utc end)").alias("horizon_start"),
-        F.min("period_utc").alias("_begin"),
-        F.max("period_utc").alias("_end"),
+
+    def at(place: str) -> str:
+        return f"_rows[cast({place} - _rows[0].ordinal as int)]"
+
+    ahead = f"slice(_rows, cast(w.first - _rows[0].ordinal as int) + 1, {horizon})"
+    gathered = packed.selectExpr(
+        "ba_code",
+        f"""inline(transform(concat({', '.join(starts(s, n) for s, n in strides.items())}), w -> named_struct(
+            'split', w.split, 'first', w.first, 'horizon_start', {at('w.first')}.at,
+            'past', transform(sequence(w.first - {lookback}, w.first - 1, {ENCODER_STRIDE}L), o -> {at('o')}.past),
+            'future', transform({ahead}, r -> r.future), 'target', transform({ahead}, r -> r.target),
+            '_begin', {at(f'w.first - {lookback}')}.at, '_end', {at(f'w.first + {horizon - 1}')}.at)))""",
     )
     if require_contiguous:
         gathered = gathered.where(f"unix_seconds(_end) - unix_seconds(_begin) = {(lookback + horizon - 1) * 3600}")

@@ -49,8 +49,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"timestamp_seconds(unix_seconds(timestamp'{SERIES_START}') + {step} * 3600) as period_utc",
         "cast(l_shipdate as timestamp) as ingested_at_utc",
         # Order and line, and the part for records that share both: which of several records of an
-        # hour came last, whatever the number of parts.
-        "struct(l_orderkey * 8 + l_linenumber as line, l_partkey as part) as arrival",
+        # hour came last, up to 10 ** 15 parts. One number, so that the merges hash.
+        "cast(cast(l_orderkey * 8 + l_linenumber as decimal(19, 0)) * 1000000000000000BD + l_partkey as decimal(34, 0)) as arrival",
     )
 
 
