@@ -43,6 +43,42 @@ def test_features_of_lines():
     assert not features[4, quality.OWN : 3 * quality.OWN].any()
 
 
+def test_pieces_score_as_the_whole():
+    """A text in pieces of any number of lines: the sums over labels, the borders' features and the repeated lines are the whole's."""
+    draw = random.Random(5)
+    rng = np.random.default_rng(5)
+    model = rng.normal(size=quality.FEATURES), rng.normal(size=(2, 2))
+    for lines in (1, 2, 3, 40, 701):
+        text = "\n".join(draw.choice([GOOD, BAD, "", "x" * draw.randint(0, 30), "same line"]) for _ in range(lines)).encode()
+        whole = quality.scored(model, [text])[0]
+        for piece in (1, 2, 7, 100, 5000):
+            assert abs(quality.long_score(model, text, piece) - whole) < 1e-9
+
+
+def test_millions_of_lines_take_bounded_memory():
+    import subprocess
+    import sys
+
+    code = (
+        "import numpy as np, resource; from wattloom.llm import quality\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "model = np.random.default_rng(1).normal(size=quality.FEATURES), np.ones((2, 2))\n"
+        "blank, short = quality.scored(model, [b'\\n' * 5_000_000, b'ab\\n' * 1_000_000])\n"
+        "assert 0 <= blank <= 1 and 0 <= short <= 1\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=True)
+    assert int(out.stdout) < 400_000  # kB
+
+
+def test_joined_texts_score_between_their_parts(spark):
+    """Lines of both kinds in one text: the score follows the share of good lines."""
+    docs, labels = _labelled(spark, lambda good, draw: "\n".join([GOOD if good else BAD] * draw.randint(2, 6)))
+    model = quality.train(docs, labels)
+    shares = [quality.scored(model, ["\n".join([GOOD] * k + [BAD] * (8 - k)).encode()])[0] for k in (0, 2, 4, 6, 8)]
+    assert shares == sorted(shares) and shares[0] < 0.1 < shares[1] < shares[3] < 0.95 < shares[4]
+
+
 def _labelled(spark, make, n=240):
     rows, labels = [], []
     for i in range(n):
