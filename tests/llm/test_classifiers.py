@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 
@@ -142,3 +143,17 @@ def test_toxicity_of_odd_rows(odd_docs, no_docs, no_labels):
     rows = toxicity.rated(odd_docs, model).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r["score"] < 0.5 and r["predicted"] == 0 for r in rows)
     assert toxicity.rated(no_docs, model).count() == 0
+
+
+def test_samples_take_an_id_once(spark):
+    """One id on thousands of rows gives one text, and does not push the others of its label out."""
+    from wattloom.llm.common import labelled_sample
+    from wattloom.llm.labelled import labelled_texts
+
+    many = spark.range(20_000).selectExpr("1L as doc_id", "concat('text ', id) as text", "'xx' as lang")
+    docs = many.unionByName(spark.range(2, 80).selectExpr("id as doc_id", "concat('row ', id) as text", "'xx' as lang"))
+    labels = spark.range(1, 80).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    drawn = labelled_texts(docs, labels, "quality", 100)
+    assert len(drawn) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 80))
+    rows = labelled_sample(docs.selectExpr("doc_id", "cast(text as binary) as text", "lang as label"), 200)
+    assert len(rows) == 79 and [bytes(r["text"]) for r in rows if r["doc_id"] == 1] == [b"text 0"]

@@ -69,16 +69,18 @@ def labelled_sample(rows: DataFrame, per_label: int) -> list:
     """About ``per_label`` rows of each label (at most twice as many), chosen by a hash of the id.
 
     ``rows`` has doc_id, text (binary) and label. Rows without id, text or label are neither counted nor
-    sampled; of a long text the first SAMPLE_TEXT_BYTES are. The bounds make the collected size
+    sampled; of a long text the first SAMPLE_TEXT_BYTES are. Ids are counted and drawn, not rows: an id
+    on several rows gives a label one text, the smallest. The bounds make the collected size
     independent of the table.
     """
     usable = rows.where("text is not null and label is not null and doc_id is not null")
-    counts = usable.groupBy("label").count()
+    counts = usable.select("label", "doc_id").distinct().groupBy("label").count()
     chosen = (
         usable.withColumn("rank", F.expr("pmod(xxhash64(doc_id, 'sample'), 1000000007L) / 1000000007D"))
         .join(F.broadcast(counts.withColumnRenamed("label", "of")), F.col("label") == F.col("of"))  # a row a label; more rows than that are collected
         .where(F.col("rank") < per_label / F.col("count"))
-        .select("rank", "doc_id", "label", sampled_bytes().alias("text"))
+        .groupBy("rank", "doc_id", "label")
+        .agg(F.min(sampled_bytes()).alias("text"))
     )
     found: dict = {}
     cut = [Row(**(r.asDict() | {"text": unbroken(bytes(r["text"]))})) for r in chosen.collect()]

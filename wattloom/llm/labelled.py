@@ -13,7 +13,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, per_label: i
     """(label, text) of about ``per_label`` documents of each label, outside the held-out fold.
 
     Ids are drawn among those that have a text, by a hash, at most twice ``per_label`` of each; their
-    texts are then fetched, of a long one the first SAMPLE_TEXT_BYTES.
+    texts are then fetched, of a long one the first SAMPLE_TEXT_BYTES, of an id on several rows the
+    smallest of these. So at most twice ``per_label`` texts of each label reach the driver.
     Repeated label rows of an id count once; an id with both labels is left out.
     """
     known = labels.where(f"`{column}` in (0, 1) and doc_id is not null").where(fold(modulus) != held_out)
@@ -30,5 +31,5 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, per_label: i
     ids = [(row["doc_id"], row["label"]) for rows in drawn.values() for row in rows[: 2 * per_label]]
     chosen = docs.sparkSession.createDataFrame(ids, f"_id {labels.schema['doc_id'].dataType.simpleString()}, _label int")
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
-    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_label", sampled_bytes().alias("text")).collect()
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id", "_label").agg(F.min(sampled_bytes()).alias("text")).collect()
     return [(r["_label"], unbroken(bytes(r["text"]))) for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["text"])))]
