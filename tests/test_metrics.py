@@ -104,3 +104,29 @@ def test_holt_winters_follows_trend_and_season_and_falls_back(spark):
         i = 24 * 30 + step - 1
         assert value == pytest.approx(1000 + 0.5 * i + 100 * math.sin(2 * math.pi * (i % 24) / 24), rel=0.01)
     assert {r["method"] for r in got.where("ba_code = 'B'").collect()} == {"seasonal_mean"} and got.count() == 48
+
+
+def test_holt_winters_weights_are_never_worse_than_the_grid():
+    import itertools
+
+    import numpy as np
+
+    from wattloom.operators import smoothing
+
+    draw = np.random.default_rng(3)
+    hours = np.arange(24 * 20)
+    grid = np.array(list(itertools.product(smoothing.LEVEL, smoothing.TREND, smoothing.SEASON)))
+    for noise, drift in ((0.0, 0.0), (3.0, 0.1), (12.0, 0.0)):
+        values = 100 + drift * hours + 20 * np.sin(2 * np.pi * hours / 24) + np.cumsum(draw.normal(0, 0.3 * noise, len(hours))) + draw.normal(0, noise, len(hours))
+        best = smoothing.fitted_weights(values, 24)
+        assert (best >= 0).all() and (best <= 1).all()
+        error, least = smoothing.fold(values, 24, best[None])[0][0], smoothing.fold(values, 24, grid)[0].min()
+        assert error <= least and (noise == 0 or error < least)
+    # weights the series was made with are found again, nearly
+    level, season = 120.0, np.zeros(24)
+    made = []
+    for t in range(24 * 60):
+        shock = draw.normal()
+        made.append(level + season[t % 24] + shock)
+        level, season[t % 24] = level + 0.33 * shock, season[t % 24] + 0.12 * (1 - 0.33) * shock
+    assert abs(smoothing.fitted_weights(np.array(made), 24)[0] - 0.33) < 0.1

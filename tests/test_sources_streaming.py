@@ -209,3 +209,31 @@ def test_too_late_readings_are_dropped_and_runs_go_on(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out").orderBy("period_utc").collect()
     assert [(r["demand_mwh"], r["flag_extreme_ramp"]) for r in got][:3] == [(10.0, None), (10.0, False), (20.0, True)]
     assert 99.0 not in [r["demand_mwh"] for r in got]
+
+
+def test_merge_reads_touched_folders_only(spark, tmp_path):
+    """The scan's file count is that of the folders a batch touches; new folders and many of them work, too."""
+    from wattloom.streaming import ingest
+
+    rows = spark.range(24 * 200).selectExpr(
+        "timestamp_seconds(unix_seconds(timestamp'2024-01-01') + id * 3600) as period_utc", "concat('B', id % 4) as ba_code", "'D' as measure_code",
+        "cast(id as double) as value_mwh", "timestamp'2024-09-01' as ingested_at_utc",
+    )
+    root, staging = str(tmp_path / "lake"), str(tmp_path / "staging")
+    ingest.merge_batch(rows, root, staging, 0)
+    fresh = rows.where("ba_code = 'B1' and period_utc between timestamp'2024-03-05' and timestamp'2024-04-02'").selectExpr(
+        "period_utc", "ba_code", "measure_code", "-value_mwh as value_mwh", "timestamp'2024-09-02' as ingested_at_utc"
+    )
+    touched = fresh.selectExpr("ba_code as ba", "date_format(period_utc, 'yyyy-MM') as month").distinct()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = ingest.touched_partitions(spark, root, touched)
+        plan = read._jdf.queryExecution().executedPlan()
+        assert read._jdf.collectAsList().size() == 31 * 6 + 30 * 6
+        leaf = plan.collectLeaves().head()
+        assert leaf.metrics().apply("numFiles").value() == 2 and leaf.metrics().apply("numPartitions").value() == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    ingest.merge_batch(fresh, root, staging, 1)
+    merged = spark.read.parquet(root)
+    assert merged.count() == rows.count() and merged.where("value_mwh < 0").count() == fresh.count()

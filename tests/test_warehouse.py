@@ -126,3 +126,26 @@ def test_a_stored_silver_table_gives_the_same_fact(gold):
     again = build_fact(gold["silver_grid_hourly"], gold["dim_date"], demand_bounds(gold["silver_grid_hourly"]))
     fact = gold["fact_demand_hourly"]
     assert again.select(*fact.columns).exceptAll(fact).count() == 0 and again.count() == fact.count()
+
+
+def test_compiled_tests_read_a_table_once(spark, tmp_path):
+    """Counts of every kind of test against known faults, and one scan a table."""
+    from wattloom.plans import table_tests as tt
+
+    spark.sql("select * from values (1, 'a', 5.0D), (1, 'a', -1.0D), (2, null, null), (3, 'z', 7.0D), (null, 'b', 2.0D), (null, 'b', 2.0D) as t(k, c, v)").write.parquet(str(tmp_path / "t"))
+    spark.sql("select * from values ('a'), ('b') as o(c)").write.parquet(str(tmp_path / "o"))
+    tables = {"t": spark.read.parquet(str(tmp_path / "t")), "o": spark.read.parquet(str(tmp_path / "o"))}
+    row_tests = [*tt.not_null("t", "k", "v"), *tt.accepted_range("t", "v", 0, 6), *tt.accepted_range("t", "v", low=2, inclusive=False), *tt.accepted_values("t", "c", ["a", "b"])]
+    expected = {"not_null t.k": 2, "not_null t.v": 1, "accepted_values t.c": 1}
+    for grouping, failed in ((tt.unique("t", "k"), 2), (tt.unique("t", "k", "c", "v"), 1), (tt.relationship("t", "c", "o", "c"), 1), ([], None)):
+        found = tt.compiled([*row_tests, *grouping], tables)
+        rows = [(r["test"], r["failed"]) for r in found.collect()]
+        counts = dict(rows)
+        assert len(rows) == len(row_tests) + len(grouping)
+        assert expected.items() <= counts.items() and sorted(f for n, f in rows if n == "accepted_range t.v") == [2, 3]
+        if grouping:
+            assert counts[grouping[0].name] == failed
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 + sum(t.known is not None for t in grouping)
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r["failed"] for r in tt.compiled([*row_tests, *tt.unique("t", "k"), *tt.relationship("t", "c", "o", "c")], empty).collect()} == {0}

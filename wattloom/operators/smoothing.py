@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from wattloom.operators.chunking import CHUNK, MIN_CHUNK
 from wattloom.plans.baselines import seasonal_mean
 
-# Candidate smoothing weights of level, trend and season.
+# Smoothing weights of level, trend and season that a fit starts from.
 LEVEL, TREND, SEASON = (0.05, 0.2, 0.5, 0.8), (0.0, 0.01, 0.1), (0.05, 0.2, 0.5)
 MIN_SEASONS = 3
+#: Passes over a series after the start.
+SEARCH_ROUNDS = 12
 
 
-def smooth(values: np.ndarray, season: int, horizon: int) -> np.ndarray:
-    """Forecast with the candidate weights whose one-step errors are smallest; all run side by side."""
-    weights = np.array(list(itertools.product(LEVEL, TREND, SEASON)))
+def fold(values: np.ndarray, season: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Summed squared one-step errors, and last level, trend and pattern, of each row of weights; all run side by side."""
     a, b, g = weights.T
     first, second = values[:season], values[season : 2 * season]
     n = len(weights)
@@ -41,9 +42,36 @@ def smooth(values: np.ndarray, season: int, horizon: int) -> np.ndarray:
         pattern[:, i] = g * (y - ahead) + (1 - g) * old
         trend = b * (new_level - level) + (1 - b) * trend
         level = new_level
-    best = int(np.argmin(squared))
+    return squared, level, trend, pattern
+
+
+def fitted_weights(values: np.ndarray, season: int) -> np.ndarray:
+    """Weights in [0, 1] with the smallest one-step errors found: the best of the start grid, moved by a narrowing search.
+
+    A round tries every neighbour of the best weights at the present step in one pass over the series;
+    without a gain the step is a third. So the error is never above the grid's.
+    """
+    tried = np.array(list(itertools.product(LEVEL, TREND, SEASON)))
+    errors = fold(values, season, tried)[0]
+    best, least, step = tried[int(np.argmin(errors))], float(errors.min()), np.array([0.15, 0.05, 0.15])
+    moves = np.array([m for m in itertools.product((-1, 0, 1), repeat=3) if any(m)])
+    for _ in range(SEARCH_ROUNDS):
+        tried = np.clip(best + moves * step, 0, 1)
+        errors = fold(values, season, tried)[0]
+        if errors.min() < least:
+            best, least = tried[int(np.argmin(errors))], float(errors.min())
+        else:
+            step = step / 3
+            if step.max() < 1e-3:
+                break
+    return best
+
+
+def smooth(values: np.ndarray, season: int, horizon: int) -> np.ndarray:
+    """Forecast with the fitted weights."""
+    _, level, trend, pattern = fold(values, season, fitted_weights(values, season)[None, :])
     steps = np.arange(1, horizon + 1)
-    return level[best] + steps * trend[best] + pattern[best][(len(values) + steps - 1) % season]
+    return level[0] + steps * trend[0] + pattern[0][(len(values) + steps - 1) % season]
 
 
 def holt_winters(frame: DataFrame, horizon: int, season: int = 24, target: str = "demand_mwh") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.operators.series import upsert_measures
@@ -11,6 +12,21 @@ from wattloom.session import remove
 from wattloom.sources.lake import folder_has_data
 
 LAKE_KEYS = ["ba", "month"]
+#: Folders that a batch names one by one; a batch that touches more is joined to the folders' list.
+MOST_FOLDERS = 10_000
+
+
+def touched_partitions(spark: SparkSession, root: str, touched: DataFrame) -> DataFrame:
+    """The stored rows of the (ba, month) folders in ``touched``; no file of another folder is listed for the scan.
+
+    A semi-join would read the whole lake, as nothing makes Spark prune by it; a list of folders is a
+    partition filter. The list is a row a folder of one batch.
+    """
+    stored = spark.read.schema(_lake_schema()).parquet(root)
+    named = touched.select(*LAKE_KEYS).distinct().limit(MOST_FOLDERS + 1).collect()
+    if len(named) > MOST_FOLDERS:
+        return stored.join(touched, LAKE_KEYS, "left_semi")
+    return stored.where(F.concat_ws("/", *LAKE_KEYS).isin(["/".join(r[c] or "" for c in LAKE_KEYS) for r in named]))
 
 
 def merge_batch(fresh: DataFrame, root: str, staging: str, batch_id: int) -> None:
@@ -25,8 +41,7 @@ def merge_batch(fresh: DataFrame, root: str, staging: str, batch_id: int) -> Non
     touched = fresh.select(*LAKE_KEYS).distinct()
     existing = None
     if folder_has_data(spark, root):
-        stored = spark.read.schema(_lake_schema()).parquet(root)
-        existing = stored.join(touched, LAKE_KEYS, "left_semi")
+        existing = touched_partitions(spark, root, touched)
     merged = upsert_measures(existing, fresh).select(*BRONZE_MEASURES.fieldNames(), *LAKE_KEYS)
     merged.write.mode("overwrite").partitionBy(*LAKE_KEYS).parquet(f"{staging}/batch={batch_id}")
     (
