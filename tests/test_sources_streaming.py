@@ -211,6 +211,20 @@ def test_too_late_readings_are_dropped_and_runs_go_on(spark, tmp_path):
     assert 99.0 not in [r["demand_mwh"] for r in got]
 
 
+def test_state_written_follows_the_batch_not_the_waiting_readings(spark, tmp_path):
+    def land(name, rows):
+        rows.selectExpr("ba_code", "timestamp'2024-01-01' + make_interval(0,0,0,0,0,i,0) as period_utc", "1D as demand_mwh").coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+
+    land("a", spark.range(600).selectExpr("'A' as ba_code", "cast(id as int) as i"))
+    land("b", spark.sql("select 'A' as ba_code, 700 as i"))  # ten minutes on: all still wait
+    stream = flags.flag_on_arrival(spark.readStream.schema(SHORT).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*"))
+    query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    written = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert written[0] >= 600 and 0 < written[1] < 10
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 0
+
+
 def test_merge_reads_touched_folders_only(spark, tmp_path):
     """The scan's file count is that of the folders a batch touches; new folders and many of them work, too."""
     from wattloom.streaming import ingest
