@@ -9,7 +9,7 @@ from wattloom.operators.series import pivot_measures, series_bounds
 from wattloom.plans.baselines import spine_breaks
 from wattloom.plans.marts import build_marts
 from wattloom.plans.table_tests import model_tests
-from wattloom.plans.warehouse import build_dim_date, build_gold
+from wattloom.plans.warehouse import build_dim_date, build_gold, build_silver
 from wattloom.registry import AUTHORITIES, authorities
 from wattloom.schemas import DIM_BA, assert_columns
 
@@ -149,3 +149,19 @@ def test_compiled_tests_read_a_table_once(spark, tmp_path):
         assert plan.count("Relation [") == 1 + sum(t.known is not None for t in grouping)
     empty = {name: df.limit(0) for name, df in tables.items()}
     assert {r["failed"] for r in tt.compiled([*row_tests, *tt.unique("t", "k"), *tt.relationship("t", "c", "o", "c")], empty).collect()} == {0}
+
+
+def test_clock_changes_of_zones_with_and_without_daylight_saving(spark):
+    from wattloom.plans.diagnostics import clock_changes
+
+    rows = spark.range(24 * 366).selectExpr("timestamp'2024-01-01' + make_interval(0,0,0,0,cast(id as int),0,0) as period_utc", "cast(id as double) as demand_mwh")
+    keys = spark.createDataFrame([("E", "America/New_York"), ("P", "America/Los_Angeles"), ("A", "America/Phoenix")], "ba_code string, timezone string")
+    wide = rows.join(keys.select("ba_code").hint("broadcast")).selectExpr(
+        "*", "demand_mwh as demand_forecast_mwh", "demand_mwh as net_generation_mwh", "demand_mwh as total_interchange_mwh"
+    )
+    found = clock_changes(build_silver(wide, keys)).orderBy("ba_code", "date_local").collect()
+    days = [(r["ba_code"], str(r["date_local"]), r["hours_in_day"], r["hours_repeated"], r["offset_before"], r["offset_after"]) for r in found]
+    assert days == [
+        ("E", "2024-03-10", 23, 0, -5, -4), ("E", "2024-11-03", 25, 1, -4, -5),
+        ("P", "2024-03-10", 23, 0, -8, -7), ("P", "2024-11-03", 25, 1, -7, -8),
+    ]

@@ -19,6 +19,8 @@ EVENT_ARRIVAL = "struct(ingested_at_utc, seq)"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: The texts as registered, without the shared steps before them.
+BODIES: dict[str, str] = {}
 VIEWS: dict[str, str] = {}
 
 
@@ -53,18 +55,18 @@ def register(name: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
-            SQL[name] = with_views(sql)
+            BODIES[name], SQL[name] = sql, with_views(sql)
         return function
 
     return wrap
 
 
-def feeder_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot_latest(adapters.feeder_measures(spark, sf_dir), "arrival")
+def feeder_wide(spark: SparkSession, sf_dir: str, civil: bool = False) -> DataFrame:
+    return pivot_latest(adapters.feeder_measures(spark, sf_dir, civil), "arrival")
 
 
-def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = adapters.feeder_weather(spark, sf_dir)
+def feeder_weather(spark: SparkSession, sf_dir: str, civil: bool = False) -> DataFrame:
+    records = adapters.feeder_weather(spark, sf_dir, civil)
     return weather_latest(records, f"struct(source = '{ARCHIVE_SOURCE}' as archived, arrival)")
 
 
@@ -99,17 +101,17 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], dict[
     return _BUILT[key]
 
 
-def feeder_gold(spark: SparkSession, sf_dir: str) -> Stored:
-    """The gold tables of the feeder lake."""
+def feeder_gold(spark: SparkSession, sf_dir: str, civil: bool = False) -> Stored:
+    """The gold tables of the feeder lake, or of the one over a civil year."""
 
     def build():
-        wide = written(feeder_wide(spark, sf_dir), "measures_wide")
+        wide = written(feeder_wide(spark, sf_dir, civil), "measures_wide")
         dim = written(adapters.feeder_dimension(spark, sf_dir), "dim_ba")
-        gold = build_gold(wide, dim, feeder_weather(spark, sf_dir))
+        gold = build_gold(wide, dim, feeder_weather(spark, sf_dir, civil))
         fact = written(gold["fact_demand_hourly"], "fact_demand_hourly")
         return {**gold, "fact_demand_hourly": fact, "fact_forecast_accuracy": build_accuracy(fact)}
 
-    return _once(spark, sf_dir, "feeder", build)
+    return _once(spark, sf_dir, "civil" if civil else "feeder", build)
 
 
 def feeder_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -269,7 +271,7 @@ _OFFSET = """to_hours(CASE d.timezone WHEN 'America/New_York' THEN -5 WHEN 'Amer
                            WHEN 'America/Denver' THEN -7 ELSE -8 END)"""
 
 
-def _silver(spine: str, wide: str, dim: str, weather: str | None) -> str:
+def _silver(spine: str, wide: str, dim: str, weather: str | None, offset: str = _OFFSET) -> str:
     """Hours with their local clock, then the readings of the hour and of the two hours before it, by joins on the hour."""
     names = (
         "temperature_2m", "relative_humidity_2m", "dew_point_2m", "apparent_temperature",
@@ -284,7 +286,7 @@ def _silver(spine: str, wide: str, dim: str, weather: str | None) -> str:
 
     return f"""
     WITH clock AS (
-        SELECT ba_code, period_utc, timezone, period_utc + {_OFFSET} AS period_local FROM {spine} JOIN {dim} d USING (ba_code)
+        SELECT ba_code, period_utc, timezone, period_utc + {offset} AS period_local FROM {spine} JOIN {dim} d USING (ba_code)
     ), read AS (
         SELECT *, true AS was_read FROM {wide}
     )
@@ -389,6 +391,34 @@ view("feed_bounds", _bounds("feed_silver"))
 view("feed_fact", _fact("feed_silver", "feed_dates", "feed_bounds"))
 view("feed_accuracy", _accuracy("feed_fact"))
 
+# --------------------------------------------------------------------------- the feeder lake over a civil year
+
+
+def civil(text: str) -> str:
+    """A step of the feeder lake on the civil feed: the same records at other hours."""
+    hours = "TIMESTAMP '2023-02-01 00:00:00' + to_hours(4 * step + l_orderkey % 4) AS period_utc"
+    text = text.replace("TIMESTAMP '2022-11-07 00:00:00' + to_hours(step) AS period_utc", hours)
+    return re.sub(r"\bfeed_(?!dim\b)", "civil_", text)
+
+
+def sunday(month: int, first: int) -> str:
+    """The first Sunday from a day of a month on, in the year of the hour."""
+    day = f"make_date(year(period_utc), {month}, {first})"
+    return f"({day} + CAST(7 - isodow({day}) AS INTEGER))::TIMESTAMP"
+
+
+# Daylight saving begins at two, standard time, on the second Sunday of March, and ends at two, daylight time,
+# on the first of November.
+STANDARD = "CASE d.timezone WHEN 'America/New_York' THEN 5 WHEN 'America/Chicago' THEN 6 WHEN 'America/Denver' THEN 7 ELSE 8 END"
+_CIVIL_OFFSET = f"""to_hours(CASE WHEN period_utc >= {sunday(3, 8)} + to_hours(2 + {STANDARD})
+                               AND period_utc < {sunday(11, 1)} + to_hours(1 + {STANDARD}) THEN 1 ELSE 0 END - {STANDARD})"""
+
+for _step in ("lines", "values", "long", "latest", "wide", "weather_all", "weather", "spine"):
+    view(f"civil_{_step}", civil(VIEWS[f"feed_{_step}"]))
+view("civil_silver", _silver("civil_spine", "civil_wide", "feed_dim", "civil_weather", _CIVIL_OFFSET))
+for _step in ("dates", "bounds", "fact", "accuracy"):
+    view(f"civil_{_step}", civil(VIEWS[f"feed_{_step}"]))
+
 # --------------------------------------------------------------------------- event feed in SQL
 
 view(

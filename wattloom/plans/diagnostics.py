@@ -91,3 +91,15 @@ def tail_summary(tail: DataFrame, step_over: float = 20.0) -> DataFrame:
         F.expr("count_if(demand_clean_mwh is null)").alias("clean_nulls"),
         F.expr(f"count_if(abs(step_pct) > {step_over})").alias("large_steps"),
     )
+
+
+def clock_changes(silver: DataFrame) -> DataFrame:
+    """Local days on which a key's clock changes: their hours, those told twice, and the offsets before and after."""
+    offset = "cast((unix_seconds(cast(period_local as timestamp)) - unix_seconds(period_utc)) / 3600 as int)"
+    days = silver.selectExpr("ba_code", "date_local", "hour_local", "period_utc", f"{offset} as _offset").groupBy("ba_code", "date_local")
+    return days.agg(
+        F.count("*").alias("hours_in_day"),
+        (F.count("*") - F.count_distinct("hour_local")).alias("hours_repeated"),
+        F.min_by("_offset", "period_utc").alias("offset_before"),
+        F.max_by("_offset", "period_utc").alias("offset_after"),
+    ).where("offset_before <> offset_after")

@@ -2,8 +2,9 @@
 
 Every line item is one telemetry record of a feeder (twenty suppliers form one feeder) and one
 weather record of its load centre; a ship day is one hour of the series. Feeders, records and
-work therefore grow with the tables. Events are a second, sparse feed for three authorities with
-duplicates, late corrections and an unknown measure code.
+work therefore grow with the tables. The same records laid over a civil year (a ship day is four hours
+there) make a feed that crosses every season and both changes of the clocks. Events are another, sparse
+feed for three authorities with duplicates, late corrections and an unknown measure code.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from wattloom.session import configure, dealt_out
 
 SERIES_START = "2022-11-07 00:00:00"
 FIRST_SHIP_DAY = "1995-01-01"
+#: The civil feed begins here and spends so many hours a ship day; an order's number says which of them.
+CIVIL_START = "2023-02-01 00:00:00"
+CIVIL_HOURS = 4
 SUPPLIERS_PER_FEEDER = 20
 ZONES = ("America/New_York", "America/Chicago", "America/Los_Angeles", "America/Denver")
 
@@ -38,15 +42,16 @@ def feeder_code(number: str) -> str:
     return f"concat('BA', lpad({digits}, greatest(6, length({digits})), '0'))"
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, civil: bool = False) -> DataFrame:
     """Line items with their feeder, hour of the series and order of arrival."""
     step = f"datediff(to_date(l_shipdate), date'{FIRST_SHIP_DAY}')"
+    start, hour = (CIVIL_START, f"({step} * {CIVIL_HOURS} + pmod(l_orderkey, {CIVIL_HOURS}))") if civil else (SERIES_START, step)
     needed = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_discount l_tax l_returnflag l_linestatus l_shipdate"
     return dealt_out(table(spark, sf_dir, "lineitem").select(*needed.split()), "l_orderkey").selectExpr(
         "*",
         f"{feeder('l_suppkey')} as g",
         f"{step} % 24 as h",
-        f"timestamp_seconds(unix_seconds(timestamp'{SERIES_START}') + {step} * 3600) as period_utc",
+        f"timestamp_seconds(unix_seconds(timestamp'{start}') + {hour} * 3600) as period_utc",
         "cast(l_shipdate as timestamp) as ingested_at_utc",
         # Order and line, and the part for records that share both: which of several records of an
         # hour came last, up to 10 ** 15 parts. One number, so that the merges hash.
@@ -54,9 +59,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feeder_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feeder_measures(spark: SparkSession, sf_dir: str, civil: bool = False) -> DataFrame:
     """Bronze measures: four readings per line item, with meter faults and unreported values."""
-    lines = _lines(spark, sf_dir).selectExpr(
+    lines = _lines(spark, sf_dir, civil).selectExpr(
         "*",
         f"{feeder_code('g')} as ba_code",
         """1000D * (1 + g % 5)
@@ -78,10 +83,10 @@ def feeder_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("period_utc", "ba_code", "measure_code", "value_mwh", "ingested_at_utc", "arrival")
 
 
-def feeder_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feeder_weather(spark: SparkSession, sf_dir: str, civil: bool = False) -> DataFrame:
     """Bronze weather: one record per line item, archive or forecast by line status."""
     return (
-        _lines(spark, sf_dir)
+        _lines(spark, sf_dir, civil)
         .selectExpr(
             "*",
             "(l_linenumber = 3 and l_quantity >= 45) as absent",
