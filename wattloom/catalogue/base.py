@@ -11,7 +11,7 @@ from wattloom.functions.scalars import without_zone
 from wattloom.operators.series import pivot_latest, weather_latest
 from wattloom.plans.warehouse import build_accuracy, build_gold
 from wattloom.schemas import ARCHIVE_SOURCE
-from wattloom.session import configure, written
+from wattloom.session import configure, remembered, written
 from wattloom.sources import adapters
 
 #: Events are delivered in order of arrival, then of their number.
@@ -90,7 +90,7 @@ class Stored(Mapping):
         return len(self._tables)
 
 
-_BUILT: dict[tuple[str, str, str], Stored] = {}
+_BUILT: dict[tuple[str, str, str], Stored] = remembered()
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], dict[str, DataFrame]]) -> Stored:

@@ -12,7 +12,7 @@ from wattloom.catalogue.quality import _results
 from wattloom.functions.scalars import rounded
 from wattloom.operators import metrics, windows
 from wattloom.plans import diagnostics, guard, inference, models, served
-from wattloom.session import written
+from wattloom.session import remembered, written
 from wattloom.sources import adapters, catalog
 
 KEY = "BA000000"
@@ -268,7 +268,7 @@ def _forecast_frame(spark, sf_dir):
 # ------------------------------------------------------------------ fitted models: property-tested, no SQL equivalent
 
 
-_RUNS: dict = {}
+_RUNS: dict = remembered()
 
 
 def _train(spark, sf_dir):

@@ -13,6 +13,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_REMEMBERED: list[dict] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -117,6 +118,14 @@ def release(spark: SparkSession) -> None:
     """Remove everything this application has written for itself; frames that read it are void afterwards."""
     remove(spark, application_folder(spark))
     _SHIPPED.discard(spark.sparkContext.applicationId)
+    for frames in _REMEMBERED:
+        frames.clear()
+
+
+def remembered() -> dict:
+    """A dictionary for frames over written tables; ``release`` empties it."""
+    _REMEMBERED.append({})
+    return _REMEMBERED[-1]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
