@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from wattloom.operators import isolation, metrics
-from wattloom.plans import anomaly, features, inference, models
+from wattloom.plans import anomaly, bands, features, inference, models
 from wattloom.session import written
 
 
@@ -117,6 +118,48 @@ def test_bands_never_cross(run):
     assert p.where("pred_gbm_p10 is null").count() == 0
 
 
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """Residuals whose spread follows a feature that neither key nor hour shows; even ids train, odd ids test."""
+    noise = "pmod(xxhash64(id, 'n'), 1000003L) / 1000003D - 0.5"
+    rows = spark.range(24000).selectExpr(
+        "id", "cast(id div 2 % 24 as int) as hour", "pmod(xxhash64(id, 'x'), 1009L) / 1009D as x"
+    ).selectExpr("*", f"({noise}) * (0.2 + 4 * x) as _residual")
+    return written(VectorAssembler(inputCols=["hour", "x"], outputCol="_features").transform(rows), "uneven")
+
+
+def test_boosted_bands_beat_quantiles_by_hour(spark, uneven):
+    train, test = uneven.where("id % 2 = 0"), uneven.where("id % 2 = 1")
+    fitted = bands.fit_bands(train, [0.1, 0.9], 32, 60)
+    scored = test
+    for name, one in zip(("low", "high"), fitted, strict=True):
+        assert 1 <= len(one.trees) <= bands.STAGES
+        scored = one.attach(scored, name)
+    by_hour = train.groupBy("hour").agg(F.expr("percentile(_residual, 0.1)").alias("low_h"), F.expr("percentile(_residual, 0.9)").alias("high_h"))
+    loss = "avg(greatest({q} * (_residual - {c}), ({q} - 1) * (_residual - {c})))"
+    got = scored.join(by_hour, "hour").selectExpr(
+        *[f"{loss.format(q=q, c=c)} as {c}" for c, q in (("low", 0.1), ("low_h", 0.1), ("high", 0.9), ("high_h", 0.9))],
+        "100 * avg(cast(_residual between low and high as double)) as inside",
+    ).first()
+    assert got["low"] < 0.9 * got["low_h"] and got["high"] < 0.9 * got["high_h"]
+    assert got["inside"] == pytest.approx(80, abs=3)
+
+
+def test_saved_bands_are_the_same(spark, uneven, tmp_path):
+    fitted = bands.fit_bands(uneven.where("id < 4000"), [0.1, 0.5, 0.9], 32, 60)
+    bands.save_bands(spark, fitted, str(tmp_path / "bands"))
+    back = bands.load_bands(spark, str(tmp_path / "bands"))
+    for one, other in zip(fitted, back, strict=True):
+        assert one.attach(uneven, "b").orderBy("id").collect() == other.attach(uneven, "b").orderBy("id").collect()
+
+
+def test_bands_of_few_rows_are_constants_and_of_none_null(spark, uneven):
+    few = bands.fit_quantile(uneven.where("id < 40"), 0.5, 32, 60)
+    assert few.trees == [] and few.start is not None
+    none = bands.fit_quantile(uneven.where("id < 0"), 0.5, 32, 60)
+    assert none.start is None and none.attach(uneven.limit(1), "b").first()["b"] is None
+
+
 def test_saved_model_predicts_the_same(spark, run, gold, tmp_path):
     run.model.save(str(tmp_path / "model"))
     back = models.Forecaster.load(spark, str(tmp_path / "model"))

@@ -1,4 +1,4 @@
-"""The global boosted forecaster: scaled target, early stopping, residual bands, persistence."""
+"""The global boosted forecaster: scaled target, early stopping, quantile bands, persistence."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import sorted_row
 from wattloom.operators import metrics
 from wattloom.operators.windows import global_stats, target_stats, with_target_stats
+from wattloom.plans.bands import QuantileTrees, fit_bands, load_bands, save_bands
 from wattloom.plans.baselines import build_all_baselines
 from wattloom.plans.features import FEATURES, TARGET, training_split
 from wattloom.schemas import QUANTILES
@@ -36,21 +37,16 @@ class Forecaster:
     features: list[str]
     stats: DataFrame
     overall: DataFrame
-    bands: DataFrame | None = None
-    overall_bands: DataFrame | None = None
+    bands: list[QuantileTrees] | None = None
 
     def predict(self, frame: DataFrame, name: str = "pred_gbm") -> DataFrame:
         """Point forecast, and the bands in ascending order where they were fitted."""
         scored = self.pipeline.transform(with_target_stats(frame, self.stats, self.overall))
         kept = list(frame.columns)
         columns = [f"prediction * _spread + _centre as {name}"]
-        if self.bands is not None:
-            scored = scored.join(self.bands, ["ba_code", "hour_local"], "left").withColumn(
-                "_any", self.overall_bands.select(F.struct(*[F.col(f"o{i}") for i in range(len(QUANTILES))])).scalar()
-            )
-            columns += [
-                f"(prediction + coalesce(r{i}, _any.o{i})) * _spread + _centre as {c}" for i, c in enumerate(BAND_COLUMNS)
-            ]
+        for quantile, column in zip(self.bands or [], BAND_COLUMNS):
+            scored = quantile.attach(scored, f"_{column}")
+            columns.append(f"(prediction + _{column}) * _spread + _centre as {column}")
         result = scored.selectExpr(*kept, *columns)
         if self.bands is not None:
             ordered = sorted_row(BAND_COLUMNS)
@@ -67,42 +63,26 @@ class Forecaster:
 
     def save(self, folder: str) -> None:
         self.pipeline.write().overwrite().save(f"{folder}/pipeline")
-        tables = {"stats": self.stats, "overall": self.overall, "bands": self.bands, "overall_bands": self.overall_bands}
-        for name, table in tables.items():
-            if table is not None:
-                table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        for name, table in {"stats": self.stats, "overall": self.overall}.items():
+            table.write.mode("overwrite").parquet(f"{folder}/{name}")
         spark = self.stats.sparkSession
+        if self.bands is not None:
+            save_bands(spark, self.bands, f"{folder}/bands")
         meta = [(self.features, self.bands is not None, self.pipeline.stages[-1].getNumTrees, list(QUANTILES), KEY_BUCKETS)]
         spark.createDataFrame(meta, "features array<string>, has_bands boolean, rounds int, quantiles array<double>, key_buckets int").write.mode("overwrite").json(f"{folder}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> Forecaster:
         meta = spark.read.schema("features array<string>, has_bands boolean").json(f"{folder}/meta").first()
-        bands = [spark.read.parquet(f"{folder}/{n}") if meta["has_bands"] else None for n in ("bands", "overall_bands")]
         return cls(
             PipelineModel.load(f"{folder}/pipeline"), list(meta["features"]),
-            spark.read.parquet(f"{folder}/stats"), spark.read.parquet(f"{folder}/overall"), *bands,
+            spark.read.parquet(f"{folder}/stats"), spark.read.parquet(f"{folder}/overall"),
+            load_bands(spark, f"{folder}/bands") if meta["has_bands"] else None,
         )
 
 
-def residual_bands(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Quantiles of the scaled residual per (key, hour of day), and over all as a fallback.
-
-    A cell holds one reading a day of the validation window, so the percentile aggregate is
-    small; the overall figures use the selection that needs no group in one task.
-    """
-    from wattloom.operators.quantiles import grouped_quantiles
-
-    residual = "(_label - prediction)"
-    listed = ", ".join(str(q) for q in QUANTILES)
-    cells = scored.groupBy("ba_code", "hour_local").agg(F.expr(f"percentile({residual}, array({listed}))").alias("_q"))
-    bands = cells.selectExpr("ba_code", "hour_local", *[f"_q[{i}] as r{i}" for i in range(len(QUANTILES))])
-    overall = grouped_quantiles(scored, [], residual, {f"o{i}": q for i, q in enumerate(QUANTILES)})
-    return bands, overall
-
-
 def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | None = None, quick: bool = False, bands: bool = True, rounds: int | None = None) -> Forecaster:
-    """Fit on the train rows, stop early on every other validation day, take bands from the residuals of the days between.
+    """Fit on the train rows, stop early on every other validation day, boost the bands on the residuals of the days between.
 
     The key is a categorical feature by its hash bucket; the scaled target and the lags carry the
     level of keys that share one.
@@ -136,11 +116,8 @@ def fit_forecaster(train: DataFrame, valid: DataFrame, features: list[str] | Non
     model = Pipeline(stages=stages).fit(labelled.where("not _band"))
     fitted = Forecaster(model, features, stats, overall)
     if bands:
-        scored = written(
-            model.transform(labelled.where("_band")).select("ba_code", "hour_local", "_label", "prediction"), "residuals"
-        )
-        cells, over_all = residual_bands(scored)
-        fitted.bands, fitted.overall_bands = written(cells, "bands"), written(over_all, "overall_bands")
+        residuals = model.transform(labelled.where("_band")).selectExpr("_features", "_label - prediction as _residual")
+        fitted.bands = fit_bands(written(residuals, "residuals"), QUANTILES, KEY_BUCKETS + 2, MIN_ROWS_PER_LEAF)
     return fitted
 
 
