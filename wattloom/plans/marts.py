@@ -70,23 +70,38 @@ def load_profile(hourly: DataFrame) -> DataFrame:
     """Mean, P10 and P90 load by season, day type and hour, and the shape of each profile.
 
     A group holds one hour of the day within one season, at most 92 readings a year of one
-    series, so the plain percentile aggregate stays small however long the history is.
+    series, so its sorted values stay few however long the history is. They are ranked by one shuffle of the keys and
+    the reading; a percentile aggregate would carry and spill a map of values a group.
     """
     keys = ["ba_code", "season", "day_type", "hour_local"]
+    group = f"partition by {', '.join(keys)}"
+    ranked = hourly.selectExpr(
+        *keys, "demand_mwh",
+        f"row_number() over ({group} order by demand_mwh) - 1 as _rank",
+        f"count(1) over ({group}) - 1 as _last",
+    )
+
+    def tail(p: float) -> str:
+        """Linear interpolation between the readings around a share of the ranks."""
+        at = f"({p}D * _last)"
+        share = f"case when _rank = floor({at}) then 1 - ({at} - floor({at})) when _rank = ceil({at}) then {at} - floor({at}) end"
+        return f"sum(demand_mwh * {share})"
+
     grouped = _agg(
-        hourly,
+        ranked,
         keys,
         {
             "mean_demand_mw": half_up("avg(demand_mwh)"),
-            "_tails": "percentile(demand_mwh, array(0.1, 0.9))",
+            "_p10": tail(0.1),
+            "_p90": tail(0.9),
             "observations": "count(*)",
         },
     )
     level = "avg(mean_demand_mw) over (partition by ba_code, season, day_type)"
     return grouped.selectExpr(
         *keys, "mean_demand_mw",
-        f"{half_up('_tails[0]')} as p10_demand_mw",
-        f"{half_up('_tails[1]')} as p90_demand_mw",
+        f"{half_up('_p10')} as p10_demand_mw",
+        f"{half_up('_p90')} as p90_demand_mw",
         "observations",
         f"{half_up(ratio('mean_demand_mw', level), 4)} as shape_index",
     )
