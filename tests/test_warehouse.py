@@ -165,3 +165,70 @@ def test_clock_changes_of_zones_with_and_without_daylight_saving(spark):
         ("E", "2024-03-10", 23, 0, -5, -4), ("E", "2024-11-03", 25, 1, -4, -5),
         ("P", "2024-03-10", 23, 0, -8, -7), ("P", "2024-11-03", 25, 1, -7, -8),
     ]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_tables_are_written_when_asked_for(spark, monkeypatch):
+    from wattloom.catalogue import base
+
+    names = []
+    monkeypatch.setattr(base, "written", lambda df, name: names.append(name) or df)
+    fact = spark.range(3).selectExpr(
+        "timestamp_seconds(id * 3600) as period_utc", "'A' as ba_code", "date'1970-01-01' as date_local", "cast(id as int) as hour_local",
+        "double(10 + id) as demand_clean_mwh", "double(11) as demand_forecast_mwh",
+    )
+    build = {"dim_date": spark.range(1), "silver_grid_hourly": spark.range(2), "fact_demand_hourly": fact, "fact_forecast_accuracy": None}
+    stored = base.Stored(build)
+    assert stored["silver_grid_hourly"].count() == 2 and stored["dim_date"].count() == 1 and names == ["dim_date"]
+    assert [stored["fact_forecast_accuracy"].count() for _ in range(2)] == [3, 3] and names == ["dim_date", "fact_demand_hourly", "fact_forecast_accuracy"]
+
+
+def test_clock_changes_count_repeated_hours_without_expanding_rows(spark):
+    from wattloom.plans.diagnostics import clock_changes
+
+    hours = spark.range(24 * 400).selectExpr("timestamp'2023-01-01' + make_interval(0,0,0,0,cast(id as int),0,0) as period_utc", "'America/New_York' as timezone")
+    silver = hours.selectExpr("'A' as ba_code", "period_utc", f"{local_clock()} as period_local").selectExpr(
+        "*", "to_date(period_local) as date_local", "hour(period_local) as hour_local"
+    )
+    found = clock_changes(silver)
+    assert [tuple(r)[1:] for r in found.selectExpr("ba_code", "string(date_local)", "hours_in_day", "hours_repeated", "offset_before", "offset_after").orderBy("date_local").collect()] == [
+        ("2023-03-12", 23, 0, -5, -4), ("2023-11-05", 25, 1, -4, -5),
+    ]
+    assert "Expand" not in _plan(found)
+
+
+def test_load_profile_ranks_by_hash_of_the_group(spark):
+    from wattloom.plans.marts import load_profile
+
+    rows = spark.range(4000).selectExpr(
+        "concat('K', id % 3) as ba_code", "if(id % 5 = 0, null, 'Winter') as season", "'Weekday' as day_type", "cast(id % 7 as int) as hour_local",
+        "double(pmod(xxhash64(id), 900L) + 100) as demand_mwh",
+    ).unionByName(spark.sql("select 'K9' as ba_code, 'Winter' as season, 'Weekday' as day_type, 3 as hour_local, 5D as demand_mwh"))
+    found = load_profile(rows)
+    keys = ["ba_code", "season", "day_type", "hour_local"]
+    got = {tuple(r[k] for k in keys): (r["p10_demand_mw"], r["p90_demand_mw"], r["observations"]) for r in found.collect()}
+    want = rows.groupBy(*keys).agg(F.expr("percentile(demand_mwh, array(0.1, 0.9)) as p"), F.count("*").alias("n")).collect()
+    assert got == {tuple(r[k] for k in keys): (*(float(int(v + 0.5)) for v in r["p"]), r["n"]) for r in want}
+    assert "ObjectHashAggregate" not in _plan(found)
+
+
+def test_merges_meet_the_records_of_an_hour_where_they_are_dealt(spark, tmp_path):
+    from wattloom.catalogue import base
+    from wattloom.operators.series import pivot_latest
+    from wattloom.sources import adapters
+
+    lines = spark.range(3000).selectExpr(
+        "if(id % 50 = 0, null, id div 4) as l_orderkey", "id % 90 as l_partkey", "id % 200 as l_suppkey", "cast(id % 7 + 1 as int) as l_linenumber",
+        "double(id % 50 + 1) as l_quantity", "double(id % 11) / 100 as l_discount", "double(id % 9) / 100 as l_tax", "if(id % 3 = 0, 'N', 'A') as l_returnflag",
+        "if(id % 2 = 0, 'F', 'O') as l_linestatus", "date_add(date'1995-01-01', cast(id % 60 as int)) as l_shipdate",
+    )
+    lines.unionByName(lines.limit(20)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for civil in (False, True):
+        wide = base.feeder_wide(spark, str(tmp_path), civil)
+        for frame in (wide, base.feeder_weather(spark, str(tmp_path), civil)):
+            plan = _plan(frame)
+            assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+        assert sorted(map(str, wide.collect())) == sorted(map(str, pivot_latest(adapters.feeder_measures(spark, str(tmp_path), civil), "arrival").collect()))
