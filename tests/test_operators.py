@@ -234,3 +234,14 @@ def test_sliding_windows_over_chunk_borders(spark):
                 expected.append((split, first - 168, rows[first][0], past, [[-v] for _, v in rows[first : first + 24]], [v for _, v in rows[first : first + 24]]))
     got = [(r["split"], r["start"], r["horizon_start"], r["past"], r["future"], r["target"]) for r in found.collect()]
     assert sorted(got, key=lambda g: g[1]) == sorted(expected, key=lambda g: g[1])
+
+
+def test_windows_are_packed_by_a_bounded_number_of_rows_a_task(spark, monkeypatch):
+    from wattloom.operators import windows
+
+    monkeypatch.setattr(windows, "ROWS_A_TASK", 50)
+    frame = hourly(spark, [float(i) for i in range(1000)]).withColumnRenamed("v", "target_z")
+    found = sliding_windows(frame, "timestamp'2024-01-20'", "timestamp'2024-02-01'", 48, 24, ["target_z"], ["target_z"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ba_code" in plan and ", 20), REPARTITION_BY_NUM" in plan
+    assert all(r["target"] == [float(r["start"] + 48 + i) for i in range(24)] and r["past"][1] == [float(r["start"] + 3)] for r in found.collect())
