@@ -72,6 +72,23 @@ def test_copies_and_shared_articles_stay_whole(spark):
     assert out == {**dict.fromkeys(range(3), "Same licence line.\none text"), 7: "Same licence line.\nother"}
 
 
+def test_marked_pages_are_differenced(spark):
+    page = "<div>Our site</div><article><p>Same licence line.</p><p>Story {0}</p></article><div>Note on story {0}</div><div class=ad>Buy {0}</div>{1}<div>All rights reserved</div>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, "<p class=notice>once</p>" if i == 2 else "")) for i in range(4)] * 2
+    rows += [(9, "http://alone.example/9", page.format(9, ""))]
+    out = sorted((r["page_id"], r["text"]) for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    expected = [(i, f"Same licence line.\nStory {i}\nNote on story {i}") for i in range(4)] * 2
+    assert out == sorted([*expected, (9, "Same licence line.\nStory 9")])
+
+
+def test_marks_correct_differencing_only():
+    kinds, texts = [pages.PLAIN, pages.ARTICLE, pages.ARTICLE, pages.MAIN, pages.FURNITURE, pages.LINKS, pages.PLAIN], list("abcdefg")
+    assert pages.main_text(kinds, texts, [True, True, False, False, False, False, False]) == "b\nc\nd\ng"
+    assert pages.main_text(kinds, texts, [False, True, True, True, True, True, True]) == "a\nb\nc"
+    assert pages.main_text(kinds, texts, None) == "b\nc"
+    assert pages.main_text([0, 4, 1, 0], list("abcd"), None) == "a\nd"
+
+
 def test_runs_of_copies_are_differenced(spark):
     same = _soup(["Latest"], "One story")
     rows = [(i, f"http://h.example/x/{i}", same) for i in range(3)] + [(3, "http://h.example/x/3", _soup(["Latest"], "Other story"))]
@@ -110,6 +127,32 @@ def test_large_hosts_are_dealt(spark, monkeypatch):
     assert out == {i: f"Story {i}" for i in range(100)}
 
 
+def test_parts_give_what_the_whole_order_gives(spark, monkeypatch):
+    monkeypatch.setattr(pages, "GROUP_PAGES", 3)
+    draw = random.Random(8)
+    mark = ["<div>{}</div>", "<article><p>{}</p></article>", "<div class=ad>{}</div>", "<p>{}</p>"]
+    rows = []
+    for i in range(150):
+        html = "".join(draw.choice(mark).format(draw.choice("abcd")) for _ in range(draw.randint(0, 4)))
+        rows += [(draw.choice([None, i, i // 9]), f"http://{draw.choice('hi')}.example/{draw.choice('xy') * draw.randint(0, 3)}", html)] * draw.choice([1, 1, 1, 2, 12])
+    read = []
+    for number, url, html in rows:
+        lines = pages.lines_of(html)
+        read.append((url[7], url.split("example")[1], number is not None, number or 0, pages._keys_of(lines), lines))
+    read.sort(key=lambda r: (r[:4], r[4][1]))
+    ordered = [(r[0], r[1], r[4][1], i) for i, r in enumerate(read)]
+    expected = []
+    for start, end, before, after in pages.runs_of(ordered):
+        other = (after if after[1] > before[1] else before)[0]
+        for host, _, known, number, (keys, _), lines in read[start:end]:
+            shared = None if other is None else pages.common_lines(keys, read[other][4][0])
+            text = pages.main_text([k for k, _, _ in lines], [t for _, _, t in lines], shared)
+            expected.append((host, number if known else -1, text))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = [(r["url"][7], -1 if r["page_id"] is None else r["page_id"], r["text"]) for r in pages.extract(frame).collect()]
+    assert sorted(out) == sorted(expected)
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "not a url", "plain text only"), (4, "http://x/a", "<p>cut off <b"), (None, "http://x/b", "<p>no id</p>"), (6, "http://x/c", "<" * 50), (7, "http://x/d", "<p>" + "long " * 100_000), (7, "http://x/d", "<p>" + "long " * 100_000), (8, "http://x/e", "a < b <p class='x>y</p> z")]
     frame = spark.createDataFrame([(*r, "clash", 5) for r in rows], "page_id long, url string, html string, host string, keys int")

@@ -5,13 +5,14 @@ path, cut into parts whose ends look across to the neighbouring parts, each run
 common subsequence of their lines is deleted from all of the run. Lines of marked furniture (menus, adverts, forms and the like) are aligned by their place in
 the markup, since their words change from page to page; other lines by place and words.
 
-Two guards keep articles whole. What an author marked as the article is kept even where the neighbour
-shares it, as copies of a page and licence lines are; furniture without a partner goes all the same. A
-page without a marked article keeps the lines that neither are shared nor are mostly links.
-
-Defined cases: a null or empty html has an empty text; a page alone on its host has no partner; a null
-url is a host of its own; a page is never differenced with an equal one, and equal pages that follow
-each other get equal texts, as repeated rows do. Unclosed and cut-off markup is read as far as it goes.
+Every page is differenced. Its marks correct what differencing says of a line in two cases: what an author
+marked as the article is kept though the neighbour shares it, as copies of a page and licence lines are,
+and furniture no line of the neighbour matches goes all the same. Other lines, inside or outside a marked
+article, stay if they neither are shared nor are mostly links.
+
+Defined cases: a null or empty html has an empty text; a page alone on its host has no partner, and its
+marks alone decide: a marked article is its text; a null url is a host of its own; a page is never
+differenced with an equal one, and equal pages that follow each other get equal texts, as repeated rows do. Unclosed and cut-off markup is read as far as it goes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import pairwise
 
 import pyarrow as pa
@@ -33,8 +33,8 @@ from wattloom.session import written
 
 #: About so many pages, in order of host and path, make a part; what a part does not see of its neighbours goes by the driver, two rows a part.
 GROUP_PAGES = 65_536
-#: Pairs of line lists whose common lines a task remembers.
-REMEMBERED = 1024
+#: A task places about so many lines at once.
+PLACED_LINES = 1 << 22
 #: A line is mostly links if over this share of its characters is inside links.
 LINKED = 0.5
 #: Once a quote in a tag has turned out never to close, a tag's quotes are followed so far only.
@@ -202,13 +202,16 @@ def common_lines(a: list[int], b: list[int]) -> list[bool]:
     return mine
 
 
-def main_text(kinds: list[int], texts: list[str], shared: list[bool]) -> str:
-    """The lines that stay, joined."""
-    for wanted in (ARTICLE, MAIN):
-        if wanted in kinds:
-            return "\n".join(t for k, t in zip(kinds, texts, strict=True) if k == wanted)
-    own = [t for k, t, s in zip(kinds, texts, shared, strict=True) if k == PLAIN and not s]
-    return "\n".join(own)
+def main_text(kinds: list[int], texts: list[str], shared: list[bool] | None) -> str:
+    """The lines that stay, joined; ``shared`` are those the neighbour has too, None without a neighbour."""
+    article = ARTICLE if ARTICLE in kinds else MAIN if MAIN in kinds else None
+    if shared is None:
+        wanted = PLAIN if article is None else article
+        return "\n".join(t for k, t in zip(kinds, texts, strict=True) if k == wanted)
+    return "\n".join(
+        t for k, t, s in zip(kinds, texts, shared, strict=True)
+        if k == article or not s and k not in (FURNITURE, LINKS)
+    )
 
 
 def _near(path: str, other: str) -> int:
@@ -261,31 +264,78 @@ def host_of(url: str = "url") -> Column:
     return F.regexp_extract(F.lower(F.coalesce(F.col(url), F.lit(""))), r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
 
 
-_ORDER = "part int, edge int, id long, host string, path string, print long, before long, before_near int, after long, after_near int, first boolean, last boolean"
+_ORDER = (
+    "part int, edge int, id long, print long, side int, shared array<boolean>, host string, path string, single boolean, "
+    "inside long, inside_near int, keys array<long>, inside_keys array<long>"
+)
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "array<boolean>": pa.list_(pa.bool_()), "array<long>": pa.list_(pa.int64())}
+
+
+def _ordered_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(host, path, print, id, keys) of the pages of a part; rows of the same page follow each other and count once."""
+    seen = None
+    for batch in batches:
+        offsets, flat = batch.column("keys").offsets.to_numpy(), batch.column("keys").values.to_numpy()
+        for i, (host, path, digest, own) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "print", "id")), strict=True)):
+            if seen != (digest, own):
+                seen = digest, own
+                yield host, path, digest, own, flat[offsets[i] : offsets[i + 1]].copy()
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A part in order: its pages without a marked article with their neighbours (edge 0), then its first and last page (1, 2)."""
-    rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "print", "id", "marked")), strict=True)]
+    """A part in order: its pages with the lines their neighbour in the part has too (edge 0), then its first and last page (1, 2).
+
+    A page of the first run is on side 0, one of another last run on side 1: its neighbour may be in another part.
+    """
+    rows = list(_ordered_pages(batches))
     if not rows:
         return
-    part, runs, out = TaskContext.get().partitionId(), runs_of(rows), []
-    for nth, (start, end, before, after) in enumerate(runs):
-        borders = (*before, *after, nth == 0, nth + 1 == len(runs))
-        out += [(part, 0, rows[i][3], None, None, None, *borders) for i in range(start, end) if not rows[i][4]]
-    for edge, (host, path, digest, own, _), (_, _, before, after), first, last in ((1, rows[0], runs[0], True, len(runs) == 1), (2, rows[-1], runs[-1], len(runs) == 1, True)):
-        out.append((part, edge, own, host, path, digest, *before, *after, first, last))
+    part, runs = TaskContext.get().partitionId(), runs_of(rows)
     schema = pa.schema([(n, _ARROW[t]) for n, t in (f.split() for f in _ORDER.split(", "))])
-    for at in range(0, len(out), 8192):
-        columns = zip(*out[at : at + 8192], strict=True)
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
 
-_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    def keys_at(place: int, other: Neighbour) -> list[int] | None:
+        return None if other is _ALONE else rows[place][4].tolist()
+
+    def placed() -> Iterator[tuple]:
+        for nth, (start, end, before, after) in enumerate(runs):
+            side = 0 if nth == 0 else 1 if nth + 1 == len(runs) else None
+            other = keys_at(end, after) if after[1] > before[1] else keys_at(start - 1, before)
+            shared = None if other is None else common_lines(rows[start][4].tolist(), other)
+            for i in range(start, end):
+                yield (part, 0, rows[i][3], rows[i][2], side, shared, *[None] * 7)
+        for edge, (host, path, digest, own, keys), (inside, near), place in ((1, rows[0], runs[0][3], runs[0][1]), (2, rows[-1], runs[-1][2], runs[-1][0] - 1)):
+            yield (part, edge, own, digest, None, None, host, path, len(runs) == 1, inside, near, keys.tolist(), keys_at(place, (inside, near) if inside is not None else _ALONE))
+
+    out, held = [], 0
+    for row in placed():
+        out.append(row)
+        held += len(row[5] or ())
+        if len(out) == 8192 or held > PLACED_LINES:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            out, held = [], 0
+    if out:
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
+def partners_across(edges: dict[int, dict]) -> list[tuple[int, int, int, int]]:
+    """part, side, page and partner of each border run whose nearer neighbour is in another part; ``edges`` has the two edge rows of a part."""
+    inside = {part: [(r["inside"], r["inside_near"]) for r in (e[1], e[2])] for part, e in edges.items()}
+    pages = {part: [(r["host"], r["path"], r["print"], r["id"]) for r in (e[1], e[2])] for part, e in edges.items()}
+    beyond = across({part: (*pages[part], e[1]["single"], inside[part][1], inside[part][0]) for part, e in edges.items()})
+    found = []
+    for part, before, before_near, after, after_near in beyond:
+        if edges[part][1]["single"]:
+            found.append((part, 0, pages[part][0][3], after if after_near > before_near else before))
+            continue
+        if before_near >= inside[part][0][1]:
+            found.append((part, 0, pages[part][0][3], before))
+        if after_near > inside[part][1][1]:
+            found.append((part, 1, pages[part][1][3], after))
+    return [f for f in found if f[3] is not None]
 
 
-def partners(lines: DataFrame) -> DataFrame:
-    """id and partner of each page without a marked article that has one, and the part the page is in.
+def differences(lines: DataFrame) -> DataFrame:
+    """id, print and the shared lines of every page; null for a page without a neighbour.
 
     The whole table is cut into parts by its order, and an order has no group: a host of any size is
     spread, and a page meets its true neighbours wherever parts end.
@@ -293,66 +343,77 @@ def partners(lines: DataFrame) -> DataFrame:
     spark = lines.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // GROUP_PAGES))
     by = ["host", "path", "page_id", "print", "id"]
-    ordered = lines.select(*by, "marked").repartitionByRange(parts, *by).sortWithinPartitions(*by)
-    placed = written(ordered.select("host", "path", "print", "id", "marked").mapInArrow(_place, _ORDER), "order")
+    ordered = lines.select(*by, "keys").repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    placed = written(ordered.select("host", "path", "print", "id", "keys").mapInArrow(_place, _ORDER), "order")
     ends: dict[int, dict] = {}
-    for r in placed.where("edge > 0").collect():  # two rows a part
+    borders = placed.where("edge > 0")
+    for r in borders.select("part", "edge", "id", "print", "host", "path", "single", "inside", "inside_near").collect():  # two rows a part
         ends.setdefault(r["part"], {})[r["edge"]] = r
-    edges = {}
-    for part, e in ends.items():
-        pages = ((r["host"], r["path"], r["print"], r["id"]) for r in (e[1], e[2]))
-        edges[part] = (*pages, e[1]["last"], (e[2]["before"], e[2]["before_near"]), (e[1]["after"], e[1]["after_near"]))
-    borders = spark.createDataFrame(across(edges), "part int, b long, b_near int, a long, a_near int")
-    found = placed.where("edge = 0").select("part", "id", "before", "before_near", "after", "after_near", "first", "last").join(F.broadcast(borders), "part")
-    for side, end, other in (("before", "first", "b"), ("after", "last", "a")):
-        for name in ("", "_near"):
-            found = found.withColumn(side + name, F.when(F.col(end), F.col(other + name)).otherwise(F.col(side + name)))
-    return found.select("part", "id", F.expr("if(after_near > before_near, after, before)").alias("partner")).where("partner is not null")
+    wanted = spark.createDataFrame(partners_across(ends), "part int, side int, id long, partner long")
+    known = borders.select("id", "keys").unionByName(borders.selectExpr("inside as id", "inside_keys as keys").where("id is not null")).dropDuplicates(["id"])
+    pairs = wanted.join(known, "id").join(known.selectExpr("id as partner", "keys as other"), "partner").select("part", "side", "keys", "other")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            shared = [common_lines(own.as_py(), other.as_py()) for own, other in zip(part.column("keys"), part.column("other"), strict=True)]
+            yield pa.record_batch([part.column("part"), part.column("side"), pa.array(shared, pa.list_(pa.bool_()))], names=["part", "side", "across"])
+
+    over = written(pairs.mapInArrow(compared, "part int, side int, across array<boolean>"), "borders")
+    said = placed.where("edge = 0").select("part", "side", "id", "print", "shared").join(F.broadcast(over), ["part", "side"], "left")  # two rows a part
+    return said.selectExpr("id", "print", "coalesce(across, shared) as shared")
+
+
+def _keys_of(found: list[tuple[int, int, str]]) -> tuple[list[int], int]:
+    """What the lines of a page are aligned by, and the print of the page."""
+    keys = [xxh64_intdigest(f"{place}\n{'' if k == FURNITURE else t}") - 2**63 for k, place, t in found]
+    return keys, xxh64_intdigest(pa.array(keys, pa.int64()).to_numpy().tobytes()) - 2**63
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
+    """page_id, url, text and n_chars of every page.
+
+    Pages are read twice, first for the keys of their lines, then for their texts, which meet what
+    differencing says of them: so texts are shuffled once and never written. A page is known by a hash
+    of its host, path, page_id and print, which rows have in common only in a run of equal pages.
+    """
     kind = pages.schema["page_id"].dataType.simpleString()
     path = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", "")
-    rows = pages.select(F.monotonically_increasing_id().alias("id"), "page_id", "url", host_of().alias("host"), path.alias("path"), F.col("html").cast("binary").alias("text"))
+    rows = pages.select("page_id", "url", host_of().alias("host"), path.alias("path"), F.col("html").cast("binary").alias("text"))
+    own_id = F.xxhash64("host", "path", "page_id", "print").alias("id")
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parsed(part: pa.RecordBatch) -> list[list[tuple[int, int, str]]]:
+        return [lines_of((value.as_py() or b"").decode("utf-8", "replace")) for value in part.column("text")]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            marked, whole, kinds, keys, texts, prints = [], [], [], [], [], []
-            for value in part.column("text"):
-                found = lines_of((value.as_py() or b"").decode("utf-8", "replace"))
-                own = [k for k, _, _ in found]
-                marked.append(ARTICLE in own or MAIN in own)
-                whole.append(main_text(own, [t for _, _, t in found], []) if marked[-1] else None)
-                kinds.append([] if marked[-1] else own)
-                texts.append([] if marked[-1] else [t if k == PLAIN else "" for k, _, t in found])
-                keys.append([xxh64_intdigest(f"{place}\n{'' if k == FURNITURE else t}") - 2**63 for k, place, t in found])
-                prints.append(xxh64_intdigest(pa.array(keys[-1], pa.int64()).to_numpy().tobytes()) - 2**63)
-            columns = [part.column(c) for c in ("id", "page_id", "url", "host", "path")]
-            made = [pa.array(marked, pa.bool_()), pa.array(whole, pa.string()), pa.array(kinds, pa.list_(pa.int8())), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.list_(pa.string())), pa.array(prints, pa.int64())]
-            yield pa.record_batch([*columns, *made], names=["id", "page_id", "url", "host", "path", "marked", "text", "kinds", "keys", "texts", "print"])
-
-    schema = f"id long, page_id {kind}, url string, host string, path string, marked boolean, text string, kinds array<tinyint>, keys array<long>, texts array<string>, print long"
-    lines = written(rows.mapInArrow(parse, schema), "lines")
-    found = written(partners(lines), "partners")
-    keys = lines.select(F.col("id").alias("partner"), F.col("keys").alias("other"))
-    others = found.select("part", "partner").distinct().join(keys, "partner")  # a page may be the partner of a long run of copies
-    matched = found.join(others, ["part", "partner"]).select("id", "other")
-    left = lines.where("not marked").select("id", "page_id", "url", "kinds", "keys", "texts").join(matched, "id", "left")
-
-    def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = lru_cache(REMEMBERED)(common_lines)
-        for part in batches:
-            out = []
-            for kinds, own, texts, other in zip(*(part.column(c) for c in ("kinds", "keys", "texts", "other")), strict=True):
-                own, other = tuple(own.as_py()), other.as_py()
-                shared = [False] * len(own) if other is None else common(own, tuple(other))
-                out.append(main_text(kinds.as_py(), texts.as_py(), shared))
-            yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
-
-    differenced = left.mapInArrow(difference, f"page_id {kind}, url string, text string")
-    texts = lines.where("marked").select("page_id", "url", "text").unionByName(differenced)
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+            keys, prints = zip(*map(_keys_of, parsed(part)), strict=True)
+            columns = [part.column(c) for c in ("page_id", "host", "path")]
+            yield pa.record_batch([*columns, pa.array(keys, pa.list_(pa.int64())), pa.array(prints, pa.int64())], names=["page_id", "host", "path", "keys", "print"])
+
+    def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            pages_of_part = parsed(part)
+            prints = [_keys_of(found)[1] for found in pages_of_part]
+            kinds = [[k for k, _, _ in found] for found in pages_of_part]
+            texts = [["" if k in (FURNITURE, LINKS) else t for k, _, t in found] for found in pages_of_part]
+            made = [pa.array(prints, pa.int64()), pa.array(kinds, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string()))]
+            yield pa.record_batch([*(part.column(c) for c in ("page_id", "url", "host", "path")), *made], names=["page_id", "url", "host", "path", "print", "kinds", "texts"])
+
+    schema = f"page_id {kind}, host string, path string, keys array<long>, print long"
+    lines = written(rows.select("page_id", "host", "path", "text").mapInArrow(keyed, schema).select(own_id, "*"), "lines")
+    schema = f"page_id {kind}, url string, host string, path string, print long, kinds array<tinyint>, texts array<string>"
+    texts = rows.mapInArrow(worded, schema).select(own_id, "print", "page_id", "url", "kinds", "texts")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                out = [main_text(*(value.as_py() for value in line)) for line in zip(*(part.column(c) for c in ("kinds", "texts", "shared")), strict=True)]
+                yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
+
+    # A row a page on either side: they are merged, never broadcast, so that small tables run the plan of large ones.
+    decided = texts.join(differences(lines).hint("merge"), ["id", "print"], "left").select("page_id", "url", "kinds", "texts", "shared")
+    return decided.mapInArrow(kept, f"page_id {kind}, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op8_page_differencing(spark, sf_dir: str) -> DataFrame:
