@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -223,6 +224,15 @@ def _near(path: str, other: str) -> int:
     return n
 
 
+class Run(NamedTuple):
+    """Equal pages that follow each other: the first and the last, (host, path, print, id), the ids of all, and the keys of the lines of each."""
+
+    first: tuple
+    last: tuple
+    ids: list[int]
+    keys: list[int] | None
+
+
 Neighbour = tuple[int | None, int]  # its id, if there is one, and how many characters of the path agree
 _ALONE: Neighbour = (None, -1)
 
@@ -232,13 +242,35 @@ def _beside(page: tuple, other: tuple | None) -> Neighbour:
     return (other[3], _near(page[1], other[1])) if other and other[0] == page[0] else _ALONE
 
 
+def _runs(rows: Iterable[tuple]) -> Iterator[Run]:
+    for _, equal in groupby(rows, key=lambda r: (r[0], r[2])):
+        first = last = next(equal)
+        ids = [first[3]]
+        for last in equal:
+            ids.append(last[3])
+        yield Run(first[:4], last[:4], ids, first[4] if len(first) > 4 else None)
+
+
+def with_neighbours(rows: Iterable[tuple]) -> Iterator[tuple[Run, Run | None, Run | None, Neighbour, Neighbour]]:
+    """Each run of equal pages with the runs and the neighbours before and after it; three runs are held at a time.
+
+    ``rows`` are (host, path, print, id, keys) in order.
+    """
+    runs = _runs(rows)
+    before, run = None, next(runs, None)
+    while run:
+        after = next(runs, None)
+        yield run, before, after, _beside(run.first, before and before.last), _beside(run.last, after and after.first)
+        before, run = run, after
+
+
 def runs_of(rows: list[tuple]) -> list[tuple[int, int, Neighbour, Neighbour]]:
-    """Start, end and the neighbours before and after of each run of equal pages; ``rows`` are (host, path, print, id, ...) in order."""
-    starts = [i for i, r in enumerate(rows) if not i or (r[0], r[2]) != (rows[i - 1][0], rows[i - 1][2])]
-    return [
-        (start, end, _beside(rows[start], rows[start - 1] if start else None), _beside(rows[end - 1], rows[end] if end < len(rows) else None))
-        for start, end in pairwise([*starts, len(rows)])
-    ]
+    """Start, end and the neighbours before and after of each run of equal pages."""
+    found, start = [], 0
+    for run, _, _, before, after in with_neighbours(rows):
+        found.append((start, start + len(run.ids), before, after))
+        start += len(run.ids)
+    return found
 
 
 def across(edges: dict[int, tuple[tuple, tuple, bool, Neighbour, Neighbour]]) -> list[tuple]:
@@ -275,36 +307,34 @@ def _ordered_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(host, path, print, id, keys) of the pages of a part; rows of the same page follow each other and count once."""
     seen = None
     for batch in batches:
-        offsets, flat = batch.column("keys").offsets.to_numpy(), batch.column("keys").values.to_numpy()
+        keys = batch.column("keys")
         for i, (host, path, digest, own) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "print", "id")), strict=True)):
             if seen != (digest, own):
                 seen = digest, own
-                yield host, path, digest, own, flat[offsets[i] : offsets[i + 1]].copy()
+                yield host, path, digest, own, keys[i]
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A part in order: its pages with the lines their neighbour in the part has too (edge 0), then its first and last page (1, 2).
+    """A part in order: its pages with the lines their neighbour in the part has too (edge 0), and its first and last page (1, 2).
 
     A page of the first run is on side 0, one of another last run on side 1: its neighbour may be in another part.
+    A task holds the lines of three runs, not those of its part.
     """
-    rows = list(_ordered_pages(batches))
-    if not rows:
-        return
-    part, runs = TaskContext.get().partitionId(), runs_of(rows)
+    part = TaskContext.get().partitionId()
     schema = pa.schema([(n, _ARROW[t]) for n, t in (f.split() for f in _ORDER.split(", "))])
 
-    def keys_at(place: int, other: Neighbour) -> list[int] | None:
-        return None if other is _ALONE else rows[place][4].tolist()
-
     def placed() -> Iterator[tuple]:
-        for nth, (start, end, before, after) in enumerate(runs):
-            side = 0 if nth == 0 else 1 if nth + 1 == len(runs) else None
-            other = keys_at(end, after) if after[1] > before[1] else keys_at(start - 1, before)
-            shared = None if other is None else common_lines(rows[start][4].tolist(), other)
-            for i in range(start, end):
-                yield (part, 0, rows[i][3], rows[i][2], side, shared, *[None] * 7)
-        for edge, (host, path, digest, own, keys), (inside, near), place in ((1, rows[0], runs[0][3], runs[0][1]), (2, rows[-1], runs[-1][2], runs[-1][0] - 1)):
-            yield (part, edge, own, digest, None, None, host, path, len(runs) == 1, inside, near, keys.tolist(), keys_at(place, (inside, near) if inside is not None else _ALONE))
+        for run, left, right, before, after in with_neighbours(_ordered_pages(batches)):
+            beside = [None if near is _ALONE else other.keys.as_py() for near, other in ((before, left), (after, right))]
+            keys, other = run.keys.as_py(), beside[after[1] > before[1]]
+            shared = None if other is None else common_lines(keys, other)
+            side = 0 if left is None else 1 if right is None else None
+            for own in run.ids:
+                yield (part, 0, own, run.first[2], side, shared, *[None] * 7)
+            single = left is None and right is None
+            for edge, at_edge, (host, path, digest, own), inside in ((1, left is None, run.first, 1), (2, right is None, run.last, 0)):
+                if at_edge:
+                    yield (part, edge, own, digest, None, None, host, path, single, *(before, after)[inside], keys, beside[inside])
 
     out, held = [], 0
     for row in placed():
