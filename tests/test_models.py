@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -218,3 +220,34 @@ def test_bands_take_one_pass_a_stage(uneven, monkeypatch):
     assert len(passes) == 3 and all(len(b.trees) == 2 for b in pair)
     alone = bands.fit_quantile(rows, 0.9, 32, 60, stages=2)
     assert (alone.start, alone.shifts) == (pair[1].start, pair[1].shifts)
+
+
+def test_baselines_are_written_while_the_models_train(spark, monkeypatch):
+    """No fit ends before the test rows are there; they are those of the baselines over whole rows."""
+    hours = spark.range(2 * 24 * 40).selectExpr("concat('K', id % 2) as ba_code", "id div 2 as h", "100D + pmod(xxhash64(id), 50L) as demand_mwh")
+    frame = hours.selectExpr(
+        "timestamp_seconds(h * 3600) as period_utc", "ba_code", "demand_mwh", "demand_mwh + 1 as demand_forecast_mwh", "'x' as date_local",
+        *[f"demand_mwh + {i} as {c}" for i, c in enumerate(features.FEATURES)],
+    )
+    tables, there, real = {}, threading.Event(), models.written
+
+    class FitEnded(Exception):
+        pass
+
+    def noted(df, name):
+        tables[name] = real(df, name)
+        if name == "baselines":
+            there.set()
+        return tables[name]
+
+    def fit(*_, **__):
+        assert there.wait(60)
+        raise FitEnded
+
+    monkeypatch.setattr(models, "written", noted)
+    monkeypatch.setattr(models, "fit_forecaster", fit)
+    with pytest.raises(FitEnded):
+        models.train_all(frame, test_days=5, valid_days=5)
+    whole = models.build_all_baselines(tables["features"]).where("split = 'test'").drop("split", "pred_drift_naive")
+    got = tables["baselines"].select(whole.columns).orderBy("ba_code", "period_utc").collect()
+    assert len(got) == 2 * (24 * 5 + 1) and got == whole.orderBy("ba_code", "period_utc").collect()
