@@ -104,3 +104,42 @@ def test_implausible_rule_uses_the_own_median(spark):
     rows = spark.createDataFrame([("A", 100.0), ("A", 110.0), ("A", 600.0), ("B", 600.0), ("B", 590.0), ("B", None)], "ba_code string, demand_mwh double")
     got = features.flag_implausible(rows).where("flag_implausible").collect()
     assert [(r["ba_code"], r["demand_mwh"]) for r in got] == [("A", 600.0)]
+
+
+def test_features_are_made_a_chunk_at_a_time(frame):
+    """No window runs over the wide rows; the windows left are those over one summary row a (key, chunk)."""
+    plan = features.series_features(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert not any("Window [" in line and "_position" in line for line in plan.splitlines())
+
+
+def test_chunk_figures_are_those_of_windows(spark):
+    """Unknown values, flat stretches, gaps longer than a chunk, border rows and rows without a key, against the window forms."""
+    from wattloom.operators.chunking import over_chunk_tables, over_chunks
+    from wattloom.operators.series import carried_values, interpolate_gaps
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for key in ("A", "B"):
+        values = [None if rng.random() < 0.3 else float(rng.normal(1000, 50)) for _ in range(400)]
+        values[100:160], values[170:300] = [777.0] * 60, [None] * 130
+        rows += [(key, i, v) for i, v in enumerate(values)]
+    rows = spark.createDataFrame([*rows, (None, 3, 1.0)], "k string, i int, v double")
+
+    def figures(table, edges):
+        mean, deviation = features.rolling(*features._known(table, "v"), 24, (24,))[24]
+        return {"mean": mean, "deviation": deviation, "lag": features._lag(features._known(table, "v")[0], 48), "near": features.filled(table, edges, "v", 6)}
+
+    carried = carried_values(rows, ["k"], "i", ["v"], 50)
+    got = over_chunk_tables(rows, carried, ["k"], "i", 60, 50, ["mean", "deviation", "lag", "near"], figures).orderBy("k", "i")
+    windows = over_chunks(
+        rows, ["k"], "i", 60, 0, *features.rolling_steps("v", "roll", 24, (24,)), {"lag": "lag(v, 48) over ({w})"}, size=50
+    ).join(interpolate_gaps(rows, ["k"], "i", ["v"], 6, 50).withColumnRenamed("v", "near"), ["k", "i"])
+    want = windows.selectExpr("k", "i", "v", "roll_mean_24h", "roll_std_24h", "lag", "near").orderBy("k", "i").collect()
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want] and len(want) == 800
+
+
+def test_rows_without_features_are_those_with_them(frame, built):
+    columns = ["ba_code", "period_utc", "demand_mwh"]
+    few, all_of_them = features.featured_rows(frame, *columns), built.select(*columns)
+    assert few.exceptAll(all_of_them).count() == 0 and few.count() == all_of_them.count()
